@@ -18,8 +18,8 @@ def velocity_score() -> Column:
 
 def behavior_score() -> Column:
     deviation = F.least(feature("amount_vs_user_avg", 1.0), F.lit(5.0)) / 5.0
-    novelty = feature("new_device", 0.0) * 0.25 + feature("new_location", 0.0) * 0.25
-    return clip01(deviation * 0.5 + novelty)
+    device, place = feature("new_device", 0.0), feature("new_location", 0.0)
+    return clip01(deviation * 0.5 + device * 0.25 + place * 0.25)
 
 
 def risk_band(score: Column, cfg: Config = DEFAULT) -> Column:
@@ -66,7 +66,7 @@ def score(
     inputs = features.select(
         "*",
         (F.lit(0.0) if ml_score is None else ml_score.cast("double")).alias("ml_anomaly_score"),
-        rounded(rule_score(), 4).alias("rule_score"),
+        rule_score().alias("rule_score"),
         velocity_score().alias("_velocity"),
         behavior_score().alias("_behavior"),
         rule_reasons().alias("_rule_reasons"),

@@ -156,6 +156,8 @@ def prior_profile(
         if distinct_span is not None:
             base = base.unionByName(_neighbour_markers(dense, distinct_column), allowMissingColumns=True)
 
+    # One shuffle serves all windows below: each of them partitions by these keys at least.
+    base = base.repartition(*keys)
     for column in novelty:
         group = Window.partitionBy(*keys, column)
         first = F.min("_us").over(group)
