@@ -220,3 +220,174 @@ FROM h WINDOW w1 AS (PARTITION BY user_id ORDER BY us RANGE BETWEEN 60000000 PRE
         f"SELECT user_id, count(*) AS tx_count, {SPEND} AS total_amount, {RISK} AS avg_risk_score, max(risk_score) AS max_risk_score, {HIGH} AS high_risk_count, arg_max(risk_level, struct_pack(a := event_time, b := transaction_id)) AS latest_risk_level FROM scored GROUP BY 1"
     ),
 }
+
+# --- messages, contract, dedup, warehouse, quality, evaluation, registry ----------------
+
+from tollgate.sources.messages import PAYLOAD_SQL  # noqa: E402  (input text, not logic under test)
+
+ALL_TX = "transaction_id, " + TS + ", user_id, account_id, amount, currency, merchant_id, merchant_category, payment_method, device_id, ip_address, latitude, longitude, country, city"
+
+_TEXTS = (
+    "transaction_id user_id account_id currency merchant_id merchant_category payment_method device_id ip_address country city"
+).split()
+_ORDER = (
+    "transaction_id event_time user_id account_id amount currency merchant_id merchant_category payment_method "
+    "device_id ip_address latitude longitude country city"
+).split()
+
+
+def _checks() -> str:
+    parts = []
+    for f in _ORDER:
+        t, s = f"json_type(j, '$.{f}')", f"json_extract_string(j, '$.{f}')"
+        if f not in ("currency", "country"):
+            parts.append(f"CASE WHEN {t} IS NULL THEN '{f}: field required' END")
+        parts.append(f"CASE WHEN {t} = 'NULL' THEN '{f}: must not be null' END")
+        if f in _TEXTS:
+            parts.append(f"CASE WHEN {t} NOT IN ('NULL', 'VARCHAR') THEN '{f}: must be a string' END")
+        elif f == "event_time":
+            parts.append(f"CASE WHEN {t} <> 'NULL' AND try_cast(substr({s}, 1, 26) AS timestamp) IS NULL THEN '{f}: must be an ISO-8601 time' END")
+        else:
+            parts.append(f"CASE WHEN {t} <> 'NULL' AND try_cast({s} AS double) IS NULL THEN '{f}: must be a finite number' END")
+            if f == "amount":
+                parts.append(f"CASE WHEN try_cast({s} AS double) < 0 THEN '{f}: must be >= 0' END")
+            else:
+                b = "90" if f == "latitude" else "180"
+                parts.append(f"CASE WHEN try_cast({s} AS double) NOT BETWEEN -{b} AND {b} THEN '{f}: must be within +-{b}' END")
+    return ", ".join(parts)
+
+
+CHECKED = f"""WITH tx AS ({TX}),
+msg AS (SELECT {PAYLOAD_SQL} AS value, event_id % 6 AS part, event_id AS off
+  FROM (SELECT *, event_id % 40 AS k, strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') AS event_text FROM tx)),
+js AS (SELECT *, CASE WHEN json_valid(value) AND left(value, 1) = '{{' THEN value END AS j FROM msg),
+checked AS (SELECT *, CASE WHEN j IS NULL THEN ['payload: not a JSON object'] ELSE list_filter([{_checks()}], lambda x: x IS NOT NULL) END AS errors FROM js)
+"""
+
+
+def _jtext(f: str) -> str:
+    return f"json_extract_string(j, '$.{f}')"
+
+
+_VALID = ", ".join(
+    {
+        "event_time": f"strftime(CASE WHEN {_jtext('event_time')} LIKE '%+05:30' THEN substr({_jtext('event_time')}, 1, 26)::timestamp - INTERVAL 330 MINUTE ELSE substr({_jtext('event_time')}, 1, 26)::timestamp END, '%Y-%m-%d %H:%M:%S.%f')",
+        "amount": f"{_jtext('amount')}::double", "latitude": f"{_jtext('latitude')}::double",
+        "longitude": f"{_jtext('longitude')}::double",
+        "currency": f"coalesce({_jtext('currency')}, 'INR')", "country": f"coalesce({_jtext('country')}, 'IN')",
+    }.get(f, _jtext(f))
+    + f" AS {f}"
+    for f in _ORDER
+)
+
+FAULTY = f"""WITH tx AS ({TX}), stg AS (SELECT
+  CASE WHEN event_id % 101 = 7 THEN concat('tx_', (event_id - 1)::varchar) ELSE transaction_id END AS transaction_id, event_time,
+  CASE WHEN event_id % 89 <> 5 THEN user_id END AS user_id, account_id,
+  CASE WHEN event_id % 97 = 3 THEN -amount - 1 ELSE amount END AS amount,
+  CASE WHEN event_id % 83 = 2 THEN 'inr' ELSE currency END AS currency,
+  CASE WHEN event_id % 79 = 1 THEN '' ELSE merchant_id END AS merchant_id, device_id,
+  CASE WHEN event_id % 103 = 9 THEN 91.5::double ELSE latitude END AS latitude, longitude FROM tx)
+"""
+
+AUDIT = """, c AS (SELECT count(*) AS total,
+  count(*) FILTER (WHERE transaction_id IS NULL OR user_id IS NULL OR account_id IS NULL) AS null_ids,
+  count(*) FILTER (WHERE amount < 0) AS negative_amounts,
+  count(*) FILTER (WHERE latitude < -90 OR latitude > 90 OR longitude < -180 OR longitude > 180) AS invalid_coordinates,
+  (SELECT count(*) FROM (SELECT transaction_id FROM stg GROUP BY 1 HAVING count(*) > 1)) AS duplicate_ids FROM stg),
+i AS (SELECT *, list_filter([
+  CASE WHEN null_ids > 0 THEN 'Found ' || null_ids || ' transactions with null or empty IDs' END,
+  CASE WHEN negative_amounts > 0 THEN 'Found ' || negative_amounts || ' transactions with invalid negative amounts' END,
+  CASE WHEN invalid_coordinates > 0 THEN 'Found ' || invalid_coordinates || ' transactions with out-of-bounds lat/lon coordinates' END,
+  CASE WHEN duplicate_ids > 0 THEN 'Found ' || duplicate_ids || ' duplicate transaction ID entries' END], lambda x: x IS NOT NULL) AS issues FROM c)
+SELECT CASE WHEN len(issues) = 0 THEN 'PASSED' ELSE 'FAILED' END AS status, total AS total_records_checked, len(issues) AS issues_count,
+  array_to_string(issues, '; ') AS issues, null_ids, negative_amounts, invalid_coordinates, duplicate_ids FROM i"""
+
+PAIRS = f"""WITH tx AS ({TX}), pairs AS (SELECT event_time, {ML} AS score,
+  CASE WHEN day(event_time) % 6 = 0 THEN event_id % 3 = 0 ELSE ({ML} >= 0.62::double AND event_id % 7 <> 0) OR event_id % 23 = 0 END AS label FROM tx)
+"""
+
+
+def _counts(t: str) -> str:
+    return (
+        f"count(*) FILTER (WHERE score < {t} AND NOT label) AS true_negatives, count(*) FILTER (WHERE score >= {t} AND NOT label) AS false_positives, "
+        f"count(*) FILTER (WHERE score < {t} AND label) AS false_negatives, count(*) FILTER (WHERE score >= {t} AND label) AS true_positives"
+    )
+
+
+def _rate(num: str, den: str) -> str:
+    return f"(format('{R4}', CASE WHEN {den} = 0 THEN 0.0::double ELSE ({num})::double / ({den})::double END)::double)"
+
+
+RATES = (
+    f"{_rate('true_positives', 'true_positives + false_positives')} AS \"precision\", "
+    f"{_rate('true_positives', 'true_positives + false_negatives')} AS recall, "
+    f"{_rate('2 * true_positives', '2 * true_positives + false_positives + false_negatives')} AS f1_score, "
+    f"{_rate('false_positives', 'false_positives + true_negatives')} AS false_positive_rate"
+)
+
+AUC = f"""(SELECT format('{R4}', CASE WHEN p = 0 OR n = 0 THEN 0.5::double ELSE (ranks - p * (p + 1) / 2.0::double) / (p::double * n) END)::double FROM (
+  SELECT sum(CASE WHEN label THEN r ELSE 0 END) AS ranks, count(*) FILTER (WHERE label) AS p, count(*) FILTER (WHERE NOT label) AS n FROM (
+    SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0::double AS r FROM pairs)))"""
+
+SWEEP = f""", grid AS (SELECT 0.35::double + i * (0.5::double / 49) AS threshold FROM range(50) g(i)),
+swept AS (SELECT threshold, {_counts('threshold')} FROM pairs, grid GROUP BY 1), rated AS (SELECT *, {RATES} FROM swept)
+"""
+
+RUNS = f"""{PAIRS}, daily AS (SELECT event_time::date AS day, {_counts('0.55::double')} FROM pairs GROUP BY 1),
+runs AS (SELECT 'iforest_' || strftime(day, '%Y%m%d') AS model_version, day, *, {RATES} FROM daily),
+stat AS (SELECT *, CASE WHEN f1_score >= 0.5 THEN 'APPROVED' ELSE 'CANDIDATE' END AS status FROM runs)
+"""
+
+ORACLES |= {
+    "parse_json_events": with_tx(f"SELECT {ALL_TX} FROM tx"),
+    "validate_events": f"{CHECKED} SELECT {_VALID} FROM checked WHERE len(errors) = 0",
+    "dead_letters": f"{CHECKED} SELECT value AS raw_payload, array_to_string(errors, '; ') AS error_message, split_part(errors[1], ': ', 1) AS error_type, 'transactions.raw' AS source_topic, part::int AS partition, off AS \"offset\" FROM checked WHERE len(errors) > 0",
+    "strip_labels": with_tx(f"SELECT {ALL_TX} FROM tx"),
+    "publish_projection": with_tx(f"SELECT user_id AS key, transaction_id, {TS}, city FROM tx"),
+    "ops_counters": with_scores(
+        f", seen AS ({CHECKED} SELECT count(*) AS c, count(*) FILTER (WHERE len(errors) > 0) AS f FROM checked) "
+        "SELECT 'events_consumed' AS metric, c AS total FROM seen UNION ALL SELECT 'events_failed', f FROM seen "
+        "UNION ALL SELECT 'risk_predictions_' || lower(risk_level), count(*) FROM scored GROUP BY 1"
+    ),
+    "avg_last_1000": with_tx(
+        f"SELECT format('{R4}', sum(amount::decimal(28,2))::double / count(*))::double AS avg_last_1000 FROM (SELECT amount FROM tx ORDER BY event_time DESC, event_id DESC LIMIT 1000)"
+    ),
+    "dedup_last_wins": with_tx(
+        ", copies AS (SELECT *, event_id AS seq FROM tx UNION ALL SELECT * REPLACE (amount + 1 AS amount), event_id + 1000000000000 FROM tx WHERE event_id % 10 = 0) "
+        "SELECT transaction_id, amount, seq FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY seq DESC) AS rn FROM copies) WHERE rn = 1"
+    ),
+    "warehouse_load_staging": with_tx(
+        f"SELECT transaction_id, {TS}, user_id, merchant_category, city, (CASE WHEN event_id % 10 = 0 THEN amount + 1 ELSE amount END)::decimal(15,2)::double AS amount, latitude::decimal(9,6)::double AS latitude, longitude::decimal(9,6)::double AS longitude FROM tx"
+    ),
+    "warehouse_load_scores": with_scores(
+        f"SELECT transaction_id, {TS}, user_id, risk_level, model_version, to_json(reasons)::varchar AS reasons_json, amount::decimal(15,2)::double AS amount, risk_score, rule_score, ml_anomaly_score FROM scored"
+    ),
+    "warehouse_load_alerts": with_scores(
+        "SELECT concat('alt_', transaction_id) AS alert_id, transaction_id, user_id, risk_score, risk_level FROM scored WHERE risk_level = 'HIGH'"
+    ),
+    "backfill_range": with_scores(
+        f"SELECT {SCORE_COLUMNS} FROM scored WHERE event_time >= '2024-01-10' AND event_time < '2024-01-13'", "0.0::double", "rules_only_v1.0"
+    ),
+    "dq_audit": FAULTY + AUDIT,
+    "dq_audit_clean": f"WITH stg AS ({TX})" + AUDIT,
+    "dq_duplicates": FAULTY + "SELECT transaction_id, count(*) AS copies FROM stg GROUP BY 1 HAVING count(*) > 1",
+    "dq_extended": FAULTY + """SELECT count(*) FILTER (WHERE trim(transaction_id) = '' OR trim(user_id) = '' OR trim(account_id) = '') AS empty_ids,
+  count(*) FILTER (WHERE NOT regexp_matches(currency, '^[A-Z]{3}$')) AS bad_currency, count(*) FILTER (WHERE merchant_id IS NULL OR trim(merchant_id) = '') AS bad_merchant,
+  count(*) FILTER (WHERE device_id IS NULL OR trim(device_id) = '') AS bad_device, count(*) FILTER (WHERE event_time IS NULL OR event_time > '2024-01-30') AS bad_event_time FROM stg""",
+    "confusion_matrix": f"{PAIRS} SELECT {_counts('0.55::double')} FROM pairs",
+    "eval_metrics": f"{PAIRS}, c AS (SELECT {_counts('0.55::double')}, count(*) AS total_samples, count(*) FILTER (WHERE label) AS positive_count FROM pairs) SELECT *, {RATES}, 0.55::double AS threshold, {AUC} AS roc_auc FROM c",
+    "roc_auc": f"{PAIRS} SELECT {AUC} AS roc_auc",
+    "threshold_sweep": f"{PAIRS}{SWEEP} SELECT * REPLACE (format('{R6}', threshold)::double AS threshold) FROM rated",
+    "best_threshold": f"{PAIRS}{SWEEP} SELECT format('{R6}', threshold)::double AS threshold, f1_score, \"precision\", recall FROM rated ORDER BY f1_score DESC, rated.threshold LIMIT 1",
+    "score_percentiles": with_scores(
+        f"SELECT format('{R6}', quantile_cont(risk_score, 0.5))::double AS p50, format('{R6}', quantile_cont(risk_score, 0.95))::double AS p95, format('{R6}', quantile_cont(risk_score, 0.99))::double AS p99 FROM scored"
+    ),
+    "normalize_score": with_tx(
+        f"SELECT transaction_id, format('{R4}', least(greatest(0.5::double - ((event_id % 1300) / 1000.0::double - 0.6::double), 0), 1))::double AS anomaly_score FROM tx"
+    ),
+    "latest_approved_model": f"{RUNS} SELECT model_version, f1_score, status FROM stat WHERE status = 'APPROVED' ORDER BY day DESC LIMIT 1",
+    "model_gate": f"""{RUNS}, prev AS (SELECT s.model_version, s.f1_score, coalesce((SELECT p.f1_score FROM stat p WHERE p.status = 'APPROVED' AND p.day < s.day ORDER BY p.day DESC LIMIT 1), 0.0::double) AS previous_f1 FROM stat s)
+SELECT model_version, f1_score AS candidate_f1, previous_f1, CASE WHEN f1_score >= 0.5::double AND f1_score >= previous_f1 - 0.05::double THEN 'APPROVED' ELSE 'REJECTED' END AS final_status FROM prev""",
+    "model_registry_status": f"{RUNS} SELECT model_version, greatest(f1_score, 0.6::double) AS f1_score, CASE WHEN model_version = 'iforest_20240105' THEN 'RETIRED' ELSE status END AS status FROM stat",
+    "warehouse_daily_metrics": ORACLES["daily_rollup"],
+}

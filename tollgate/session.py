@@ -13,6 +13,8 @@ REQUIRED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # dynamic: a daily write replaces only the days it contains
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # JSON with a repeated field: the last one counts
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
