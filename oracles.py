@@ -258,10 +258,10 @@ def _checks() -> str:
 
 
 CHECKED = f"""WITH tx AS ({TX}),
-msg AS (SELECT {PAYLOAD_SQL} AS value, event_id % 6 AS part, event_id AS off
+msg AS MATERIALIZED (SELECT {PAYLOAD_SQL} AS value, event_id % 6 AS part, event_id AS off
   FROM (SELECT *, event_id % 40 AS k, strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') AS event_text FROM tx)),
-js AS (SELECT *, CASE WHEN json_valid(value) AND left(value, 1) = '{{' THEN value END AS j FROM msg),
-checked AS (SELECT *, CASE WHEN j IS NULL THEN ['payload: not a JSON object'] ELSE list_filter([{_checks()}], lambda x: x IS NOT NULL) END AS errors FROM js)
+js AS MATERIALIZED (SELECT *, CASE WHEN json_valid(value) AND left(value, 1) = '{{' THEN value END AS j FROM msg),
+checked AS MATERIALIZED (SELECT *, CASE WHEN j IS NULL THEN ['payload: not a JSON object'] ELSE list_filter([{_checks()}], lambda x: x IS NOT NULL) END AS errors FROM js)
 """
 
 
@@ -391,3 +391,64 @@ SELECT model_version, f1_score AS candidate_f1, previous_f1, CASE WHEN f1_score
     "model_registry_status": f"{RUNS} SELECT model_version, greatest(f1_score, 0.6::double) AS f1_score, CASE WHEN model_version = 'iforest_20240105' THEN 'RETIRED' ELSE status END AS status FROM stat",
     "warehouse_daily_metrics": ORACLES["daily_rollup"],
 }
+
+# --- detectors, drift -------------------------------------------------------------------
+
+WHO = f"transaction_id, user_id, {TS}, amount"
+
+_ESCALATION = with_tx(
+    f""", s AS (SELECT *, epoch_us(event_time) AS us, lag(amount, 1) OVER w AS a1, lag(amount, 2) OVER w AS a2, lag(epoch_us(event_time), 1) OVER w AS t1, lag(epoch_us(event_time), 2) OVER w AS t2
+  FROM tx WINDOW w AS (PARTITION BY user_id ORDER BY event_time, transaction_id))
+SELECT {WHO}, a1 AS previous_amount, a2 AS amount_before_that FROM s WHERE amount > a1 AND a1 > a2 AND us - t1 <= 120000000 AND t1 - t2 <= 120000000"""
+)
+_SESSIONS = with_tx(
+    f""", g AS (SELECT *, epoch_us(event_time) AS us, epoch_us(event_time) - lag(epoch_us(event_time)) OVER w AS gap FROM tx WINDOW w AS (PARTITION BY user_id ORDER BY event_time)),
+s AS (SELECT *, sum(CASE WHEN gap IS NULL OR gap > 60000000 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_time) AS sid FROM g)
+SELECT user_id, strftime(min(event_time), '%Y-%m-%d %H:%M:%S.%f') AS session_start, strftime(max(event_time), '%Y-%m-%d %H:%M:%S.%f') AS session_end, count(*) AS tx_count,
+  format('{R2}', sum(amount::{EXACT})::double)::double AS total_amount FROM s GROUP BY user_id, sid HAVING count(*) >= 2"""
+)
+_KMH = "(distance_from_last_tx / ((us - last_us) / 1000000.0::double / 3600.0::double))"
+
+_BANDS = "(CASE WHEN amount >= 80000 THEN 6 WHEN amount >= 40000 THEN 5 WHEN amount >= 20000 THEN 4 WHEN amount >= 10000 THEN 3 WHEN amount >= 5000 THEN 2 WHEN amount >= 1000 THEN 1 ELSE 0 END)"
+
+ORACLES |= {
+    "detect_velocity_escalation": _ESCALATION,
+    "detect_velocity_escalation_split_users": _ESCALATION,
+    "detect_amount_spike": with_features(
+        f"SELECT {WHO}, amount_vs_user_avg, amount_zscore FROM feats WHERE amount >= 40000 AND (amount_vs_user_avg >= 3 OR amount_zscore >= 3)"
+    ),
+    "detect_impossible_travel": with_features(
+        f"SELECT {WHO}, distance_from_last_tx AS km, format('{{:.1f}}', {_KMH})::double AS kmh FROM feats WHERE n > 0 AND {_KMH} > 900"
+    ),
+    "detect_new_device_high_value": with_features(
+        f"SELECT {WHO}, device_id FROM feats WHERE new_device = 1 AND amount >= 20000"
+    ),
+    "detect_merchant_shift": with_tx(
+        f"""SELECT {WHO}, merchant_category FROM tx a WHERE merchant_category IN ('electronics', 'jewelry', 'crypto_exchange', 'luxury_goods', 'wire_transfer')
+  AND EXISTS (SELECT 1 FROM tx b WHERE b.user_id = a.user_id AND b.event_time < a.event_time)
+  AND NOT EXISTS (SELECT 1 FROM tx b WHERE b.user_id = a.user_id AND b.merchant_category = a.merchant_category AND b.event_time < a.event_time)"""
+    ),
+    "detect_burst": with_tx(
+        f""", s AS (SELECT *, epoch_us(event_time) AS us FROM tx WHERE amount < 20000), c AS (SELECT *, 1 + count(*) OVER (PARTITION BY user_id ORDER BY us RANGE BETWEEN 300000000 PRECEDING AND 1 PRECEDING) AS payments_in_span FROM s)
+SELECT {WHO}, payments_in_span FROM c WHERE payments_in_span >= 4"""
+    ),
+    "burst_sessions": _SESSIONS,
+    "burst_sessions_split_users": _SESSIONS,
+    "mart_combined_rule": with_features(
+        "SELECT transaction_id, amount, tx_count_5m FROM feats WHERE new_device = 1 AND amount >= 20000 AND tx_count_5m >= 1"
+    ),
+    "alert_precision_by_band": with_scores(
+        f""", l AS (SELECT *, CASE WHEN day(event_time) % 6 = 0 THEN event_id % 3 = 0 ELSE ({ML} >= 0.62::double AND event_id % 7 <> 0) OR event_id % 23 = 0 END AS is_fraud FROM scored)
+SELECT risk_level, count(*) AS tx_count, count(*) FILTER (WHERE is_fraud) AS fraud_count, format('{R4}', (count(*) FILTER (WHERE is_fraud))::double / count(*))::double AS fraud_rate FROM l GROUP BY 1"""
+    ),
+    "drift_report": with_scores(
+        f""", p AS (SELECT event_time < '2024-01-16' AS ref, *, {_BANDS} AS band FROM scored),
+m AS (SELECT ref, count(*)::double AS volume, sum(amount::{EXACT})::double / count(*) AS mean_amount, sum(risk_score::{EXACT})::double / count(*) AS mean_risk_score,
+  sum(tx_count_5m::{EXACT})::double / count(*) AS mean_tx_count_5m, sum(new_device::{EXACT})::double / count(*) AS new_device_rate, {HIGH}::double / count(*) AS alert_rate FROM p GROUP BY 1),
+u AS (UNPIVOT m ON volume, mean_amount, mean_risk_score, mean_tx_count_5m, new_device_rate, alert_rate INTO NAME metric VALUE v),
+sh AS (SELECT b.band, greatest(count(*) FILTER (WHERE p.ref AND p.band = b.band), 0.5::double) / count(*) FILTER (WHERE p.ref) AS r,
+  greatest(count(*) FILTER (WHERE NOT p.ref AND p.band = b.band), 0.5::double) / count(*) FILTER (WHERE NOT p.ref) AS c FROM p, range(7) b(band) GROUP BY 1)
+SELECT a.metric, format('{R4}', a.v)::double AS reference, format('{R4}', b.v)::double AS current, format('{R4}', b.v / a.v - 1)::double + 0.0::double AS shift FROM u a JOIN u b USING (metric) WHERE a.ref AND NOT b.ref
+UNION ALL SELECT 'amount_psi', 0.0::double, 0.0::double, format('{R4}', sum((c - r) * ln(c / r)))::double FROM sh"""
+    ),
+}

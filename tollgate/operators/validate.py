@@ -29,7 +29,11 @@ def parse_events(raw: DataFrame) -> DataFrame:
 
 
 def _kind(field: str) -> Column:
-    return F.col(f"_k.{field}")
+    return F.col(f"_kind_{field}")
+
+
+def _value(field: str) -> Column:
+    return F.col(f"_value_{field}")
 
 
 def _problem(field: str, failed: Column, text: str) -> Column:
@@ -44,7 +48,7 @@ def _field_problems(field: str) -> list[Column]:
     if field in TEXT_FIELDS:
         problems.append(_problem(field, present & (kind != "STRING"), "must be a string"))
     elif field in NUMBER_FIELDS:
-        value = F.col(f"_v.{field}")
+        value = _value(field)
         usable = value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
         problems.append(_problem(field, present & ~usable, "must be a finite number"))
         if field == "amount":
@@ -53,7 +57,7 @@ def _field_problems(field: str) -> list[Column]:
             bound = BOUNDS[field]
             problems.append(_problem(field, usable & (F.abs(value) > bound), f"must be within +-{bound:g}"))
     else:
-        problems.append(_problem(field, present & F.col("_v.event_time").isNull(), "must be an ISO-8601 time"))
+        problems.append(_problem(field, present & _value("event_time").isNull(), "must be an ISO-8601 time"))
     return problems
 
 
@@ -63,16 +67,17 @@ def check_events(raw: DataFrame) -> DataFrame:
     Columns of `raw` other than `value` (topic, partition, offset, ...) are kept.
     """
     payload = F.col("value").cast("string")
-    parsed = raw.withColumn("_json", F.try_parse_json(payload))
-    is_object = F.schema_of_variant("_json").startswith("OBJECT")
-    parsed = parsed.withColumn("_json", F.when(is_object, F.col("_json")))
+    document = F.when(F.ltrim(payload).startswith("{"), F.try_parse_json(payload))
+    # `inline` keeps a filter on the errors from being pushed down through the parsing,
+    # which would repeat it for every mention of every field.
+    parsed = raw.select("*", F.inline(F.array(F.struct(document.alias("_json")))))
 
     def part(field: str, kind: str) -> Column:
         return F.try_variant_get("_json", f"$.{field}", kind)
 
-    kinds = [F.schema_of_variant(part(f, "variant")).alias(f) for f in TXN_COLUMNS]
-    values = []
+    fields = []
     for field in TXN_COLUMNS:
+        fields.append(F.schema_of_variant(part(field, "variant")).alias(f"_kind_{field}"))
         if field in NUMBER_FIELDS:
             value = part(field, "double")
         elif field == "event_time":
@@ -82,13 +87,13 @@ def check_events(raw: DataFrame) -> DataFrame:
             value = part(field, "string")
             if field in DEFAULTS:
                 value = F.coalesce(value, F.lit(DEFAULTS[field]))
-        values.append(value.alias(field))
-    typed = parsed.withColumn("_k", F.struct(*kinds)).withColumn("_v", F.struct(*values))
+        fields.append(value.alias(f"_value_{field}"))
+    typed = parsed.select("*", F.inline(F.array(F.struct(*fields))))
 
     problems = [p for field in TXN_COLUMNS for p in _field_problems(field)]
     unreadable = F.array(F.lit("payload: not a JSON object"))
     errors = F.when(F.col("_json").isNull(), unreadable).otherwise(compact(*problems))
-    return typed.select(*[c for c in raw.columns], errors.alias("errors"), "_v.*")
+    return typed.select(*raw.columns, errors.alias("errors"), *[_value(f).alias(f) for f in TXN_COLUMNS])
 
 
 def valid_events(checked: DataFrame) -> DataFrame:

@@ -28,11 +28,11 @@ def run_backfill(
     spark: SparkSession, root: str, tx: DataFrame, start: str, end: str, run_ts: str, cfg: Config = DEFAULT
 ) -> DataFrame:
     """Score a range, load it and return a one-row summary; safe to run again."""
-    scored = backfill(tx, start, end, cfg).persist()
-    warehouse.load_scored(spark, root, scored, run_ts, days_fixed=True)
-    summary = scored.agg(F.count("*").alias("num_events_backfilled")).select(
+    warehouse.load_scored(spark, root, backfill(tx, start, end, cfg), run_ts, days_fixed=True)
+    loaded = warehouse.read_table(spark, root, "transaction_scores").filter(
+        (F.col("event_date") >= F.lit(start).cast("date")) & (F.col("event_time") >= F.lit(start).cast("timestamp"))
+        & (F.col("event_time") < F.lit(end).cast("timestamp"))
+    )
+    return loaded.agg(F.count("*").alias("num_events_backfilled")).select(
         "num_events_backfilled", F.lit(start).alias("start_time"), F.lit("SUCCESS").alias("status")
     )
-    rows = summary.collect()
-    scored.unpersist()
-    return spark.createDataFrame(rows, summary.schema)

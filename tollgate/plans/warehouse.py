@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,14 +77,16 @@ def alert_rows(scored: DataFrame, run_ts: str) -> DataFrame:
     )
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     """The table, empty if nothing was written yet."""
-    try:
-        return spark.read.schema(table_schema(table)).parquet(f"{root}/{table}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not _exists(spark, f"{root}/{table}"):
         return spark.createDataFrame([], table_schema(table))
+    return spark.read.schema(table_schema(table)).parquet(f"{root}/{table}")
 
 
 def _replace_days(rows: DataFrame, root: str, table: str) -> None:
@@ -105,12 +106,6 @@ def _pending(root: str, table: str) -> str:
     return f"{root}/_pending/{table}"
 
 
-def _is_complete(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
-
-
 def _drop(spark: SparkSession, path: str) -> None:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
@@ -119,7 +114,7 @@ def _drop(spark: SparkSession, path: str) -> None:
 def recover(spark: SparkSession, root: str, table: str) -> None:
     """Finish a replacement that an earlier run wrote out but did not install."""
     pending = _pending(root, table)
-    if _is_complete(spark, pending):
+    if _exists(spark, f"{pending}/_SUCCESS"):
         _replace_days(spark.read.schema(table_schema(table)).parquet(pending), root, table)
     _drop(spark, pending)
 
@@ -138,11 +133,13 @@ def upsert(
     """
     _, key, partition = TABLES[table]
     recover(spark, root, table)
-    existing = read_table(spark, root, table)
+    columns = table_schema(table).fieldNames()
     order = [*(version or []), partition]
-    columns = existing.columns
-    incoming = batch.withColumn("_age", F.lit(1))
-    incoming = latest_per_key(incoming, [key], order).select(*columns, "_age")
+    incoming = latest_per_key(batch, [key], order).select(*columns).withColumn("_age", F.lit(1))
+    if not _exists(spark, f"{root}/{table}"):
+        _replace_days(incoming.drop("_age"), root, table)
+        return
+    existing = read_table(spark, root, table)
     days = incoming.select(partition)
     if not days_fixed:
         moved = existing.select(key, partition).join(incoming.select(key), key, "left_semi")
@@ -174,10 +171,11 @@ def load_scored(
     spark: SparkSession, root: str, scored: DataFrame, run_ts: str, *, retract_alerts: bool = False,
     days_fixed: bool = False,
 ) -> None:
-    """Staging, scores and alerts of one batch (the caller persists `scored` if it is costly).
+    """Staging, scores and alerts of one batch.
 
     A row scored again below HIGH keeps its earlier alert unless `retract_alerts`.
     """
+    scored = scored.persist()  # read by every table below; spills to disk
     upsert(spark, root, "stg_transactions", staging_rows(scored), days_fixed=days_fixed)
     upsert(spark, root, "transaction_scores", score_rows(scored, run_ts), days_fixed=days_fixed)
     upsert(spark, root, "fraud_alerts", alert_rows(scored, run_ts), days_fixed=days_fixed)
@@ -194,6 +192,7 @@ def load_scored(
             _replace_days(written, root, "fraud_alerts")
             _drop_emptied(spark, root, "fraud_alerts", days, written)
             _drop(spark, pending)
+    scored.unpersist()
 
 
 def write_daily_metrics(spark: SparkSession, root: str, rollup: DataFrame) -> None:
