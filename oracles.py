@@ -452,3 +452,36 @@ SELECT a.metric, format('{R4}', a.v)::double AS reference, format('{R4}', b.v)::
 UNION ALL SELECT 'amount_psi', 0.0::double, 0.0::double, format('{R4}', sum((c - r) * ln(c / r)))::double FROM sh"""
     ),
 }
+
+# --- streams ----------------------------------------------------------------------------
+
+
+def sliding(label: str, duration: int, slide: int) -> str:
+    """Windows that the watermark has closed: end <= newest time - 10 minutes."""
+    d, s = duration * 1_000_000, slide * 1_000_000
+    return with_tx(
+        f""", w AS (SELECT *, epoch_us(event_time) AS us FROM tx),
+g AS (SELECT user_id, (us // {s}) * {s} - k * {s} AS st, amount, merchant_id FROM w, range({duration // slide}) r(k)),
+m AS (SELECT max(us) // 1000 * 1000 - 600000000 AS wm FROM w)
+SELECT user_id, strftime(make_timestamp(st), '%Y-%m-%d %H:%M:%S.%f') AS window_start, strftime(make_timestamp(st + {d}), '%Y-%m-%d %H:%M:%S.%f') AS window_end,
+  count(*) AS tx_count_{label}, max(amount) AS max_amount_{label}, count(DISTINCT merchant_id) AS unique_merchants_{label},
+  format('{R2}', sum(amount::{EXACT})::double)::double AS amount_sum_{label}, format('{R2}', sum(amount::{EXACT})::double / count(*))::double AS avg_amount_{label}
+FROM g, m WHERE st + {d} <= wm GROUP BY user_id, st"""
+    )
+
+
+_VALID_TX = f"{CHECKED} SELECT {_VALID.replace('strftime(CASE', '(CASE').replace(chr(39) + '%Y-%m-%d %H:%M:%S.%f' + chr(39) + ')', ')').replace('END, )', 'END)')} FROM checked WHERE len(errors) = 0"
+
+ORACLES |= {
+    "stream_sliding_5m": sliding("5m", 300, 60),
+    "stream_sliding_1m": sliding("1m", 60, 10),
+    "stream_sliding_1h": sliding("1h", 3600, 300),
+    "stream_dedup": with_tx("SELECT transaction_id, user_id, amount FROM tx"),
+    "stream_features": ORACLES["features_all"],
+    "stream_dead_letters": f"{CHECKED} SELECT value AS raw_payload, array_to_string(errors, '; ') AS error_message, split_part(errors[1], ': ', 1) AS error_type, 'transactions.raw' AS source_topic FROM checked WHERE len(errors) > 0",
+    "stream_pipeline": f"WITH tx AS MATERIALIZED ({_VALID_TX}), {FEATURES.strip()}, {scored_cte('0.0::double', 'rules_only_v1.0').strip()} SELECT transaction_id, user_id, risk_level, model_version, risk_score, rule_score FROM scored",
+    "late_events": with_tx(
+        f""", s AS (SELECT *, max(epoch_us(event_time)) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 600000000 AS wm FROM tx)
+SELECT transaction_id, user_id, format('{R4}', (wm - epoch_us(event_time)) / 1e6::double)::double AS seconds_late FROM s WHERE epoch_us(event_time) < wm"""
+    ),
+}
