@@ -51,6 +51,9 @@ def start_scoring(
         # the session of the batch carries the stream's settings
         spark: SparkSession = batch.sparkSession
         batch = batch.persist()
+        if batch.isEmpty():  # the closing batch of a drained stream, for one
+            batch.unpersist()
+            return
         late = batch.filter("is_late")
         late.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
             f"{root}/late_events/batch_id={batch_id}"
