@@ -10,20 +10,28 @@ from tollgate.functions import rounded, utc_text
 from tollgate.operators import detect, evaluate, iforest, scoring
 from tollgate.plans import marts
 from tollgate.plans.catalog import QUERIES, featured, register
+from tollgate.plans.catalog_data import scratch
 from tollgate.sources import messages
 from tollgate.sources.tables import transactions
 
 # --- anomaly model -------------------------------------------------------------------
 
 
+def stored_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Features written once: training and scoring read them several times."""
+    path = f"{scratch(spark)}/features"
+    featured(spark, sf).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @register("iforest_train")
 def _train(spark: SparkSession, sf: str) -> DataFrame:
-    return iforest.grow_forest(featured(spark, sf))
+    return iforest.grow_forest(stored_features(spark, sf))
 
 
 @register("iforest_score")
 def _score(spark: SparkSession, sf: str) -> DataFrame:
-    rows = featured(spark, sf)
+    rows = stored_features(spark, sf)
     scored = iforest.with_anomaly_score(rows, iforest.train(rows))
     return scored.select("transaction_id", rounded(F.col("raw_decision"), 4).alias("raw_decision"),
                          rounded(F.col("anomaly_score"), 4).alias("anomaly_score"))
@@ -31,7 +39,7 @@ def _score(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("scored_with_forest")
 def _score_forest(spark: SparkSession, sf: str) -> DataFrame:
-    rows = featured(spark, sf)
+    rows = stored_features(spark, sf)
     forest = iforest.train(rows)
     judged = iforest.with_anomaly_score(rows, forest)
     risk = scoring.score(judged, ml_score=rounded(F.col("anomaly_score"), 4), model_version=forest.version)
@@ -41,7 +49,7 @@ def _score_forest(spark: SparkSession, sf: str) -> DataFrame:
 @register("model_evaluation")
 def _model_evaluation(spark: SparkSession, sf: str) -> DataFrame:
     """The forest's scores against labels joined by transaction id, at the best threshold."""
-    rows = featured(spark, sf)
+    rows = stored_features(spark, sf)
     judged = iforest.with_anomaly_score(rows, iforest.train(rows))
     labels = messages.labelled(transactions(spark, sf)).select("transaction_id", F.col("is_fraud").alias("label"))
     pairs = judged.select("transaction_id", F.col("anomaly_score").alias("score")).join(labels, "transaction_id")
