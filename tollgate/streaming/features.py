@@ -42,6 +42,8 @@ _OUT = T.StructType(
     + [T.StructField(n, T.DoubleType()) for n in FEATURE_NAMES if n != "amount"]
     + [T.StructField("is_late", T.BooleanType())]
 )
+_ADDED = [f.name for f in _OUT if f.name not in TXN_COLUMNS]
+_LATE = [math.nan] * (len(_ADDED) - 1) + [True]
 
 
 def _distance(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
@@ -110,11 +112,15 @@ def _describe(event: tuple, past: _Past, spans: dict[int, _Span]) -> list[float]
     ]
 
 
+def _summary(past: _Past) -> tuple:
+    last = past.last or (None, None, None)
+    return (past.n, past.mean, past.m2, sorted(past.devices), sorted(past.cities), *last)
+
+
 def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    new = pd.concat(list(batches), ignore_index=True)
+    parts = list(batches)
+    new = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
     watermark = state.getCurrentWatermarkMs() * 1000
-    late = new[new["_us"] < watermark]
-    fresh = new[new["_us"] >= watermark].sort_values(["_us", "_arrival"], kind="stable", ignore_index=True)
 
     if state.exists:
         saved = dict(zip(_STATE.fieldNames(), state.get))
@@ -124,45 +130,39 @@ def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
     else:
         past, known = _Past(0, 0.0, 0.0, (), (), None), []
 
-    arrived = list(zip(fresh["_us"].tolist(), *[fresh[c].tolist() for c in _BUFFER[1:]]))
+    times, arrivals = new["_us"].tolist(), new["_arrival"].tolist()
+    arrived = list(zip(times, *[new[c].tolist() for c in _BUFFER[1:]]))
+    on_time = [i for i, us in enumerate(times) if us >= watermark]
+    on_time.sort(key=lambda i: (times[i], arrivals[i]))
     # buffered events come first, so that at equal times the earlier arrival stays first
-    timeline = sorted([(e, -1) for e in known] + [(e, i) for i, e in enumerate(arrived)], key=lambda p: p[0][0])
+    timeline = [(event, -1) for event in known] + [(arrived[i], i) for i in on_time]
+    timeline.sort(key=lambda entry: entry[0][0])
+
     spans = {s: _Span(s) for s in (60, 300, 3600)}
     keep_from = watermark - HOUR
-    frozen = None
-    features: list = [None] * len(arrived)
+    summary, buffered = None, []
+    rows: list = [_LATE] * len(times)
     at = 0
     while at < len(timeline):
         now, end = timeline[at][0][0], at
         while end < len(timeline) and timeline[end][0][0] == now:
             end += 1
-        if frozen is None and now >= keep_from:
-            frozen = (past.n, past.mean, past.m2, sorted(past.devices), sorted(past.cities), *(past.last or (None,) * 3))
-            buffered = timeline[at:]
+        if summary is None and now >= keep_from:
+            summary, buffered = _summary(past), timeline[at:]
         for span in spans.values():
             span.until(now)
         for event, index in timeline[at:end]:
             if index >= 0:
-                features[index] = _describe(event, past, spans)
+                rows[index] = [*_describe(event, past, spans), False]
         for event, _ in timeline[at:end]:
             past.add(event)
             for span in spans.values():
                 span.add(event)
         at = end
-    if frozen is None:
-        frozen = (past.n, past.mean, past.m2, sorted(past.devices), sorted(past.cities), *(past.last or (None,) * 3))
-        buffered = []
-    state.update((*frozen, *([e[i] for e, _ in buffered] for i in range(len(_BUFFER)))))
-
-    names = [n for n in FEATURE_NAMES if n != "amount"]
-    out = fresh[TXN_COLUMNS].copy()
-    out[names] = pd.DataFrame(features, columns=names, dtype=float) if arrived else None
-    out["is_late"] = False
-    dropped = late[TXN_COLUMNS].copy()
-    dropped[names], dropped["is_late"] = math.nan, True
-    for part in (out, dropped):
-        if len(part):
-            yield part[_OUT.fieldNames()]
+    state.update((*(summary or _summary(past)), *([e[i] for e, _ in buffered] for i in range(len(_BUFFER)))))
+
+    added = pd.DataFrame(rows, columns=_ADDED)
+    yield pd.concat([new[TXN_COLUMNS].reset_index(drop=True), added], axis=1)
 
 
 def stream_features(
