@@ -86,12 +86,14 @@ def with_chunks(df: DataFrame, hot: DataFrame | None, at: str = "_us") -> tuple[
 def with_lookback(df: DataFrame, hot: DataFrame | None, seconds: int) -> tuple[DataFrame, list[str]]:
     """Chunks whose rows also see the `seconds` before the chunk.
 
-    Rows near the end of a chunk are repeated in the chunks they reach, marked by
-    `_own = false`; callers drop those after their window.
+    Rows near the end of a chunk are repeated in the chunk they reach, marked by
+    `_own = false`; callers drop those after their window. Chunks are at least as wide as
+    the look-back, so no row is repeated more than once.
     """
     if hot is None:
         return df.withColumn("_own", F.lit(True)), ["user_id"]
-    reach = df.join(hot, "user_id", "left").withColumn("_reach", F.col("_us") + F.lit(seconds * MICROS))
+    wide = hot.withColumn("_width", F.greatest("_width", F.lit(seconds * MICROS)))
+    reach = df.join(wide, "user_id", "left").withColumn("_reach", F.col("_us") + F.lit(seconds * MICROS))
     spread = reach.withColumn("_home", chunk_of("_us")).withColumn(
         "_chunk", F.explode(F.sequence(F.col("_home"), chunk_of("_reach")))
     )
