@@ -479,7 +479,7 @@ ORACLES |= {
     "stream_dedup": with_tx("SELECT transaction_id, user_id, amount FROM tx"),
     "stream_features": ORACLES["features_all"],
     "stream_dead_letters": f"{CHECKED} SELECT value AS raw_payload, array_to_string(errors, '; ') AS error_message, split_part(errors[1], ': ', 1) AS error_type, 'transactions.raw' AS source_topic FROM checked WHERE len(errors) > 0",
-    "stream_pipeline": f"WITH tx AS MATERIALIZED ({_VALID_TX}), {FEATURES.strip()}, {scored_cte('0.0::double', 'rules_only_v1.0').strip()} SELECT transaction_id, user_id, risk_level, model_version, risk_score, rule_score FROM scored",
+    "stream_to_warehouse": f"WITH tx AS MATERIALIZED ({_VALID_TX}), {FEATURES.strip()}, {scored_cte('0.0::double', 'rules_only_v1.0').strip()} SELECT transaction_id, user_id, risk_level, model_version, risk_score, rule_score FROM scored",
     "late_events": with_tx(
         f""", s AS (SELECT *, max(epoch_us(event_time)) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 600000000 AS wm FROM tx)
 SELECT transaction_id, user_id, format('{R4}', (wm - epoch_us(event_time)) / 1e6::double)::double AS seconds_late FROM s WHERE epoch_us(event_time) < wm"""

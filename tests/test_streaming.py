@@ -176,6 +176,25 @@ def test_pipeline_resumes_without_loss_or_repeats(spark, streams, tmp_path):
     assert sorted(r["error_type"] for r in letters.collect()) == ["amount", "payload"]
 
 
+def test_forest_scores_the_stream(spark, streams, frame, tmp_path):
+    from tollgate.config import Config
+    from tollgate.operators import iforest
+    from tollgate.operators.features import add_features
+
+    rows = random_slices(8, slices=1, per_slice=80)[0]
+    known = add_features(frame(rows))
+    forest = iforest.train(known, Config(n_trees=10, sample_size=32), "f1")
+    put_text(f"{tmp_path}/in", 0, [message(r) for r in rows])
+    raw = source(streams, "text", path=f"{tmp_path}/in")
+    pipeline.start_scoring(
+        raw, f"{tmp_path}/wh", f"{tmp_path}/ckpt", run_ts="2026-08-12 00:00:00", forest=forest, every=None
+    ).awaitTermination()
+    want = {r["transaction_id"]: r["anomaly_score"] for r in iforest.with_anomaly_score(known, forest).collect()}
+    got = warehouse.read_table(spark, f"{tmp_path}/wh", "transaction_scores").collect()
+    assert len(got) == len(rows) and {r["model_version"] for r in got} == {"f1"}
+    assert all(float(r["ml_anomaly_score"]) == pytest.approx(want[r["transaction_id"]], abs=5.1e-5) for r in got)
+
+
 def test_late_events_of_a_table(spark):
     rows = [(i, T0 + timedelta(seconds=s)) for i, s in enumerate([0, 700, 50, 99, 101, 3000, 2399.5, 2401])]
     df = spark.createDataFrame(rows, "seq long, event_time timestamp")

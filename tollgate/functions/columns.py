@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,6 +52,12 @@ def compact(*candidates: Column) -> Column:
     return F.filter(F.array(*candidates), lambda item: item.isNotNull())
 
 
+def fill(text: str, values: dict[str, Column]) -> Column:
+    """Text with the columns named in braces put in."""
+    parts = re.split(r"\{(\w+)\}", text)
+    return F.concat(*[values[part] if i % 2 else F.lit(part) for i, part in enumerate(parts) if i % 2 or part])
+
+
 def utc_text(ts: Column) -> Column:
     """ISO-like text with microseconds (session time zone is UTC)."""
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS")

@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.functions import compact
+from tollgate.functions import compact, fill
+
+# The sentence for each kind of issue.
+SENTENCES = {
+    "null_ids": "Found {n} transactions with null or empty IDs",
+    "negative_amounts": "Found {n} transactions with invalid negative amounts",
+    "invalid_coordinates": "Found {n} transactions with out-of-bounds lat/lon coordinates",
+    "duplicate_ids": "Found {n} duplicate transaction ID entries",
+}
 
 IDS = ("transaction_id", "user_id", "account_id")
 
@@ -41,16 +49,10 @@ def fault_counts(staging: DataFrame) -> DataFrame:
 
 def audit(staging: DataFrame) -> DataFrame:
     """Status, counts and one sentence per kind of issue found."""
-    sentences = {
-        "null_ids": " transactions with null or empty IDs",
-        "negative_amounts": " transactions with invalid negative amounts",
-        "invalid_coordinates": " transactions with out-of-bounds lat/lon coordinates",
-        "duplicate_ids": " duplicate transaction ID entries",
-    }
     issues = compact(
         *[
-            F.when(F.col(c) > 0, F.concat(F.lit("Found "), F.col(c).cast("string"), F.lit(text)))
-            for c, text in sentences.items()
+            F.when(F.col(c) > 0, fill(text, {"n": F.col(c).cast("string")}))
+            for c, text in SENTENCES.items()
         ]
     )
     return fault_counts(staging).withColumn("issues", issues).select(
@@ -58,7 +60,7 @@ def audit(staging: DataFrame) -> DataFrame:
         "total_records_checked",
         F.size("issues").cast("bigint").alias("issues_count"),
         "issues",
-        *sentences,
+        *SENTENCES,
     )
 
 

@@ -6,7 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tollgate.config import HIGH_RISK_CATEGORIES
-from tollgate.functions import compact
+from tollgate.functions import compact, fill
+
+# One sentence per rule; names in braces are filled in.
+SENTENCES = {
+    "velocity": "High transaction velocity detected ({count} transactions in 5 minutes)",
+    "amount": "Transaction amount ₹{amount} is significantly above historical user baseline ({ratio}x average)",
+    "device": "Transaction originated from an unrecognized new device",
+    "distance": "Impossible travel speed / large location shift detected ({km} km from prior transaction)",
+    "merchant": "Transaction at high-risk merchant category '{category}'",
+}
 
 
 def feature(name: str, default: float) -> Column:
@@ -53,38 +62,11 @@ def rule_score() -> Column:
 def rule_reasons() -> Column:
     """Sentences of the fully triggered rules, in rule order."""
     p, fires = _parts(), _tests()
-    return compact(
-        F.when(
-            fires["velocity"],
-            F.concat(
-                F.lit("High transaction velocity detected ("),
-                p["count"].cast("bigint").cast("string"),
-                F.lit(" transactions in 5 minutes)"),
-            ),
-        ),
-        F.when(
-            fires["amount"],
-            F.concat(
-                F.lit("Transaction amount ₹"),
-                F.format_number(p["amount"], 2),
-                F.lit(" is significantly above historical user baseline ("),
-                F.expr("format_number(coalesce(amount_vs_user_avg, 1.0D), '0.0')"),
-                F.lit("x average)"),
-            ),
-        ),
-        F.when(fires["device"], F.lit("Transaction originated from an unrecognized new device")),
-        F.when(
-            fires["distance"],
-            F.concat(
-                F.lit("Impossible travel speed / large location shift detected ("),
-                F.expr("format_number(coalesce(distance_from_last_tx, 0.0D), '0.0')"),
-                F.lit(" km from prior transaction)"),
-            ),
-        ),
-        F.when(
-            fires["merchant"],
-            F.concat(
-                F.lit("Transaction at high-risk merchant category '"), F.col("merchant_category"), F.lit("'")
-            ),
-        ),
-    )
+    shown = {
+        "count": p["count"].cast("bigint").cast("string"),
+        "amount": F.format_number(p["amount"], 2),
+        "ratio": F.expr("format_number(coalesce(amount_vs_user_avg, 1.0D), '0.0')"),
+        "km": F.expr("format_number(coalesce(distance_from_last_tx, 0.0D), '0.0')"),
+        "category": F.col("merchant_category"),
+    }
+    return compact(*[F.when(fires[rule], fill(text, shown)) for rule, text in SENTENCES.items()])

@@ -6,10 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.config import DEFAULT, Config
-from tollgate.functions import clip01, compact, rounded
+from tollgate.functions import clip01, compact, fill, rounded
 from tollgate.operators.rules import feature, rule_reasons, rule_score
 
+# Version name without a model, and the sentences of an explanation.
 RULES_ONLY_VERSION = "rules_only_v1.0"
+SENTENCES = {
+    "severe": "Unsupervised ML model detected severe statistical anomaly (score: {score})",
+    "elevated": "Elevated ML anomaly signal detected (score: {score})",
+    "combined": "Elevated risk score driven by combined sub-threshold velocity and behavioral signals",
+    "normal": "Normal transaction pattern within expected historical user baseline",
+}
 
 
 def velocity_score() -> Column:
@@ -33,21 +40,14 @@ def risk_band(score: Column, cfg: Config = DEFAULT) -> Column:
 def explanation(cfg: Config = DEFAULT) -> Column:
     """Rule sentences, then the model's, or one fallback sentence."""
     ml, elevated = F.col("ml_anomaly_score"), F.col("risk_level") != "LOW"
-    shown = F.expr("format_number(ml_anomaly_score, '0.00')")
+    shown = {"score": F.expr("format_number(ml_anomaly_score, '0.00')")}
     model = compact(
-        F.when(
-            ml >= cfg.ml_severe,
-            F.concat(F.lit("Unsupervised ML model detected severe statistical anomaly (score: "), shown, F.lit(")")),
-        ).when(
-            (ml >= cfg.ml_elevated) & elevated,
-            F.concat(F.lit("Elevated ML anomaly signal detected (score: "), shown, F.lit(")")),
+        F.when(ml >= cfg.ml_severe, fill(SENTENCES["severe"], shown)).when(
+            (ml >= cfg.ml_elevated) & elevated, fill(SENTENCES["elevated"], shown)
         )
     )
     found = F.concat(F.col("_rule_reasons"), model)
-    fallback = F.when(
-        elevated,
-        "Elevated risk score driven by combined sub-threshold velocity and behavioral signals",
-    ).otherwise("Normal transaction pattern within expected historical user baseline")
+    fallback = F.when(elevated, SENTENCES["combined"]).otherwise(SENTENCES["normal"])
     return F.when(F.size(found) > 0, found).otherwise(F.array(fallback))
 
 

@@ -74,8 +74,8 @@ def _features(spark: SparkSession, sf: str) -> DataFrame:
     return out.filter(~F.col("is_late")).select("transaction_id", *FEATURE_NAMES)
 
 
-@register("stream_pipeline")
-def _pipeline(spark: SparkSession, sf: str) -> DataFrame:
+@register("stream_to_warehouse")
+def _to_warehouse(spark: SparkSession, sf: str) -> DataFrame:
     """Spoiled JSON messages through validation, dedup, features and scoring into the warehouse."""
     session = stream_session(spark)
     root = scratch(session)

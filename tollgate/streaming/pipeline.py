@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tollgate.config import DEFAULT, Config
-from tollgate.operators import scoring, validate
+from tollgate.functions import rounded
+from tollgate.operators import iforest, scoring, validate
 from tollgate.plans import warehouse
 from tollgate.streaming.features import stream_features
 from tollgate.streaming.windows import dedup
@@ -38,15 +39,23 @@ def scored_stream(raw: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
 
 def start_scoring(
     raw: DataFrame, root: str, checkpoint: str, *, run_ts: str, ml_score: Column | None = None,
-    model_version: str = scoring.RULES_ONLY_VERSION, every: str | None = "1 second", cfg: Config = DEFAULT,
+    model_version: str = scoring.RULES_ONLY_VERSION, forest: iforest.Forest | None = None,
+    every: str | None = "1 second", cfg: Config = DEFAULT,
 ) -> StreamingQuery:
     """Score the stream and upsert staging, scores and alerts.
 
+    The model score comes from `forest`, or from any column over the feature rows.
+
     Progress is kept in the checkpoint and advances only after a batch is loaded; the
     upsert is keyed, so a batch that is repeated after a failure changes nothing. Late
     rows go to their own folder.
     """
 
+    if forest is not None:  # broadcast once, for all batches
+        value = iforest.score_samples(forest.nodes, forest.nodes, forest.sample_size)
+        ml_score = rounded(iforest.normalize(value - F.lit(forest.offset)), 4)
+        model_version = forest.version
+
     def load(batch: DataFrame, batch_id: int) -> None:
         # the session of the batch carries the stream's settings
         spark: SparkSession = batch.sparkSession
