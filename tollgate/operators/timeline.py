@@ -80,7 +80,9 @@ def with_chunks(df: DataFrame, hot: DataFrame | None, at: str = "_us") -> tuple[
     """Add the chunk column when there are hot users; return the keys to partition by."""
     if hot is None:
         return df, ["user_id"]
-    return df.join(hot, "user_id", "left").withColumn("_chunk", chunk_of(at)), ["user_id", "_chunk"]
+    chunked = df.join(hot, "user_id", "left").withColumn("_chunk", chunk_of(at))
+    # the width follows from the user; as a key it lets "hot users only" be filtered early
+    return chunked, ["user_id", "_width", "_chunk"]
 
 
 def with_lookback(df: DataFrame, hot: DataFrame | None, seconds: int) -> tuple[DataFrame, list[str]]:
@@ -149,7 +151,6 @@ def prior_profile(
     """
     columns = tx.columns
     base, keys = with_chunks(tx.withColumn("_us", micros()), hot)
-    carried = [*keys, *(["_width"] if hot is not None else [])]
     if hot is not None:
         dense = base.filter(F.col("_width").isNotNull())
         base = base.withColumn("_marker", F.lit(None).cast("string"))
@@ -194,7 +195,7 @@ def prior_profile(
     kept = [c for c in columns if c not in keys]
     firsts = [f"_first_{c}" for c in novelty]
     runs = ["_opens", "_closes"] if distinct_span is not None else []
-    fixed = [c for c in carried if c != "_chunk"]
+    fixed = [c for c in keys if c != "_chunk"]
     records = base.select(
         *fixed, *(["_chunk"] if hot is not None and not spans else []),
         F.expr(f"try_cast(amount AS {EXACT})").alias("_amount"), *runs,
