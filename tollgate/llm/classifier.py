@@ -2,8 +2,9 @@
 
 One weight vector over hashed text features serves all grades; ordered thresholds cut its score into grades:
 P(grade <= k) = sigmoid(threshold_k - score). From it come the expected grade and the tail probability of the top grade
-that selection uses. Features are which words occur (stripped of punctuation, lower case, hashed) and how the text looks
-(steps of its shares of capitals, symbols, digits, bars, exclamation marks and different words).
+that selection uses. Features are which words occur (stripped of punctuation, lower case, hashed), which beginnings of
+words occur (so that inflected forms share a weight), and how the text looks (steps of its shares of capitals, symbols,
+digits, bars, exclamation marks, different words and repeats of the word before).
 
 The model is fitted on at most `max_labels` labelled documents, those least by a hash of their id (the bound of what
 comes to the driver and of the broadcast); every document is scored. Words in fewer than `min_docs` of the sample carry no
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -25,8 +27,9 @@ from pyspark.sql import functions as F
 
 from tollgate.llm.common import keep_rows, map_rows
 
-BUCKETS = 1 << 18
-MAX_LABELS, MIN_DOCS = 20_000, 8
+BUCKETS = 1 << 20
+MAX_LABELS, MIN_DOCS = 10_000, 8
+PREFIXES = (4, 5)  # bytes of a longer word
 PUNCTUATION = b".,;:!?\"'()[]{}*#$%&|<>=~^_-"
 CAPITALS, SYMBOLS, DIGITS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"#*$%&|<>", b"0123456789"
 STEPS = 20
@@ -39,9 +42,12 @@ def features(text: str) -> np.ndarray:
     words = raw.lower().split()
     kinds = {w.strip(PUNCTUATION) for w in set(words)}
     found = {zlib.crc32(w) % BUCKETS for w in kinds}
+    for n in PREFIXES:
+        found.update([zlib.crc32(b"<" + w[:n]) % BUCKETS for w in kinds if len(w) > n])
     length = max(len(raw), 1)
     shares = [(length - len(raw.translate(None, c))) / length if raw else 0.0 for c in (CAPITALS, SYMBOLS, DIGITS, b"|", b"!")]
     shares.append(len(kinds) / max(len(words), 1))
+    shares.append(sum(map(eq, words, words[1:])) / max(len(words), 1))
     for place, share in enumerate(shares):
         found.add(zlib.crc32(b"share %d %d" % (place, int(share * STEPS))) % BUCKETS)
     found.add(zlib.crc32(b"length %d" % len(words).bit_length()) % BUCKETS)
@@ -64,14 +70,14 @@ class Ordinal:
         return 1 - sigmoid(self.thresholds - float(self.weights[buckets].sum()))
 
 
-def fit(grades: np.ndarray, rows: np.ndarray, buckets: np.ndarray, steps: int = 300, rate: float = 0.1, ridge: float = 2e-4, min_docs: int = MIN_DOCS) -> Ordinal:
+def fit(grades: np.ndarray, rows: np.ndarray, buckets: np.ndarray, steps: int = 150, rate: float = 0.1, ridge: float = 5e-4, min_docs: int = MIN_DOCS) -> Ordinal:
     """Full-batch Adam on the likelihood; `rows` and `buckets` are the features' coordinates."""
     present = np.unique(grades)
     if len(present) < 2:
         only = int(present[0]) if len(present) else TOP
         return Ordinal(np.zeros(BUCKETS, np.float32), np.where(np.arange(TOP) < only, -20.0, 20.0))
     used = np.bincount(buckets, minlength=BUCKETS) >= min_docs
-    rows, buckets = rows[used[buckets]], buckets[used[buckets]]
+    rows, buckets = rows[used[buckets]], buckets[used[buckets]].astype(np.int64)
     n = len(grades)
     below = np.array([max((grades <= k).mean(), 1e-4) for k in range(TOP)])
     start = np.log(below / np.maximum(1 - below, 1e-4))
@@ -93,7 +99,7 @@ def fit(grades: np.ndarray, rows: np.ndarray, buckets: np.ndarray, steps: int =
         grad[BUCKETS + 1 :] = [by_cut[k + 1 :].sum() * gaps[k] for k in range(TOP - 1)]
         mean += 0.1 * (grad - mean)
         square += 0.001 * (grad**2 - square)
-        params -= rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
+        params -= rate * (1 - (step - 1) / steps) * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
     cuts = params[BUCKETS] + np.concatenate([[0], np.cumsum(np.exp(params[BUCKETS + 1 :]))])
     return Ordinal(params[:BUCKETS].astype(np.float32), cuts)
 
