@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.llm import classifier, decontaminate, mixing, oracles, rules, secrets, simhash, tokens
+from tollgate.llm import classifier, decontaminate, mixing, oracles, pii, rules, secrets, simhash, tokens
 from tollgate.llm.common import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,16 @@ def op6_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+#: Key of the registered query; users bring their own.
+SURROGATE_KEY = b"registered query"
+
+
+@query("op7_pii_surrogates")
+def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace(docs, SURROGATE_KEY, count="n_entities")
+
+
 @query("op8_secret_scan")
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
