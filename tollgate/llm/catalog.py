@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.llm import classifier, decontaminate, mixing, oracles, pii, rules, secrets, simhash, tokens
+from tollgate.llm import classifier, decontaminate, mixing, oracles, pii, rules, secrets, simhash, suffix_dedup, tokens
 from tollgate.llm.common import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,16 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    lengths = F.transform("spans", lambda s: s["last"] - s["first"] + 1)
+    return found.select(
+        "doc_id", "n_bytes", F.aggregate(lengths, F.lit(0), lambda a, n: a + n).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query("op3_mixing_pivotal")
 def op3_mixing_pivotal(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
