@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.llm import classifier, decontaminate, mixing, oracles, pii, rules, secrets, simhash, suffix_dedup, tokens
+from tollgate.llm import classifier, decontaminate, mixing, oracles, pii, rules, secrets, simhash, suffix_dedup, tokens, wrapper
 from tollgate.llm.common import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,12 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_wrapper_text")
+def op2_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wrapper.main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_template")
+
+
 @query("op3_mixing_pivotal")
 def op3_mixing_pivotal(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
