@@ -28,7 +28,8 @@ from tollgate.llm.components import components
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 PAIRS = ((0, 1), (0, 2), (1, 2))
 SEED = 42
-CHUNK = 65536  # shingles whose bits are unpacked at a time
+MIX = np.uint64(0x9E3779B97F4A7C15)
+LANES = np.uint64(0x0101010101010101)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -49,27 +50,42 @@ def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
     return np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)), dtype=np.uint64, count=len(starts))
 
 
-def fingerprint(hashes: np.ndarray) -> int:
-    """Bits that are set in over half of the hashes; as a signed 64-bit integer."""
-    ones = np.zeros(64, dtype=np.int64)
-    for start in range(0, len(hashes), CHUNK):
-        part = hashes[start : start + CHUNK].astype("<u8").view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = np.packbits(ones * 2 > len(hashes), bitorder="little")
-    return int(bits.view("<i8")[0])
-
-
-def fingerprints(docs: DataFrame, shingle: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp) of every row."""
+def fingerprint(hashes: np.ndarray, words: int = 1) -> list[int]:
+    """`words` times 64 bits, each set if it is in over half of the hashes; as signed 64-bit integers.
+
+    The first word counts the hashes themselves, others count them remixed. Bits are counted in byte lanes, 255 at a time.
+    """
+    if not len(hashes):
+        return [0] * words
+    found = []
+    for word in range(words):
+        mixed = hashes
+        if word:
+            with np.errstate(over="ignore"):
+                mixed = (hashes ^ np.uint64(word)) * MIX
+                mixed = (mixed ^ (mixed >> np.uint64(31))) * MIX
+                mixed ^= mixed >> np.uint64(33)
+        ones = np.zeros((8, 8), dtype=np.int64)  # by bit within a byte, by byte
+        edges = np.arange(0, len(mixed), 255)
+        for bit in range(8):
+            lanes = np.add.reduceat((mixed >> np.uint64(bit)) & LANES, edges)
+            ones[bit] = lanes.astype("<u8").view(np.uint8).reshape(-1, 8).sum(axis=0, dtype=np.int64)
+        bits = np.packbits((ones.T.ravel() * 2 > len(mixed)), bitorder="little")
+        found.append(int(bits.view("<i8")[0]))
+    return found
+
+
+def fingerprints(docs: DataFrame, shingle: int = 3, words: int = 1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, text_hash, fps) of every row."""
 
     def run(rows):
-        for key, content in rows:
-            yield key, fingerprint(shingle_hashes(words_of(content), shingle))
+        for key, text_hash, content in rows:
+            yield key, text_hash, fingerprint(shingle_hashes(words_of(content), shingle), words)
 
-    return map_rows(docs.select(doc_id, text), run, "doc_id long, fp long", limit=16384)
+    return map_rows(docs.select(doc_id, F.xxhash64(text), text), run, "doc_id long, text_hash long, fps array<long>", limit=16384)
 
 
-def key_frame(fps: np.ndarray, swap: bool) -> pd.DataFrame:
+def key_frame(nodes: np.ndarray, fps: np.ndarray, word: int, swap: bool) -> pd.DataFrame:
     """Keys of fingerprints: of each pair's segments one is given by its index, the other by all indices nearby."""
     bits = fps.view(np.uint64)
     segments = [((bits >> np.uint64(at)) & np.uint64((1 << n) - 1)).astype(np.uint32) for at, n in SEGMENTS]
@@ -84,39 +100,76 @@ def key_frame(fps: np.ndarray, swap: bool) -> pd.DataFrame:
         first, second = own[one][row].astype(np.int64), keys[row, column].astype(np.int64)
         if swap:
             first, second = second, first
-        parts.append(pd.DataFrame({"fp": fps[row], "key": (number << 24) | (first << 12) | second}))
+        table = (word * len(PAIRS) + number) << 24
+        parts.append(pd.DataFrame({"node": nodes[row], "fp": fps[row], "key": table | (first << 12) | second}))
     return pd.concat(parts)
 
 
-def golay_keys(distinct: DataFrame, swap: bool) -> DataFrame:
-    """(fp, key) rows of a table of distinct fingerprints; the two forms of `swap` meet each other."""
+def golay_keys(nodes: DataFrame, words: int, swap: bool) -> DataFrame:
+    """(node, fp, key) rows of a table (node, fps); the two forms of `swap` meet each other."""
 
     def run(batches):
         for batch in batches:
-            fps = batch.column(0).to_numpy(zero_copy_only=False)
-            for start in range(0, len(fps), 4096):
-                frame = key_frame(np.ascontiguousarray(fps[start : start + 4096]), swap)
-                yield pa.RecordBatch.from_pandas(frame, preserve_index=False)
+            for start in range(0, batch.num_rows, 4096):
+                part = batch.slice(start, 4096)
+                ids = part.column(0).to_numpy(zero_copy_only=False)
+                fps = np.array(part.column(1).to_pylist(), dtype=np.int64).reshape(-1, words)
+                for word in range(words):
+                    frame = key_frame(ids, np.ascontiguousarray(fps[:, word]), word, swap)
+                    yield pa.RecordBatch.from_pandas(frame, preserve_index=False)
+
+    return nodes.select("node", "fps").mapInArrow(run, "node long, fp long, key long")
 
-    return distinct.select("fp").mapInArrow(run, "fp long, key long")
 
+def links(nodes: DataFrame, words: int = 1, bits: int = 3, share: float = 1.0) -> DataFrame:
+    """(a, b) with a < b: nodes of a table (node, fps) that differ in at most `bits` (up to three) bits in some word.
 
-def links(distinct: DataFrame, bits: int = 3) -> DataFrame:
-    """(a, b) with a < b: distinct fingerprints that differ in at most `bits` bits, for up to three bits."""
+    With several words, at most `share` of all bits may differ.
+    """
     if bits > 3:
         raise ValueError("the keys guarantee distances up to three bits")
-    a = golay_keys(distinct, False).withColumnRenamed("fp", "a")
-    b = golay_keys(distinct, True).withColumnRenamed("fp", "b")
-    close = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= bits)
-    return a.join(b, (a["key"] == b["key"]) & close).select("a", "b").distinct()
+    a = golay_keys(nodes, words, False).withColumnsRenamed({"node": "a", "fp": "x"})
+    b = golay_keys(nodes, words, True).withColumnsRenamed({"node": "b", "fp": "y"})
+    close = (F.col("a") < F.col("b")) & (F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= bits)
+    found = a.join(b, (a["key"] == b["key"]) & close).select("a", "b").distinct()
+    if words == 1:
+        return found
+    left, right = nodes.select(F.col("node").alias("a"), F.col("fps").alias("x")), nodes.select(F.col("node").alias("b"), F.col("fps").alias("y"))
+    apart = F.aggregate(F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n)
+    return found.join(left, "a").join(right, "b").filter(apart <= share * 64 * words).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, fp, component_id (least doc_id of the component)."""
-    prints = stored(fingerprints(docs, shingle, doc_id, text), "fingerprints")
+    """Per row: doc_id, fp (64 bits), component_id (least doc_id of the component)."""
+    prints = stored(fingerprints(docs, shingle, 1, doc_id, text).select("doc_id", F.get("fps", F.lit(0)).alias("fp")), "fingerprints")
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(distinct, bits)).withColumnRenamed("node", "fp")
+    nodes = distinct.select(F.col("fp").alias("node"), F.array("fp").alias("fps"))
+    roots = components(links(nodes, 1, bits)).withColumnRenamed("node", "fp")
     members = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = members.groupBy("root").agg(F.min("least").alias("component_id"))
     named = members.select("fp", "root").join(least, "root").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+#: Share of differing bits at a Jaccard similarity of 0.8 of the shingle sets: the angle of cosine 2J / (1 + J), over pi.
+SHARE_AT_80 = float(np.arccos(2 * 0.8 / 1.8) / np.pi)
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, words: int = 4, bits: int = 3, share: float = SHARE_AT_80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component, that with the least id; all columns stay.
+
+    Links need a word of the longer fingerprint (64 times `words` bits) within `bits` bits, which the keys find without
+    fail, and a share of differing bits over all words that stands for a similarity of 0.8 or more. Equal texts always
+    link. Rows without an id go by their text's hash.
+    """
+    own = F.coalesce(F.col(doc_id), F.xxhash64(text))
+    prints = stored(fingerprints(docs.withColumn("_own", own), shingle, words, "_own", text), "fingerprints")
+    distinct = prints.groupBy("fps").agg(F.min("doc_id").alias("node"))
+    roots = components(links(distinct, words, bits, share))
+    members = distinct.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # the least id of a component is its root, since nodes are least ids
+    kept = prints.join(members.filter(F.col("node") == F.col("root")), "fps").filter(F.col("doc_id") == F.col("node"))
+    chosen = kept.groupBy(F.col("doc_id").alias("_id")).agg(F.min("text_hash").alias("_hash"))
+    marked = docs.withColumns({"_own": own, "_own_hash": F.xxhash64(text)})
+    joined = marked.join(chosen, (F.col("_own") == F.col("_id")) & (F.col("_own_hash") == F.col("_hash")))
+    return joined.dropDuplicates(["_own"]).select(*docs.columns)
