@@ -18,7 +18,7 @@ SYMBOLS_PER_KEY = 7  # nine bits each: 256 bytes and the separator
 def suffix_order(text: np.ndarray) -> np.ndarray:
     """Positions of the suffixes in order, by doubling; each round sorts only what is still equal to a neighbour."""
     n = len(text)
-    padded = np.concatenate([text, np.zeros(SYMBOLS_PER_KEY, dtype=text.dtype)])
+    padded = np.concatenate([text + 1, np.zeros(SYMBOLS_PER_KEY, dtype=text.dtype)])  # the end is below every symbol
     key = np.zeros(n, dtype=np.uint64)
     for i in range(SYMBOLS_PER_KEY):
         key = (key << np.uint64(9)) | padded[i : i + n].astype(np.uint64)
