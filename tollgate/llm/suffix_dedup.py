@@ -12,8 +12,9 @@ equal windows without moving the corpus:
    gets a run-length Burrows-Wheeler index with sampled run ends (`rindex`), which streams the matching statistics
    of every position; windows with a match of full length are marked. A window is whole only in its own anchor's context,
    so no match is one of a text with itself.
-3. An anchor whose contexts exceed a block (a passage in very many different surroundings) is split: its windows are
-   counted by 128-bit digests, which needs no group in one place and gives the same marks.
+3. An anchor whose contexts exceed `group_bytes` (a passage in very many different surroundings) is split: its contexts are
+   spread over tasks, cores and then the windows around repeated cores are counted by 128-bit digests, which needs no
+   group in one place and gives the same marks.
 4. Marks come back to all occurrences by (anchor, digest), and documents meet their merged spans.
 
 Matches never cross documents. Null texts are empty. Texts shorter than a window keep all. Texts of any length are worked
@@ -38,13 +39,15 @@ GRAM = 16
 PIECE = 1 << 17  # window starts worked on at a time
 PLACE_BITS = np.uint64(18)  # places in a piece, below the hash in a sort key
 BLOCK_BYTES = 3_000_000  # of an index
-GROUP_BYTES = 8_000_000  # of an anchor's contexts in one task; beyond it the anchor is split
+GROUP_BYTES = 4_000_000  # of an anchor's contexts in one task; beyond it the anchor is split
 CELL = 16  # windows that are kept or left together
 
 RANGES = "array<struct<first:int,last:int>>"  # of window starts, both included
 OCCURRENCES = "doc_id long, text_hash long, anchor long, digest long, first int, last int, place int"
-CONTEXTS = "anchor long, digest long, copies long, place int, context binary"
-MARKS = f"anchor long, digest long, ranges {RANGES}"
+CONTEXTS = "anchor long, digest long, copies long, place int, split boolean, context binary"
+MARKS = f"anchor long, digest long, ranges {RANGES}, copies long, place int, context binary"  # a mark, or a context left to do
+CORES = "anchor long, digest long, cell int, core binary"
+WINDOWS = "anchor long, digest long, copies long, distance int, start int, window binary"
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -102,7 +105,7 @@ def cut_contexts(length: int):
         for text, wanted in rows:
             data = text.encode()
             for w in wanted:
-                yield w["anchor"], w["digest"], w["copies"], w["place"] - w["first"], data[w["first"] : w["last"] + length]
+                yield w["anchor"], w["digest"], w["copies"], w["place"] - w["first"], w["split"], data[w["first"] : w["last"] + length]
 
     return run
 
@@ -116,34 +119,27 @@ def ranges_of(starts: np.ndarray) -> list[dict]:
     return [{"first": int(starts[a]), "last": int(starts[b])} for a, b in zip(firsts, lasts, strict=True)]
 
 
-def shared_parts(group: list[tuple[int, int, int, bytes]], length: int):
-    """(digest, copies, first window start, part of the context) that may hold windows of another context.
-
-    Windows of one anchor are equal only at equal distances from it. The windows of a cell, CELL neighbouring distances,
-    have a core in common; without an equal core there is no equal window.
-    """
-    cells = []
-    owners: Counter[tuple[int, int]] = Counter()
-    for _, _, place, context in group:
-        own = []
-        for cell in range((place - (len(context) - length)) // CELL, place // CELL + 1):
-            core = place - cell * CELL
-            own.append((cell, xxhash.xxh64_intdigest(context[max(core, 0) : core - CELL + 1 + length])))
-        owners.update(own)
-        cells.append(own)
-    for (digest, copies, place, context), own in zip(group, cells, strict=True):
-        final = len(context) - length
-        kept = sorted(cell for cell, core in own if owners[cell, core] > 1)
-        while kept:
-            low = high = kept.pop()  # the greatest distance is the first window
-            while kept and kept[-1] == low - 1:
-                low = kept.pop()
-            first, last = max(place - high * CELL - CELL + 1, 0), min(place - low * CELL, final)
-            yield digest, copies, first, context[first : last + length]
+def cores_of(place: int, context: bytes, length: int):
+    """(cell, core) of a context. Windows of one anchor are equal only at equal distances from it; the windows of a cell,
+    CELL neighbouring distances, have a core in common. Without an equal core there is no equal window."""
+    for cell in range((place - (len(context) - length)) // CELL, place // CELL + 1):
+        core = place - cell * CELL
+        yield cell, context[max(core, 0) : core - CELL + 1 + length]
+
+
+def parts_of(cells: list[int], place: int, context: bytes, length: int):
+    """(first window start, part of the context) around each run of neighbouring cells."""
+    left = sorted(cells)
+    while left:
+        low = high = left.pop()  # the greatest distance is the first window
+        while left and left[-1] == low - 1:
+            low = left.pop()
+        first, last = max(place - high * CELL - CELL + 1, 0), min(place - low * CELL, len(context) - length)
+        yield first, context[first : last + length]
 
 
 def mark_blocks(length: int):
-    """Marks of contexts that come sorted by anchor."""
+    """Marks of contexts that come sorted by anchor; contexts of split anchors pass through."""
 
     def marks(block: list[tuple[int, int, int, int, bytes]]):
         found = matching_statistics([part for *_, part in block])
@@ -151,17 +147,25 @@ def mark_blocks(length: int):
             if copies == 1:
                 starts = np.nonzero(lengths[: len(part) - length + 1] >= length)[0]
                 if len(starts):
-                    yield anchor, digest, ranges_of(starts + first)
+                    yield anchor, digest, ranges_of(starts + first), None, None, None
 
     def run(rows):
         block: list = []
         size = 0
-        for anchor, group in groupby(rows, key=itemgetter(0)):
+        for (anchor, split), group in groupby(rows, key=itemgetter(0, 4)):
+            if split:
+                for _, digest, copies, place, _, context in group:
+                    yield anchor, digest, None, copies, place, context
+                continue
             # a repeated row brings its contexts again
-            contexts = {digest: (digest, copies, place, context) for _, digest, copies, place, context in group}
-            for digest, copies, first, part in shared_parts(list(contexts.values()), length):
-                block.append((anchor, digest, copies, first, part))
-                size += len(part) + 1
+            contexts = {digest: (copies, place, context) for _, digest, copies, place, _, context in group}
+            cores = {d: [(cell, xxhash.xxh64_intdigest(core)) for cell, core in cores_of(place, c, length)] for d, (_, place, c) in contexts.items()}
+            owners = Counter(core for own in cores.values() for core in own)
+            for digest, (copies, place, context) in contexts.items():
+                shared = [core[0] for core in cores[digest] if owners[core] > 1]
+                for first, part in parts_of(shared, place, context, length):
+                    block.append((anchor, digest, copies, first, part))
+                    size += len(part) + 1
             if size >= BLOCK_BYTES:
                 yield from marks(block)
                 block, size = [], 0
@@ -171,15 +175,39 @@ def mark_blocks(length: int):
     return run
 
 
+def core_digests(length: int):
+    def run(rows):
+        for anchor, digest, place, context in rows:
+            for cell, core in cores_of(place, context, length):
+                yield anchor, digest, cell, xxhash.xxh128_digest(core)
+
+    return run
+
+
 def window_digests(length: int):
     def run(rows):
-        for anchor, digest, copies, place, context in rows:
-            for start in range(len(context) - length + 1):
-                yield anchor, digest, copies, place - start, start, xxhash.xxh128_digest(context[start : start + length])
+        for anchor, digest, copies, place, context, cells in rows:
+            for first, part in parts_of(cells, place, context, length):
+                for at in range(len(part) - length + 1):
+                    yield anchor, digest, copies, place - first - at, first + at, xxhash.xxh128_digest(part[at : at + length])
 
     return run
 
 
+def split_marks(left: DataFrame, length: int) -> DataFrame:
+    """(anchor, digest, ranges) of contexts (anchor, digest, copies, place, context) by counts of digests."""
+    cores = stored(map_rows(left.select("anchor", "digest", "place", "context"), core_digests(length), CORES), "cores")
+    same = ["anchor", "cell", "core"]
+    shared = cores.join(cores.groupBy(same).agg(F.count("*").alias("n")).filter("n > 1").drop("n"), same)
+    cells = shared.groupBy("anchor", "digest").agg(F.collect_list("cell").alias("cells"))
+    some = left.join(cells, ["anchor", "digest"]).select("anchor", "digest", "copies", "place", "context", "cells")
+    windows = stored(map_rows(some, window_digests(length), WINDOWS), "windows")
+    same = ["anchor", "distance", "window"]
+    again = windows.groupBy(same).agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    starts = windows.filter("copies = 1").join(again, same).groupBy("anchor", "digest").agg(F.collect_list("start").alias("s"))
+    return starts.select("anchor", "digest", F.transform("s", lambda x: F.struct(x.alias("first"), x.alias("last"))).alias("ranges"))
+
+
 def marked(seen: DataFrame, texts: DataFrame, length: int, group_bytes: int) -> DataFrame:
     """(anchor, digest, ranges): window starts in a context, from its first, that occur elsewhere; ranges null: all."""
     where = F.struct("doc_id", "text_hash", "first", "last", "place").alias("where")
@@ -192,23 +220,16 @@ def marked(seen: DataFrame, texts: DataFrame, length: int, group_bytes: int) ->
         F.collect_list(F.struct("anchor", "digest", "copies", "split", "where.first", "where.last", "where.place")).alias("wanted")
     ).withColumnsRenamed({"doc_id": "d", "text_hash": "h"})
     met = texts.join(listed, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))).select("text", "wanted")
-
-    def fetched(split: bool) -> DataFrame:
-        some = met.select("text", F.filter("wanted", lambda w: w["split"] == split).alias("wanted")).filter(F.size("wanted") > 0)
-        return map_rows(some, cut_contexts(length), CONTEXTS)
-
+    fetched = map_rows(met, cut_contexts(length), CONTEXTS)
+    # a split anchor's contexts go to tasks by their digests
+    dealt = fetched.repartition("anchor", F.when(F.col("split"), F.col("digest"))).sortWithinPartitions("anchor")
+    found = stored(map_rows(dealt, mark_blocks(length), MARKS), "marks")
     whole = contexts.filter("copies > 1").select("anchor", "digest", F.lit(None).cast(RANGES).alias("ranges"))
-    dealt = fetched(False).repartition("anchor").sortWithinPartitions("anchor")
-    indexed = map_rows(dealt, mark_blocks(length), MARKS)
-    if spread.filter("split").isEmpty():
-        return whole.unionByName(indexed)
-    windows = stored(
-        map_rows(fetched(True), window_digests(length), "anchor long, digest long, copies long, distance int, start int, window binary").distinct(), "windows"
-    )
-    again = windows.groupBy("anchor", "distance", "window").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    starts = windows.filter("copies = 1").join(again, ["anchor", "distance", "window"]).groupBy("anchor", "digest").agg(F.collect_list("start").alias("s"))
-    ranges = F.transform("s", lambda x: F.struct(x.alias("first"), x.alias("last")))
-    return whole.unionByName(indexed).unionByName(starts.select("anchor", "digest", ranges.alias("ranges")))
+    marks = whole.unionByName(found.filter("context is null").select("anchor", "digest", "ranges"))
+    left = found.filter("context is not null").select("anchor", "digest", "copies", "place", "context")
+    if left.isEmpty():
+        return marks
+    return marks.unionByName(split_marks(left.dropDuplicates(["anchor", "digest"]), length))
 
 
 def erase(length: int):
@@ -239,7 +260,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", t
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     long_enough = texts.filter(F.octet_length("text") >= length)
     seen = stored(map_rows(long_enough, occurrences(length), OCCURRENCES, limit=8192), "occurrences")
-    marks = stored(marked(seen, long_enough, length, group_bytes), "marks")
+    marks = marked(seen, long_enough, length, group_bytes)
     ranges = F.when(F.col("ranges").isNull(), F.array(F.struct("first", "last"))).otherwise(
         F.transform("ranges", lambda r: F.struct((F.col("first") + r["first"]).alias("first"), (F.col("first") + r["last"]).alias("last")))
     )
