@@ -81,7 +81,7 @@ def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_secret_scan")
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{secrets.KINDS[k]}") for k in range(3)]
+    counts = [F.size(secrets.of_kind("base", kind)).cast("long").alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
     return found.select(
         "doc_id", *counts, F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"),
         secrets.listed(F.col("spans")).alias("spans"), "n_live", "n_example",

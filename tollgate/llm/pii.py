@@ -193,7 +193,7 @@ def propose(kind: str, value: str, key: bytes, attempt: int) -> str:
     if kind == "ipv6":
         net, rest = value.split(":", 1)
         new = permute(rest.replace(":", ""), HEX, key, "ipv6|" + net)
-        return net + ":" + ":".join(new[i : i + 4] for i in range(0, len(new), 4))
+        return ":".join(f"{int(group, 16):x}" for group in [net, *(new[i : i + 4] for i in range(0, len(new), 4))])
     if kind == "card":
         payload, check = value[:-1], int(value[-1])
         new = permute(payload, DIGITS, key, kind)
@@ -296,12 +296,12 @@ def replace(docs: DataFrame, key: bytes, text: str = "text", doc_id: str = "doc_
     # repeated rows have equal units: once is enough
     uses = found.select("doc_id", "text_hash", F.explode("units").alias("u")).select("doc_id", "text_hash", "u.kind", "u.value").distinct()
     mapped = uses.join(surrogates, ["kind", "value"]).groupBy("doc_id", "text_hash").agg(
-        F.collect_list(F.struct("kind", "value", "surrogate")).alias("mapping")
+        F.collect_list(F.struct("kind", "value", "surrogate")).alias("_units")
     ).withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
     marked = some.withColumns({"_own_id": F.col(doc_id), "_own_hash": hashed})
     joined = marked.join(mapped, F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own_hash") == F.col("_hash")), "left")
     kept = [c for c in docs.columns if c != text]
-    ready = joined.select(*kept, text, F.coalesce("mapping", F.array().cast(MAPPED)).alias("_mapping"))
+    ready = joined.select(*kept, text, F.coalesce("_units", F.array().cast(MAPPED)).alias("_mapping"))
     spans = count or "_n"
     types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     ddl = ", ".join(f"`{c}` {types[c]}" for c in [*kept, text]) + f", `{spans}` long"

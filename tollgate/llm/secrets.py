@@ -71,6 +71,10 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(kinds, s["kind"]), s["start"], s["end"])), ",")
 
 
+def of_kind(spans: str, kind: str) -> Column:
+    return F.filter(spans, lambda s: s["kind"] == KINDS.index(kind))
+
+
 def find_secrets(
     docs: DataFrame,
     doc_id: str = "doc_id",

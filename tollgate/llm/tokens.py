@@ -78,6 +78,7 @@ def count_tokens(
     first = keys.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     misses = first.join(known, "digest", "left_anti").withColumnRenamed("digest", "missing")
     chosen = texts.join(misses, F.col("digest").eqNullSafe(F.col("missing")) & F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
+    chosen = chosen.dropDuplicates(["digest", "doc_id"])  # of repeated rows; already dealt by these keys
 
     def encode(rows):
         count = encoder(model_path)
