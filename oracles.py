@@ -485,3 +485,11 @@ ORACLES |= {
 SELECT transaction_id, user_id, format('{R4}', (wm - epoch_us(event_time)) / 1e6::double)::double AS seconds_late FROM s WHERE epoch_us(event_time) < wm"""
     ),
 }
+
+# arrival in four slices by event id; a valid event is late if it lies below the watermark of the slices before its own
+ORACLES["stream_late_events"] = f"""{CHECKED},
+valid AS ({_VALID_TX[len(CHECKED):]}),
+placed AS (SELECT event_time, cast(substr(transaction_id, 4) AS bigint) AS event_id, cast(substr(transaction_id, 4) AS bigint) * 4 // ((SELECT max(event_id) FROM events) + 1) AS slice FROM valid),
+marks AS (SELECT slice, date_trunc('milliseconds', max(max(event_time)) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) - INTERVAL 10 MINUTE AS watermark FROM placed GROUP BY slice)
+SELECT event_id, CASE WHEN event_time < watermark THEN 'late' ELSE 'scored' END AS outcome FROM placed JOIN marks USING (slice)
+UNION ALL SELECT cast(off AS bigint) AS event_id, 'dead' AS outcome FROM checked WHERE len(errors) > 0"""

@@ -176,6 +176,27 @@ def test_pipeline_resumes_without_loss_or_repeats(spark, streams, tmp_path):
     assert sorted(r["error_type"] for r in letters.collect()) == ["amount", "payload"]
 
 
+def test_late_messages_and_copies_are_kept_apart(spark, streams, tmp_path):
+    """A late message in every batch reaches its folder; copies of an id count once, the first arrival."""
+    folder, root = f"{tmp_path}/in", f"{tmp_path}/wh"
+    slices = [
+        [txn("a0", 0), txn("a1", 60), txn("a1", 60, amount=7.0)],
+        [txn("b0", 3600), txn("late1", -3600), txn("a1", 60, amount=9.0)],
+        [txn("c0", 7200), txn("late2", 600), txn("b0", 3600, amount=9.0)],
+        [txn("d0", 10800), txn("late3", 3000, user_id="u2")],
+    ]
+    for number, rows in enumerate(slices):
+        put_text(folder, number, [message(r) for r in rows])
+    raw = source(streams, "text", path=folder, maxFilesPerTrigger="1")
+    pipeline.start_scoring(raw, root, f"{tmp_path}/ckpt", every=None).awaitTermination()
+    scores = warehouse.read_table(spark, root, "transaction_scores").collect()
+    assert sorted(r["transaction_id"] for r in scores) == ["a0", "a1", "b0", "c0", "d0"]
+    assert {r["transaction_id"]: float(r["amount"]) for r in scores}["a1"] == 100.0
+    assert len({r["scored_at"] for r in scores}) >= 1 and all(r["scored_at"] for r in scores)
+    late = [r["transaction_id"] for r in spark.read.parquet(f"{root}/late_events").collect()]
+    assert sorted(late) == ["late1", "late2", "late3"]
+
+
 def test_forest_scores_the_stream(spark, streams, frame, tmp_path):
     from tollgate.config import Config
     from tollgate.operators import iforest

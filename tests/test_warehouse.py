@@ -63,6 +63,49 @@ def test_interrupted_replacement_is_finished(spark, frame, tmp_path):
     assert ids(warehouse.read_table(spark, root, table)) == ["a", "c", "d"]
 
 
+def crash_at(monkeypatch, step):
+    """The warehouse with one of its steps failing before it does anything."""
+    def boom(*args, **kwargs):
+        raise RuntimeError("crash")
+
+    monkeypatch.setattr(warehouse, step, boom)
+
+
+@pytest.mark.parametrize("step", ["_replace_days", "_drop_emptied", "_drop", "recover"])
+def test_crash_at_any_step_leaves_each_key_once(spark, frame, tmp_path, monkeypatch, step):
+    root, table = str(tmp_path), "stg_transactions"
+    warehouse.upsert(spark, root, table, warehouse.staging_rows(frame([txn("a", amount=1.0), txn("b", 86400)])))
+    moved = warehouse.staging_rows(frame([txn("a", 86400 * 3, amount=2.0)]))
+    with monkeypatch.context() as patch:
+        crash_at(patch, step)
+        with pytest.raises(RuntimeError):
+            warehouse.upsert(spark, root, table, moved)
+    warehouse.upsert(spark, root, table, warehouse.staging_rows(frame([txn("c")])))
+    warehouse.upsert(spark, root, table, moved)
+    rows = sorted((r["transaction_id"], str(r["event_date"]), float(r["amount"])) for r in warehouse.read_table(spark, root, table).collect())
+    assert rows == [("a", "2026-08-14", 2.0), ("b", "2026-08-12", 100.0), ("c", "2026-08-11", 100.0)]
+
+
+def test_crash_after_the_rows_are_aside(spark, frame, tmp_path, monkeypatch):
+    """The replacement is whole once its rows are aside: the next run finishes it, emptied days included."""
+    root, table = str(tmp_path), "stg_transactions"
+    warehouse.upsert(spark, root, table, warehouse.staging_rows(frame([txn("a"), txn("b", 86400)])))
+    with monkeypatch.context() as patch:
+        crash_at(patch, "_drop_emptied")
+        with pytest.raises(RuntimeError):
+            warehouse.upsert(spark, root, table, warehouse.staging_rows(frame([txn("a", 86400 * 3)])))
+    warehouse.recover(spark, root, table)
+    assert ids(warehouse.read_table(spark, root, table)) == ["a", "b"]
+
+
+def test_greatest_version_wins_over_partitions(spark, scored, tmp_path):
+    root, rows = str(tmp_path), [txn("same", amount=float(i)) for i in range(40)] + [txn("one")]
+    batch = scored(rows).withColumn("offset", F.when(F.col("transaction_id") == "one", -1).otherwise((F.col("amount") * 7) % 40)).repartition(8)
+    assert warehouse.load_scored(spark, root, batch, TS, version=["offset"]) == 41
+    got = {r["transaction_id"]: float(r["amount"]) for r in warehouse.read_table(spark, root, "stg_transactions").collect()}
+    assert got == {"same": next(float(i) for i in range(40) if i * 7 % 40 == 39), "one": 100.0}
+
+
 def test_lowered_row_keeps_its_alert_unless_retracted(spark, scored, tmp_path):
     root = str(tmp_path)
     warehouse.load_scored(spark, root, scored(fraud_rows(), 0.9), TS)

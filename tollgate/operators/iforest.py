@@ -58,15 +58,13 @@ def draw_samples(features: DataFrame, rows: int, cfg: Config, key: str = "transa
     rate = min(1.0, (size + 6.0 * math.sqrt(size)) / rows)
     seed = F.lit(cfg.seed)
     picked = features.select(key, *[F.col(f).cast("double").alias(f) for f in FEATURE_NAMES])
-    if rate * cfg.n_trees < 0.5:
-        # large table: a row joins at most one tree, and most rows are dropped by one hash
-        picked = picked.filter(_unit(F.col(key), seed) < rate * cfg.n_trees).withColumn(
-            "tree_id", F.pmod(F.xxhash64(F.lit("tree"), F.col(key), seed), F.lit(cfg.n_trees)).cast("int")
-        )
-    else:
-        picked = picked.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(cfg.n_trees - 1)))).filter(
-            _unit(F.col(key), F.col("tree_id"), seed) < rate
-        )
+    # the first tree a row joins comes from one hash, as the gap before the first of independent draws of chance `rate`;
+    # a row whose gap passes the last tree joins none and goes no further. Trees after the first are drawn one by one.
+    gap = F.when(F.lit(rate) >= 1.0, F.lit(0.0)).otherwise(F.floor(F.log(1.0 - _unit(F.col(key), seed)) / math.log1p(-min(rate, 1 - 1e-12))))
+    joined = picked.withColumn("_first", gap.cast("double")).filter(F.col("_first") < cfg.n_trees).withColumn("_first", F.col("_first").cast("int"))
+    picked = joined.withColumn("tree_id", F.explode(F.sequence("_first", F.lit(cfg.n_trees - 1)))).filter(
+        (F.col("tree_id") == F.col("_first")) | (_unit(F.col(key), F.col("tree_id"), seed) < rate)
+    ).drop("_first")
     order = Window.partitionBy("tree_id").orderBy(F.xxhash64(F.lit("rank"), F.col(key), F.col("tree_id"), seed), key)
     return picked.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= size)
 
@@ -151,11 +149,46 @@ def train(features: DataFrame, cfg: Config = DEFAULT, version: str = "iforest_v1
     if rows == 0:
         raise ValueError("no rows to train on")
     nodes = grow_forest(features, cfg, rows).persist()
-    size = min(cfg.sample_size, rows)
-    value = score_samples(features, nodes, size)
-    quantile = F.percentile_approx("v", F.lit(cfg.contamination), F.lit(1_000_000))
-    offset = features.select(value.alias("v")).agg(quantile.alias("q")).first()["q"]
-    return Forest(nodes, size, float(offset), version)
+    # what the trees really hold; below the wanted size only if a draw fell short
+    size = round(nodes.filter("depth = 0").agg(F.avg("size")).first()[0])
+    values = features.select(score_samples(features, nodes, size).alias("v")).persist()
+    try:
+        offset = exact_quantile(values, "v", cfg.contamination)
+    finally:
+        values.unpersist()
+    return Forest(nodes, size, offset, version)
+
+
+def order_statistic(values: DataFrame, column: str, rank: int, bins: int = 65_536, few: int = 65_536) -> float:
+    """The value with `rank` smaller or earlier ones, exactly, at any size.
+
+    Each pass counts the values in bins of equal width and goes on inside the bin that holds the rank, until the bin
+    is small or has one value. At most `bins` counts or `few` values reach the driver.
+    """
+    inside = values.filter(F.col(column).isNotNull())
+    while True:
+        low, high, n = inside.agg(F.min(column), F.max(column), F.count("*")).first()
+        if low == high:
+            return float(low)
+        if n <= few:
+            return float(inside.orderBy(column).offset(rank).first()[0])
+        width = (high - low) / bins
+        place = F.least(F.floor((F.col(column) - F.lit(low)) / F.lit(width)), F.lit(bins - 1))
+        before = 0
+        for number, count in sorted(map(tuple, inside.groupBy(place.alias("bin")).count().collect())):
+            if before + count > rank:
+                inside, rank = inside.filter(place == number), rank - before
+                break
+            before += count
+
+
+def exact_quantile(values: DataFrame, column: str, q: float) -> float:
+    """Quantile with linear interpolation between the two nearest values."""
+    n = values.filter(F.col(column).isNotNull()).count()
+    place = (n - 1) * q
+    low = order_statistic(values, column, math.floor(place))
+    high = order_statistic(values, column, math.ceil(place))
+    return low + (high - low) * (place - math.floor(place))
 
 
 def with_anomaly_score(features: DataFrame, forest: Forest) -> DataFrame:

@@ -19,7 +19,11 @@ ALERT_TOPIC = "fraud.alerts"
 
 BOUNDS = {"latitude": 90.0, "longitude": 180.0}
 # ISO date, optionally followed by a time; keeps out forms only Spark would accept ("2024")
-_ISO = r"^\d{4}-\d{2}-\d{2}([T ].+)?$"
+_ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}:[^,]+)?$"
+# ... and the shorter spellings of ISO-8601: no dashes or colons, hours alone, offsets without a colon
+_SHORT_ISO = r"^\d{4}-?\d{2}-?\d{2}([T ]\d{2}(:?\d{2}(:?\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
+# a number as text; keeps out the suffixes that only a cast would accept ("7.5d")
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def parse_events(raw: DataFrame) -> DataFrame:
@@ -28,6 +32,22 @@ def parse_events(raw: DataFrame) -> DataFrame:
     return raw.select(parsed.alias("data")).select("data.*")
 
 
+def _spelled_out(text: Column) -> Column:
+    """A short ISO-8601 time in the long spelling."""
+    for pattern, long in (
+        (r"^(\d{4})(\d{2})(\d{2})", "$1-$2-$3"),
+        (r"([T ]\d{2})(\d{2})", "$1:$2"),
+        (r"([T ]\d{2}:\d{2})(\d{2})", "$1:$2"),
+        (r"([T ]\d{2})(Z|[+-]|$)", "$1:00$2"),
+        (r"([T ]\d{2}:\d{2})(Z|[+-]|$)", "$1:00$2"),
+        (r"(:\d{2}),(\d)", "$1.$2"),
+        (r"(:\d{2}(?:\.\d+)?[+-]\d{2})(\d{2})$", "$1:$2"),
+        (r"(:\d{2}(?:\.\d+)?[+-]\d{2})$", "$1:00"),
+    ):
+        text = F.regexp_replace(text, pattern, long)
+    return text
+
+
 def _kind(field: str) -> Column:
     return F.col(f"_kind_{field}")
 
@@ -79,10 +99,11 @@ def check_events(raw: DataFrame) -> DataFrame:
     for field in TXN_COLUMNS:
         fields.append(F.schema_of_variant(part(field, "variant")).alias(f"_kind_{field}"))
         if field in NUMBER_FIELDS:
-            value = part(field, "double")
+            text = F.when(F.schema_of_variant(part(field, "variant")) == "STRING", part(field, "string"))
+            value = F.when(text.isNull() | text.rlike(_NUMBER), part(field, "double"))
         elif field == "event_time":
             text = part(field, "string")
-            value = F.try_to_timestamp(F.when(text.rlike(_ISO), text))
+            value = F.try_to_timestamp(F.when(text.rlike(_ISO), text).when(text.rlike(_SHORT_ISO), _spelled_out(text)))
         else:
             value = part(field, "string")
             if field in DEFAULTS:

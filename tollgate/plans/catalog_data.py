@@ -14,6 +14,7 @@ from tollgate.plans import jobs, registry, warehouse
 from tollgate.plans.catalog import QUERIES, featured, register, score_view, scored, supplied_ml
 from tollgate.schemas import TXN_COLUMNS
 from tollgate.session import durable_dir
+from tollgate.plans import spoiled
 from tollgate.sources import messages
 from tollgate.sources.tables import transactions
 
@@ -34,7 +35,7 @@ def _texted(df: DataFrame) -> DataFrame:
 
 
 def checked(spark: SparkSession, sf: str) -> DataFrame:
-    return validate.check_events(messages.payloads(transactions(spark, sf)))
+    return validate.check_events(spoiled.payloads(transactions(spark, sf)))
 
 
 @register("parse_json_events")
@@ -45,7 +46,7 @@ def _parse(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES["validate_events"] = lambda s, sf: _texted(validate.valid_events(checked(s, sf)))
 QUERIES["dead_letters"] = lambda s, sf: validate.dead_letters(checked(s, sf))
-QUERIES["strip_labels"] = lambda s, sf: _texted(messages.strip_labels(messages.labelled(transactions(s, sf))))
+QUERIES["strip_labels"] = lambda s, sf: _texted(messages.strip_labels(spoiled.labelled(transactions(s, sf))))
 
 
 @register("publish_projection")
@@ -79,7 +80,7 @@ def _last_1000(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("dedup_last_wins")
 def _dedup(spark: SparkSession, sf: str) -> DataFrame:
-    copies = messages.replayed(transactions(spark, sf))
+    copies = spoiled.replayed(transactions(spark, sf))
     return dedup.latest_per_key(copies, ["transaction_id"], ["seq"]).select("transaction_id", "amount", "seq")
 
 
@@ -99,7 +100,7 @@ def _staging(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch(spark)
     tx = transactions(spark, sf)
     warehouse.upsert(spark, root, "stg_transactions", warehouse.staging_rows(tx.filter(F.col("event_id") % 3 == 0)))
-    copies = messages.replayed(tx).drop("event_id")
+    copies = spoiled.replayed(tx).drop("event_id")
     stamped = warehouse.staging_rows(dedup.latest_per_key(copies, ["transaction_id"], ["seq"]))
     warehouse.upsert(spark, root, "stg_transactions", stamped)
     table = warehouse.read_table(spark, root, "stg_transactions")
@@ -147,7 +148,7 @@ def _backfill(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("dq_audit")
 def _audit(spark: SparkSession, sf: str) -> DataFrame:
-    report = quality.audit(messages.faulty_staging(transactions(spark, sf)))
+    report = quality.audit(spoiled.faulty_staging(transactions(spark, sf)))
     return report.withColumn("issues", F.array_join("issues", "; "))
 
 
@@ -156,9 +157,9 @@ def _audit_clean(spark: SparkSession, sf: str) -> DataFrame:
     return quality.audit(transactions(spark, sf)).withColumn("issues", F.array_join("issues", "; "))
 
 
-QUERIES["dq_duplicates"] = lambda s, sf: quality.duplicate_ids(messages.faulty_staging(transactions(s, sf)))
+QUERIES["dq_duplicates"] = lambda s, sf: quality.duplicate_ids(spoiled.faulty_staging(transactions(s, sf)))
 QUERIES["dq_extended"] = lambda s, sf: quality.extended_checks(
-    messages.faulty_staging(transactions(s, sf)), "2024-01-30 00:00:00"
+    spoiled.faulty_staging(transactions(s, sf)), "2024-01-30 00:00:00"
 )
 
 
@@ -169,7 +170,7 @@ def pairs(spark: SparkSession, sf: str) -> DataFrame:
     """(score, label) by joining scores and labels on the transaction id."""
     tx = transactions(spark, sf)
     scores = tx.select("transaction_id", "event_time", supplied_ml().alias("score"))
-    labels = messages.labelled(tx).select("transaction_id", F.col("is_fraud").alias("label"))
+    labels = spoiled.labelled(tx).select("transaction_id", F.col("is_fraud").alias("label"))
     return scores.join(labels, "transaction_id").select("event_time", "score", "label")
 
 

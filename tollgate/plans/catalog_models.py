@@ -11,7 +11,7 @@ from tollgate.operators import detect, evaluate, iforest, scoring
 from tollgate.plans import marts
 from tollgate.plans.catalog import QUERIES, featured, register
 from tollgate.plans.catalog_data import scratch
-from tollgate.sources import messages
+from tollgate.plans import spoiled
 from tollgate.sources.tables import transactions
 
 # --- anomaly model -------------------------------------------------------------------
@@ -51,7 +51,7 @@ def _model_evaluation(spark: SparkSession, sf: str) -> DataFrame:
     """The forest's scores against labels joined by transaction id, at the best threshold."""
     rows = stored_features(spark, sf)
     judged = iforest.with_anomaly_score(rows, iforest.train(rows))
-    labels = messages.labelled(transactions(spark, sf)).select("transaction_id", F.col("is_fraud").alias("label"))
+    labels = spoiled.labelled(transactions(spark, sf)).select("transaction_id", F.col("is_fraud").alias("label"))
     pairs = judged.select("transaction_id", F.col("anomaly_score").alias("score")).join(labels, "transaction_id")
     return evaluate.best_threshold(pairs)
 
@@ -116,7 +116,7 @@ QUERIES["alert_precision_by_band"] = lambda s, sf: _alert_precision(s, sf)
 def _alert_precision(spark: SparkSession, sf: str) -> DataFrame:
     """Share of labelled frauds per band: how costly the alerts of each band are."""
     risk = scoring.score(featured(spark, sf), ml_score=(F.col("event_id") * 7919) % 1000 / 1000.0)
-    labels = messages.labelled(transactions(spark, sf)).select("transaction_id", "is_fraud")
+    labels = spoiled.labelled(transactions(spark, sf)).select("transaction_id", "is_fraud")
     return risk.join(labels, "transaction_id").groupBy("risk_level").agg(
         F.count("*").alias("tx_count"), F.count_if("is_fraud").alias("fraud_count"),
         marts.rounded(F.count_if("is_fraud").cast("double") / F.count("*"), 4).alias("fraud_rate"),

@@ -11,7 +11,7 @@ from tollgate.plans import warehouse
 from tollgate.plans.catalog import QUERIES, register
 from tollgate.plans.catalog_data import RUN_TS, scratch
 from tollgate.schemas import TXN_COLUMNS
-from tollgate.sources import messages
+from tollgate.plans import spoiled
 from tollgate.sources.streams import sink, source, stream_session
 from tollgate.sources.tables import table, transactions, transactions_from_events
 from tollgate.streaming import features, pipeline, windows
@@ -79,7 +79,7 @@ def _to_warehouse(spark: SparkSession, sf: str) -> DataFrame:
     """Spoiled JSON messages through validation, dedup, features and scoring into the warehouse."""
     session = stream_session(spark)
     root = scratch(session)
-    raw = messages.payloads(event_stream(session, sf))
+    raw = spoiled.payloads(event_stream(session, sf))
     query = pipeline.start_scoring(raw, root, f"{root}/checkpoint", run_ts=RUN_TS, every=None)
     query.awaitTermination()
     scores = warehouse.read_table(session, root, "transaction_scores")
@@ -93,7 +93,7 @@ def _to_warehouse(spark: SparkSession, sf: str) -> DataFrame:
 def _dead_letters(spark: SparkSession, sf: str) -> DataFrame:
     session = stream_session(spark)
     root = scratch(session)
-    raw = messages.payloads(event_stream(session, sf))
+    raw = spoiled.payloads(event_stream(session, sf))
     pipeline.start_dead_letters(raw, root, f"{root}/checkpoint", every=None).awaitTermination()
     return session.read.parquet(f"{root}/dead_letters").select("raw_payload", "error_message", "error_type", "source_topic")
 
@@ -102,3 +102,27 @@ def _dead_letters(spark: SparkSession, sf: str) -> DataFrame:
 def _late(spark: SparkSession, sf: str) -> DataFrame:
     late = windows.late_events(transactions(spark, sf).select(*TXN_COLUMNS, "event_id"), "event_id", block_rows=1000)
     return late.select("transaction_id", "user_id", rounded(F.col("seconds_late"), 4).alias("seconds_late"))
+
+
+@register("stream_late_events")
+def _late_in_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """Where each message of four arrival slices ends: scored, late or dead. Every slice is a run that resumes the last."""
+    session = stream_session(spark)
+    root = scratch(session)
+    messages_of = spoiled.payloads(transactions(session, sf))
+    last = messages_of.agg(F.max("offset")).first()[0] or 0
+    raw = source(session, "parquet", messages_of.schema, path=f"{root}/in/*")
+    for number in range(4):
+        arrived = messages_of.filter(F.floor(F.col("offset") * 4 / (last + 1)) == number)
+        arrived.write.parquet(f"{root}/in/slice-{number}")
+        pipeline.start_scoring(raw, root, f"{root}/checkpoint", every=None).awaitTermination()
+    pipeline.start_dead_letters(raw, root, f"{root}/checkpoint-dead", every=None).awaitTermination()
+    scores = warehouse.read_table(session, root, "transaction_scores")
+    late = session.read.schema("transaction_id string").parquet(f"{root}/late_events")
+    dead = session.read.schema("offset long").parquet(f"{root}/dead_letters")
+    number_of = F.substring_index("transaction_id", "_", -1).cast("long").alias("event_id")
+    return (
+        scores.select(number_of, F.lit("scored").alias("outcome"))
+        .unionByName(late.select(number_of, F.lit("late").alias("outcome")))
+        .unionByName(dead.select(F.col("offset").alias("event_id"), F.lit("dead").alias("outcome")))
+    )

@@ -111,31 +111,52 @@ def _drop(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def _touched(root: str, table: str) -> str:
+    return f"{root}/_pending/{table}_days"
+
+
 def recover(spark: SparkSession, root: str, table: str) -> None:
-    """Finish a replacement that an earlier run wrote out but did not install."""
+    """Finish a replacement that an earlier run wrote out but did not install.
+
+    The days concerned are written before the rows, so a finished rows folder always has its list of days, and days
+    that the replacement leaves empty are removed here as well. Every step may be repeated.
+    """
     pending = _pending(root, table)
     if _exists(spark, f"{pending}/_SUCCESS"):
-        _replace_days(spark.read.schema(table_schema(table)).parquet(pending), root, table)
+        written = spark.read.schema(table_schema(table)).parquet(pending)
+        _replace_days(written, root, table)
+        if _exists(spark, f"{_touched(root, table)}/_SUCCESS"):
+            days = [row[0] for row in spark.read.schema("day date").parquet(_touched(root, table)).collect()]
+            _drop_emptied(spark, root, table, days, written)
     _drop(spark, pending)
+    _drop(spark, _touched(root, table))
+
+
+def _replace(spark: SparkSession, root: str, table: str, days: list, rows: DataFrame) -> None:
+    """Make `rows` the content of the given days, through the pending folder."""
+    spark.createDataFrame([(day,) for day in days], "day date").coalesce(1).write.mode("overwrite").parquet(_touched(root, table))
+    rows.write.mode("overwrite").parquet(_pending(root, table))
+    recover(spark, root, table)
 
 
 def upsert(
     spark: SparkSession, root: str, table: str, batch: DataFrame, *, version: list[str] | None = None,
-    days_fixed: bool = False,
+    days_fixed: bool = False, unique: bool = False,
 ) -> None:
     """Insert or replace by the table's key; running it again changes nothing.
 
     Only the days concerned are rewritten: those of the batch, and those where a key of
     the batch is already stored under another day. With `days_fixed` (the event time of an
     id never changes) the search for the latter, which reads all keys, is left out.
-    Within the batch the greatest `version` wins. The merged days are written aside first,
+    Within the batch the greatest `version` wins; `unique` says that it holds each key once. The merged days are written aside first,
     so that a crash during installation is repaired by `recover`.
     """
     _, key, partition = TABLES[table]
     recover(spark, root, table)
     columns = table_schema(table).fieldNames()
     order = [*(version or []), partition]
-    incoming = latest_per_key(batch, [key], order).select(*columns).withColumn("_age", F.lit(1))
+    latest = batch if unique else latest_per_key(batch, [key], order)
+    incoming = latest.select(*columns).withColumn("_age", F.lit(1))
     if not _exists(spark, f"{root}/{table}"):
         _replace_days(incoming.drop("_age"), root, table)
         return
@@ -150,12 +171,7 @@ def upsert(
         return
     touched = existing.filter(F.col(partition).isin(wanted)).withColumn("_age", F.lit(0))
     merged = latest_per_key(touched.unionByName(incoming), [key], ["_age"]).drop("_age")
-    pending = _pending(root, table)
-    merged.write.mode("overwrite").parquet(pending)
-    written = spark.read.schema(table_schema(table)).parquet(pending)
-    _replace_days(written, root, table)
-    _drop_emptied(spark, root, table, wanted, written)
-    _drop(spark, pending)
+    _replace(spark, root, table, wanted, merged)
 
 
 def _drop_emptied(spark: SparkSession, root: str, table: str, wanted: list, written: DataFrame) -> None:
@@ -169,16 +185,27 @@ def _drop_emptied(spark: SparkSession, root: str, table: str, wanted: list, writ
 
 def load_scored(
     spark: SparkSession, root: str, scored: DataFrame, run_ts: str, *, retract_alerts: bool = False,
-    days_fixed: bool = False,
-) -> None:
-    """Staging, scores and alerts of one batch.
+    days_fixed: bool = False, version: list[str] | None = None,
+) -> int:
+    """Staging, scores and alerts of one batch; returns the number of rows taken.
 
-    A row scored again below HIGH keeps its earlier alert unless `retract_alerts`.
+    A row scored again below HIGH keeps its earlier alert unless `retract_alerts`. Of rows with one id in the batch the
+    one with the greatest `version` (arrival columns such as an offset) is stored; without it, that of the latest time.
     """
     scored = scored.persist()  # read by every table below; spills to disk
-    upsert(spark, root, "stg_transactions", staging_rows(scored), days_fixed=days_fixed)
-    upsert(spark, root, "transaction_scores", score_rows(scored, run_ts), days_fixed=days_fixed)
-    upsert(spark, root, "fraud_alerts", alert_rows(scored, run_ts), days_fixed=days_fixed)
+    try:
+        taken = scored.count()
+        order = version or ["event_time"]
+        _load(spark, root, latest_per_key(scored, ["transaction_id"], order), run_ts, retract_alerts, days_fixed)
+        return taken
+    finally:
+        scored.unpersist()
+
+
+def _load(spark: SparkSession, root: str, scored: DataFrame, run_ts: str, retract_alerts: bool, days_fixed: bool) -> None:
+    upsert(spark, root, "stg_transactions", staging_rows(scored), days_fixed=days_fixed, unique=True)
+    upsert(spark, root, "transaction_scores", score_rows(scored, run_ts), days_fixed=days_fixed, unique=True)
+    upsert(spark, root, "fraud_alerts", alert_rows(scored, run_ts), days_fixed=days_fixed, unique=True)
     if retract_alerts:
         alerts = read_table(spark, root, "fraud_alerts")
         lowered = score_rows(scored, run_ts).filter(F.col("risk_level") != "HIGH").select("transaction_id")
@@ -186,13 +213,7 @@ def load_scored(
         days = [row[0] for row in gone.collect()]
         if days:
             kept = alerts.filter(F.col("event_date").isin(days)).join(lowered, "transaction_id", "left_anti")
-            pending = _pending(root, "fraud_alerts")
-            _fit(kept, "fraud_alerts").write.mode("overwrite").parquet(pending)
-            written = spark.read.schema(table_schema("fraud_alerts")).parquet(pending)
-            _replace_days(written, root, "fraud_alerts")
-            _drop_emptied(spark, root, "fraud_alerts", days, written)
-            _drop(spark, pending)
-    scored.unpersist()
+            _replace(spark, root, "fraud_alerts", days, _fit(kept, "fraud_alerts"))
 
 
 def write_daily_metrics(spark: SparkSession, root: str, rollup: DataFrame) -> None:

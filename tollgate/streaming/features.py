@@ -1,7 +1,8 @@
 """The fourteen features on a stream, from keyed state.
 
 State per user: a buffer of the events newer than watermark - 1 h, and for everything
-older its summary (count, mean, spread, devices, cities, latest event). An event that is
+older its summary (count, mean, spread, devices, cities, latest event). A repeated id of a user
+is dropped if its first arrival is in the buffer. An event that is
 not late has t >= watermark, so the summarised part lies wholly before its longest window
 and counts in full for the unbounded features; the buffer is examined exactly. Hence the
 result equals the batch features over what has arrived, with bounded window state.
@@ -26,7 +27,7 @@ from tollgate.operators.timeline import MICROS, micros
 from tollgate.schemas import TXN_COLUMNS, TXN_SCHEMA
 
 HOUR = 3600 * MICROS
-_BUFFER = ("us", "amount", "merchant_id", "device_id", "city", "latitude", "longitude")
+_BUFFER = ("us", "amount", "merchant_id", "device_id", "city", "latitude", "longitude", "transaction_id")
 _NUMBER, _TEXT = T.DoubleType(), T.StringType()
 _STATE_TYPES = {
     "n": T.LongType(), "mean": _NUMBER, "m2": _NUMBER,
@@ -34,7 +35,7 @@ _STATE_TYPES = {
     "last_us": T.LongType(), "last_lat": _NUMBER, "last_lon": _NUMBER,
     "us": T.ArrayType(T.LongType()), "amount": T.ArrayType(_NUMBER), "merchant_id": T.ArrayType(_TEXT),
     "device_id": T.ArrayType(_TEXT), "city": T.ArrayType(_TEXT),
-    "latitude": T.ArrayType(_NUMBER), "longitude": T.ArrayType(_NUMBER),
+    "latitude": T.ArrayType(_NUMBER), "longitude": T.ArrayType(_NUMBER), "transaction_id": T.ArrayType(_TEXT),
 }
 _STATE = T.StructType([T.StructField(name, kind) for name, kind in _STATE_TYPES.items()])
 _OUT = T.StructType(
@@ -61,7 +62,7 @@ class _Past:
         self.devices, self.cities = set(devices), set(cities)
 
     def add(self, event: tuple) -> None:
-        us, amount, _, device, city, lat, lon = event
+        us, amount, _, device, city, lat, lon, _ = event
         self.n += 1
         step = amount - self.mean
         self.mean += step / self.n
@@ -95,7 +96,7 @@ class _Span:
 
 
 def _describe(event: tuple, past: _Past, spans: dict[int, _Span]) -> list[float]:
-    us, amount, _, device, city, lat, lon = event
+    us, amount, _, device, city, lat, lon, _ = event
     std = math.sqrt(past.m2 / past.n) if past.n else 0.0
     hour = spans[3600]
     mean = hour.units / 10**8 / len(hour.events) if hour.events else amount
@@ -117,6 +118,13 @@ def _summary(past: _Past) -> tuple:
     return (past.n, past.mean, past.m2, sorted(past.devices), sorted(past.cities), *last)
 
 
+def _first_arrivals(new: pd.DataFrame, seen: set) -> pd.DataFrame:
+    """Without rows whose id the buffer holds or an earlier row of the batch has."""
+    ordered = new.sort_values("_arrival", kind="stable")
+    first = ~ordered["transaction_id"].duplicated() & ~ordered["transaction_id"].isin(seen)
+    return new[first.reindex(new.index)].reset_index(drop=True)
+
+
 def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     parts = list(batches)
     new = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
@@ -130,6 +138,7 @@ def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
     else:
         past, known = _Past(0, 0.0, 0.0, (), (), None), []
 
+    new = _first_arrivals(new, {event[-1] for event in known})
     times, arrivals = new["_us"].tolist(), new["_arrival"].tolist()
     arrived = list(zip(times, *[new[c].tolist() for c in _BUFFER[1:]]))
     on_time = [i for i, us in enumerate(times) if us >= watermark]
@@ -168,7 +177,7 @@ def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
 def stream_features(
     events: DataFrame, cfg: Config = DEFAULT, arrival: str | None = None, *, watermarked: bool = False
 ) -> DataFrame:
-    """Feature rows for a stream of unique transactions; late rows carry `is_late` and no features.
+    """Feature rows for a stream, the first arrival of each id; late rows carry `is_late` and no features.
 
     As each row is scored on arrival, an event that arrives later with an earlier time does
     not change rows already emitted. `arrival` names a column that orders equal times;

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,7 +13,10 @@ from tollgate.functions import rounded
 from tollgate.operators import iforest, scoring, validate
 from tollgate.plans import warehouse
 from tollgate.streaming.features import stream_features
-from tollgate.streaming.windows import dedup
+
+
+def utc_now() -> str:
+    return datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
 
 
 def _trigger(writer, every: str | None):
@@ -32,19 +37,21 @@ def start_dead_letters(raw: DataFrame, root: str, checkpoint: str, every: str |
 
 
 def scored_stream(raw: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """Validated, deduplicated, featurised events of a raw message stream."""
-    valid = validate.valid_events(validate.check_events(raw))
-    return stream_features(dedup(valid, cfg), cfg, watermarked=True)
+    """Validated, deduplicated, featurised events of a raw message stream.
+
+    Nothing before the keyed state may drop rows below the watermark: late rows have to reach it to be marked.
+    """
+    return stream_features(validate.valid_events(validate.check_events(raw)), cfg)
 
 
 def start_scoring(
-    raw: DataFrame, root: str, checkpoint: str, *, run_ts: str, ml_score: Column | None = None,
+    raw: DataFrame, root: str, checkpoint: str, *, run_ts: str | None = None, ml_score: Column | None = None,
     model_version: str = scoring.RULES_ONLY_VERSION, forest: iforest.Forest | None = None,
     every: str | None = "1 second", cfg: Config = DEFAULT,
 ) -> StreamingQuery:
     """Score the stream and upsert staging, scores and alerts.
 
-    The model score comes from `forest`, or from any column over the feature rows.
+    Rows are stamped with `run_ts`, by default with the time of their micro-batch. The model score comes from `forest`, or from any column over the feature rows.
 
     Progress is kept in the checkpoint and advances only after a batch is loaded; the
     upsert is keyed, so a batch that is repeated after a failure changes nothing. Late
@@ -57,12 +64,17 @@ def start_scoring(
         model_version = forest.version
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        # the session of the batch carries the stream's settings
-        spark: SparkSession = batch.sparkSession
         batch = batch.persist()
-        if batch.isEmpty():  # the closing batch of a drained stream, for one
+        try:
+            if not batch.isEmpty():  # as the closing batch of a drained stream is
+                store(batch, batch_id)
+        finally:
             batch.unpersist()
-            return
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        # the session of the batch carries the stream's settings
+        spark: SparkSession = batch.sparkSession
+        stamp = run_ts or utc_now()
         late = batch.filter("is_late")
         late.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
             f"{root}/late_events/batch_id={batch_id}"
@@ -70,8 +82,7 @@ def start_scoring(
         scored = scoring.score(
             batch.filter(~F.col("is_late")).drop("is_late"), cfg, ml_score=ml_score, model_version=model_version
         )
-        warehouse.load_scored(spark, root, scored, run_ts, days_fixed=True)
-        batch.unpersist()
+        warehouse.load_scored(spark, root, scored, stamp, days_fixed=True)
 
     writer = scored_stream(raw, cfg).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()
