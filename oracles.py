@@ -223,7 +223,7 @@ FROM h WINDOW w1 AS (PARTITION BY user_id ORDER BY us RANGE BETWEEN 60000000 PRE
 
 # --- messages, contract, dedup, warehouse, quality, evaluation, registry ----------------
 
-from tollgate.sources.messages import PAYLOAD_SQL  # noqa: E402  (input text, not logic under test)
+from tollgate.plans.spoiled import PAYLOAD_SQL  # noqa: E402  (input text, not logic under test)
 
 ALL_TX = "transaction_id, " + TS + ", user_id, account_id, amount, currency, merchant_id, merchant_category, payment_method, device_id, ip_address, latitude, longitude, country, city"
 
