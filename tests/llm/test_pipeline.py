@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 
 import corpus_pipeline
+import numpy as np
 import pytest
 import test_decontaminate
 import test_mixing
@@ -43,22 +44,22 @@ def test_quality(spark, staged):
 
 def test_near_dedup(staged):
     """Everything dropped has an equal or near text with a smaller id; nothing kept has."""
-    words = 4
-    prints = {}
+    s = test_simhash.simhash
+    prints, keys = {}, {}
     for r in staged[1]:
-        hashes = test_simhash.simhash.shingle_hashes(test_simhash.simhash.words_of(r["text"]), 5)
-        prints[r["doc_id"]] = test_simhash.simhash.fingerprint(hashes, words)
+        prints[r["doc_id"]] = s.fingerprint(s.shingle_hashes(s.words_of(r["text"]), 5), 4)
+        keys[r["doc_id"]] = set(s.wide_keys(np.array([0]), np.array([prints[r["doc_id"]]]), 3)["key"])
 
-    def linked(a: list[int], b: list[int]) -> bool:
-        apart = [((x ^ y) & (1 << 64) - 1).bit_count() for x, y in zip(a, b, strict=True)]
-        return min(apart) <= 3 and sum(apart) <= test_simhash.simhash.SHARE_AT_80 * 64 * words
+    def linked(a: int, b: int) -> bool:
+        apart = sum(((x ^ y) & (1 << 64) - 1).bit_count() for x, y in zip(prints[a], prints[b], strict=True))
+        return apart <= s.SHARE_AT_80 * 256 and bool(keys[a] & keys[b])
 
     ids = sorted(prints)
     root = {i: i for i in ids}
     for _ in range(4):
         for n, i in enumerate(ids):
             for j in ids[:n]:
-                if linked(prints[i], prints[j]):
+                if linked(i, j):
                     root[i] = root[j] = min(root[i], root[j])
     assert sorted(r["doc_id"] for r in staged[2]) == [i for i in ids if root[i] == i]
     assert len(staged[2]) < len(staged[1])

@@ -60,12 +60,64 @@ def test_links_lose_nothing(spark):
     prints = [rng.getrandbits(64) for _ in range(300)]
     prints += [p ^ sum(1 << b for b in rng.sample(range(64), n % 6)) for n, p in enumerate(prints)]
     signed = sorted({p - (1 << 64) if p >> 63 else p for p in prints} | {0, -1, 1, 7})
-    nodes = spark.createDataFrame([(p, [p]) for p in signed], "node long, fps array<long>")
+    nodes = spark.createDataFrame([(p, p) for p in signed], "node long, fp long")
     got = {tuple(r) for r in simhash.links(nodes).collect()}
     expected = {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 3}
     assert got == expected
 
 
+def family(rng, n: int) -> list[list[int]]:
+    """Fingerprints of four words around a few centres."""
+    centres = [rng.getrandbits(256) for _ in range(5)]
+    found = []
+    for _ in range(n):
+        value = rng.choice(centres) ^ sum(1 << b for b in rng.sample(range(256), rng.choice([0, 8, 20, 30])))
+        found.append([(value >> 64 * w & (1 << 64) - 1) - (1 << 63) for w in range(4)])
+    return found
+
+
+def partition_of(edges, nodes) -> dict:
+    root = {n: n for n in nodes}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in edges:
+            if root[a] != root[b]:
+                root[a] = root[b] = min(root[a], root[b])
+                changed = True
+    return root
+
+
+@pytest.mark.parametrize(("bucket_rows", "sample"), [(20_000, 64), (40, 1), (7, 2)])
+def test_wide_links_connect_what_shares_a_key(spark, monkeypatch, bucket_rows, sample):
+    monkeypatch.setattr(simhash, "SAMPLE", sample)
+    rng = random.Random(9)
+    fps = family(rng, 220)
+    nodes = spark.createDataFrame(list(enumerate(fps)), "node long, fps array<long>")
+    got = [tuple(r) for r in simhash.wide_links(nodes, 4, 2, 38.5 / 256, bucket_rows).collect()]
+    keys = [set() for _ in fps]
+    frame = simhash.wide_keys(np.arange(len(fps)), np.array(fps), 2)
+    for key, node in zip(frame["key"], frame["node"], strict=True):
+        keys[node].add(key)
+    apart = lambda x, y: sum(((p ^ q) & (1 << 64) - 1).bit_count() for p, q in zip(fps[x], fps[y], strict=True))
+    true = [(x, y) for x in range(len(fps)) for y in range(x) if keys[x] & keys[y] and apart(x, y) <= 38]
+    assert all(keys[x] & keys[y] and apart(x, y) <= 38 for x, y in got)
+    assert partition_of(got, range(len(fps))) == partition_of(true, range(len(fps)))
+
+
+def test_edges_over_batches():
+    """Runs that go on over batches of rows are one bucket."""
+    rng = random.Random(4)
+    rows = np.array([[key, 0, 0, n, *family(rng, 1)[0]] for n, key in enumerate(sorted(rng.choices(range(4), k=60)))], dtype=np.int64)
+    names = ["key", "i", "j", "node", "w0", "w1", "w2", "w3"]
+    batch = lambda part: simhash.pa.RecordBatch.from_arrays([simhash.pa.array(c) for c in part.T], names=names)
+    whole = simhash.edges_of(rows, 60)
+    for size in (1, 7, 60):
+        parts = [batch(rows[i : i + size]) for i in range(0, 60, size)]
+        found = [e for b in simhash.bucket_edges(60)(iter(parts)) for e in zip(*b.to_pydict().values(), strict=True)]
+        assert sorted(found) == sorted(zip(*whole, strict=True))
+
+
 @pytest.mark.parametrize("edges", [[], [(1, 2)], [(i, i + 1) for i in range(60)], [(7, i) for i in range(8, 30)] + [(40, 41), (41, 42), (42, 40)]])
 def test_components(spark, edges):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -28,6 +28,7 @@ from tollgate.llm.components import components
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 PAIRS = ((0, 1), (0, 2), (1, 2))
 SEED = 42
+BUCKET_ROWS, SAMPLE = 20_000, 64
 MIX = np.uint64(0x9E3779B97F4A7C15)
 LANES = np.uint64(0x0101010101010101)
 
@@ -105,46 +106,137 @@ def key_frame(nodes: np.ndarray, fps: np.ndarray, word: int, swap: bool) -> pd.D
     return pd.concat(parts)
 
 
-def golay_keys(nodes: DataFrame, words: int, swap: bool) -> DataFrame:
-    """(node, fp, key) rows of a table (node, fps); the two forms of `swap` meet each other."""
+def golay_keys(nodes: DataFrame, swap: bool) -> DataFrame:
+    """(node, fp, key) rows of a table (node, fp); the two forms of `swap` meet each other."""
 
     def run(batches):
         for batch in batches:
             for start in range(0, batch.num_rows, 4096):
                 part = batch.slice(start, 4096)
+                ids, fps = (np.ascontiguousarray(part.column(i).to_numpy(zero_copy_only=False)) for i in (0, 1))
+                yield pa.RecordBatch.from_pandas(key_frame(ids, fps, 0, swap), preserve_index=False)
+
+    return nodes.select("node", "fp").mapInArrow(run, "node long, fp long, key long")
+
+
+def links(nodes: DataFrame, bits: int = 3) -> DataFrame:
+    """(a, b) with a < b: nodes of a table (node, fp) whose fingerprints differ in at most `bits` bits, for up to three."""
+    if bits > 3:
+        raise ValueError("the keys guarantee distances up to three bits")
+    a = golay_keys(nodes, False).withColumnsRenamed({"node": "a", "fp": "x"})
+    b = golay_keys(nodes, True).withColumnsRenamed({"node": "b", "fp": "y"})
+    close = (F.col("a") < F.col("b")) & (F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= bits)
+    return a.join(b, (a["key"] == b["key"]) & close).select("a", "b").distinct()
+
+
+def joined_in(nodes: np.ndarray, fps: np.ndarray, most: int) -> tuple[list[int], list[int]]:
+    """Edges that connect what a bucket's links (at most `most` differing bits) connect; fewer than it has rows."""
+    n = len(nodes)
+    root = np.arange(n)
+    edges: tuple[list[int], list[int]] = ([], [])
+    for start in range(0, n, 256):
+        block = fps[start : start + 256]
+        apart = np.bitwise_count(block[:, None, :] ^ fps[None, :, :]).sum(axis=2, dtype=np.int16)
+        near = apart <= most
+        # row by row: what a row links to and is not yet in its part joins it, one edge for each part
+        for i in range(len(block)):
+            linked = np.nonzero(near[i, : start + i])[0]
+            parts, first = np.unique(root[linked], return_index=True)
+            for other, member in zip(parts.tolist(), linked[first].tolist(), strict=True):
+                if other == root[start + i]:
+                    continue
+                edges[0].append(int(nodes[start + i]))
+                edges[1].append(int(nodes[member]))
+                low, high = sorted((other, int(root[start + i])))
+                root[root == high] = low
+    return edges
+
+
+def wide_keys(nodes: np.ndarray, fps: np.ndarray, key_words: int) -> pd.DataFrame:
+    """(key, node, place) of fingerprints of several words: the keys of both forms of the first `key_words` words."""
+    places = np.arange(len(nodes))
+    frames = [key_frame(places, np.ascontiguousarray(fps[:, w]), w, swap) for w in range(key_words) for swap in (False, True)]
+    found = pd.concat(frames)[["key", "node"]].drop_duplicates().rename(columns={"node": "place"})
+    return found.assign(node=nodes[found["place"].to_numpy()])
+
+
+def wide_rows(nodes: DataFrame, words: int, key_words: int) -> DataFrame:
+    """(key, node, w0, w1, ...) rows of a table (node, fps)."""
+
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 2048):
+                part = batch.slice(start, 2048)
                 ids = part.column(0).to_numpy(zero_copy_only=False)
                 fps = np.array(part.column(1).to_pylist(), dtype=np.int64).reshape(-1, words)
-                for word in range(words):
-                    frame = key_frame(ids, np.ascontiguousarray(fps[:, word]), word, swap)
-                    yield pa.RecordBatch.from_pandas(frame, preserve_index=False)
+                keys = wide_keys(ids, fps, key_words)
+                columns = {f"w{w}": fps[keys["place"].to_numpy(), w] for w in range(words)}
+                yield pa.RecordBatch.from_pandas(keys[["key", "node"]].assign(**columns), preserve_index=False)
+
+    return nodes.select("node", "fps").mapInArrow(run, "key long, node long, " + ", ".join(f"w{w} long" for w in range(words)))
 
-    return nodes.select("node", "fps").mapInArrow(run, "node long, fp long, key long")
 
+def edges_of(rows: np.ndarray, most: int) -> tuple[list[int], list[int]]:
+    """Edges within runs of rows (key, i, j, node, words...) with equal key, i and j."""
+    starts = np.nonzero(np.concatenate([[True], (rows[1:, :3] != rows[:-1, :3]).any(axis=1)]))[0]
+    sizes = np.diff(np.concatenate([starts, [len(rows)]]))
+    twos = starts[sizes == 2]
+    near = np.bitwise_count(rows[twos, 4:].view(np.uint64) ^ rows[twos + 1, 4:].view(np.uint64)).sum(axis=1, dtype=np.int64) <= most
+    near &= rows[twos, 3] != rows[twos + 1, 3]
+    a, b = rows[twos[near], 3].tolist(), rows[twos[near] + 1, 3].tolist()
+    for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
+        group = rows[start : start + size]
+        more = joined_in(group[:, 3], np.ascontiguousarray(group[:, 4:]).view(np.uint64), most)
+        a += more[0]
+        b += more[1]
+    return a, b
 
-def links(nodes: DataFrame, words: int = 1, bits: int = 3, share: float = 1.0) -> DataFrame:
-    """(a, b) with a < b: nodes of a table (node, fps) that differ in at most `bits` (up to three) bits in some word.
 
-    With several words, at most `share` of all bits may differ.
+def bucket_edges(most: int):
+    """Edges of partitions whose rows come sorted by key, i and j."""
+
+    def run(batches):
+        rest = None
+        for batch in batches:
+            rows = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(np.int64)
+            rows = rows if rest is None else np.concatenate([rest, rows])
+            open_from = len(rows) - int(np.argmax((rows[::-1, :3] != rows[-1, :3]).any(axis=1)))
+            if open_from == len(rows):  # all of one run
+                rest = rows
+                continue
+            a, b = edges_of(rows[:open_from], most)
+            rest = rows[open_from:]
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        if rest is not None:
+            a, b = edges_of(rest, most)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def wide_links(nodes: DataFrame, words: int, key_words: int, share: float, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """(a, b): edges that connect the nodes of a table (node, fps) which share a key and differ in at most `share` of their bits.
+
+    A bucket sends no more edges than it has rows. Buckets that a sample of one node in SAMPLE shows to be large are
+    split into blocks, and each pair of blocks is compared in its own task; the sample decides on nothing else.
     """
-    if bits > 3:
-        raise ValueError("the keys guarantee distances up to three bits")
-    a = golay_keys(nodes, words, False).withColumnsRenamed({"node": "a", "fp": "x"})
-    b = golay_keys(nodes, words, True).withColumnsRenamed({"node": "b", "fp": "y"})
-    close = (F.col("a") < F.col("b")) & (F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= bits)
-    found = a.join(b, (a["key"] == b["key"]) & close).select("a", "b").distinct()
-    if words == 1:
-        return found
-    left, right = nodes.select(F.col("node").alias("a"), F.col("fps").alias("x")), nodes.select(F.col("node").alias("b"), F.col("fps").alias("y"))
-    apart = F.aggregate(F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n)
-    return found.join(left, "a").join(right, "b").filter(apart <= share * 64 * words).select("a", "b")
+    rows = wide_rows(nodes, words, key_words)
+    sampled = wide_rows(nodes.filter(F.pmod(F.xxhash64("node"), F.lit(SAMPLE)) == 0), words, key_words)
+    blocks = F.ceil(F.col("count") * SAMPLE / bucket_rows).cast("int").alias("blocks")
+    large = stored(sampled.groupBy("key").count().select("key", blocks).filter("blocks > 1"), "large-buckets")
+    own = F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(F.least(own, other).alias("i"), F.greatest(own, other).alias("j")))
+    whole = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
+    split = rows.join(large, "key", "left").select("key", F.inline(F.when(F.col("blocks") > 1, pairs).otherwise(whole)), "node", *[f"w{w}" for w in range(words)])
+    ordered = split.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return ordered.mapInArrow(bucket_edges(int(share * 64 * words)), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, fp (64 bits), component_id (least doc_id of the component)."""
     prints = stored(fingerprints(docs, shingle, 1, doc_id, text).select("doc_id", F.get("fps", F.lit(0)).alias("fp")), "fingerprints")
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    nodes = distinct.select(F.col("fp").alias("node"), F.array("fp").alias("fps"))
-    roots = components(links(nodes, 1, bits)).withColumnRenamed("node", "fp")
+    roots = components(links(distinct.select(F.col("fp").alias("node"), "fp"), bits)).withColumnRenamed("node", "fp")
     members = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = members.groupBy("root").agg(F.min("least").alias("component_id"))
     named = members.select("fp", "root").join(least, "root").select("fp", "component_id")
@@ -155,17 +247,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 3, doc_id: st
 SHARE_AT_80 = float(np.arccos(2 * 0.8 / 1.8) / np.pi)
 
 
-def drop_near_duplicates(docs: DataFrame, shingle: int = 5, words: int = 4, bits: int = 3, share: float = SHARE_AT_80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, words: int = 4, key_words: int = 3, share: float = SHARE_AT_80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each component, that with the least id; all columns stay.
 
-    Links need a word of the longer fingerprint (64 times `words` bits) within `bits` bits, which the keys find without
-    fail, and a share of differing bits over all words that stands for a similarity of 0.8 or more. Equal texts always
-    link. Rows without an id go by their text's hash.
+    Links need a share of differing bits, over all of the longer fingerprint's 64 times `words` bits, that stands for a
+    similarity of 0.8 or more, and a key in common in one of `key_words` words. Equal texts always link; texts closer than
+    the threshold share a key the more surely the closer they are (see the README for measured recall). Rows without an
+    id go by their text's hash.
     """
     own = F.coalesce(F.col(doc_id), F.xxhash64(text))
     prints = stored(fingerprints(docs.withColumn("_own", own), shingle, words, "_own", text), "fingerprints")
     distinct = prints.groupBy("fps").agg(F.min("doc_id").alias("node"))
-    roots = components(links(distinct, words, bits, share))
+    roots = components(wide_links(distinct, words, key_words, share))
     members = distinct.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # the least id of a component is its root, since nodes are least ids
     kept = prints.join(members.filter(F.col("node") == F.col("root")), "fps").filter(F.col("doc_id") == F.col("node"))
