@@ -5,10 +5,8 @@ import re
 import corpus_pipeline
 import numpy as np
 import pytest
-import test_decontaminate
-import test_mixing
-import test_simhash
 
+from llm import test_decontaminate, test_mixing, test_simhash
 from tollgate.llm import classifier, decontaminate, pii
 from tollgate.llm.common import table
 
