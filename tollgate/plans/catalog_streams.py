@@ -30,12 +30,13 @@ def drain(spark: SparkSession, stream: DataFrame) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{root}/out")
 
 
-def _sliding(label: str, duration: str, slide: str):
+def _sliding(label: str, duration: str, slide: str, closed_only: bool = True):
+    """Sliding windows: those a stream has closed, or all of a table (what a final flush would add)."""
     def query(spark: SparkSession, sf: str) -> DataFrame:
         session = stream_session(spark)
-        out = drain(session, windows.sliding_aggregates(
-            event_stream(session, sf), duration, slide, label=label, exact_merchants=True
-        ))
+        events = event_stream(session, sf) if closed_only else transactions(session, sf)
+        out = windows.sliding_aggregates(events, duration, slide, label=label, exact_merchants=True)
+        out = drain(session, out) if closed_only else out
         return out.select(
             "user_id", utc_text(F.col("window.start")).alias("window_start"),
             utc_text(F.col("window.end")).alias("window_end"), f"tx_count_{label}", f"max_amount_{label}",
@@ -49,6 +50,9 @@ def _sliding(label: str, duration: str, slide: str):
 QUERIES["stream_sliding_5m"] = _sliding("5m", "5 minutes", "1 minute")
 QUERIES["stream_sliding_1m"] = _sliding("1m", "1 minute", "10 seconds")
 QUERIES["stream_sliding_1h"] = _sliding("1h", "1 hour", "5 minutes")
+QUERIES["sliding_5m_all"] = _sliding("5m", "5 minutes", "1 minute", closed_only=False)
+QUERIES["sliding_1m_all"] = _sliding("1m", "1 minute", "10 seconds", closed_only=False)
+QUERIES["sliding_1h_all"] = _sliding("1h", "1 hour", "5 minutes", closed_only=False)
 
 
 @register("stream_sliding_5m_approx")
