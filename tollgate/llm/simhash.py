@@ -130,26 +130,25 @@ def links(nodes: DataFrame, bits: int = 3) -> DataFrame:
 
 
 def joined_in(nodes: np.ndarray, fps: np.ndarray, most: int) -> tuple[list[int], list[int]]:
-    """Edges that connect what a bucket's links (at most `most` differing bits) connect; fewer than it has rows."""
-    n = len(nodes)
-    root = np.arange(n)
-    edges: tuple[list[int], list[int]] = ([], [])
-    for start in range(0, n, 256):
+    """Edges that connect what a bucket's links (at most `most` differing bits) connect.
+
+    They lead from the least node of each connected part to its others, so that buckets with the same nodes send the same
+    edges, and never more than a bucket has rows.
+    """
+    root = np.arange(len(nodes))
+    for start in range(0, len(nodes), 256):
         block = fps[start : start + 256]
-        apart = np.bitwise_count(block[:, None, :] ^ fps[None, :, :]).sum(axis=2, dtype=np.int16)
-        near = apart <= most
-        # row by row: what a row links to and is not yet in its part joins it, one edge for each part
+        near = np.bitwise_count(block[:, None, :] ^ fps[None, :, :]).sum(axis=2, dtype=np.int16) <= most
         for i in range(len(block)):
             linked = np.nonzero(near[i, : start + i])[0]
-            parts, first = np.unique(root[linked], return_index=True)
-            for other, member in zip(parts.tolist(), linked[first].tolist(), strict=True):
-                if other == root[start + i]:
-                    continue
-                edges[0].append(int(nodes[start + i]))
-                edges[1].append(int(nodes[member]))
+            for other in np.unique(root[linked]).tolist():
                 low, high = sorted((other, int(root[start + i])))
                 root[root == high] = low
-    return edges
+    order = np.lexsort((nodes, root))
+    first = np.concatenate([[True], root[order][1:] != root[order][:-1]])
+    least = nodes[order][np.maximum.accumulate(np.where(first, np.arange(len(nodes)), 0))]
+    real = least != nodes[order]
+    return least[real].tolist(), nodes[order][real].tolist()
 
 
 def wide_keys(nodes: np.ndarray, fps: np.ndarray, key_words: int) -> pd.DataFrame:
