@@ -76,9 +76,11 @@ def count_tokens(
 
     known = open_cache(spark, cache_path, version)
     first = keys.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    misses = first.join(known, "digest", "left_anti").withColumnRenamed("digest", "missing")
-    chosen = texts.join(misses, F.col("digest").eqNullSafe(F.col("missing")) & F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
-    chosen = chosen.dropDuplicates(["digest", "doc_id"])  # of repeated rows; already dealt by these keys
+    misses = first.join(known, "digest", "left_anti")
+    own = {"id_key": F.coalesce("doc_id", F.lit(0)), "no_id": F.col("doc_id").isNull()}
+    lost = misses.withColumnRenamed("rep", "doc_id").withColumns(own).drop("doc_id")
+    names = ["digest", "id_key", "no_id"]
+    chosen = texts.withColumns(own).join(lost, names, "left_semi").dropDuplicates(names)  # of repeated rows; already dealt by these keys
 
     def encode(rows):
         count = encoder(model_path)
