@@ -63,6 +63,11 @@ def test_near_dedup(staged):
     assert len(staged[2]) < len(staged[1])
 
 
+def test_near_dedup_by_exact_jaccard(staged):
+    expected = test_simhash.plain_kept([(r["doc_id"], r["text"]) for r in staged[1]])
+    assert sorted(r["doc_id"] for r in staged[2]) == expected and len(expected) < len(staged[1])
+
+
 def test_decontamination(spark, staged):
     items = [decontaminate.words_of(r["text"]) for r in table(spark, SF, "benchmark").collect()]
     kept = {r["doc_id"] for r in staged[3]}

@@ -166,3 +166,48 @@ def test_one_of_each_group_stays(clashing, documents):
     texts = [r["text"] for r in left.collect()]
     assert len(texts) == len(set(texts)) and sum(not (t or "").encode().split() for t in texts) == 1
     assert simhash.drop_near_duplicates(documents([])).count() == 0
+
+
+def plain_kept(rows: list[tuple]) -> list[int]:
+    """Least ids of the components of exact Jaccard similarity >= 0.8 of five-word shingle sets."""
+    sets = {}
+    for i, text in rows:
+        words = [w.decode() for w in (text or "").encode().lower().split()]
+        sets[i] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+    ids = sorted(sets)
+    links = [(a, b) for n, b in enumerate(ids) for a in ids[:n] if sets[a] == sets[b] or 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    root = partition_of(links, ids)
+    return [i for i in ids if root[i] == i]
+
+
+def near_texts(rng) -> list[tuple]:
+    """Pairs with similarities on both sides of 0.8, chains of such, and short texts."""
+    rows = []
+    for _ in range(40):
+        n = rng.choice([6, 9, 14, 40, 150, 400])
+        words = [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
+        rows.append(" ".join(words))
+        for _ in range(rng.choice([1, 1, 3, 12])):
+            words = list(words) if rng.random() < 0.5 else rows[-1].split()
+            cut = max(1, round(n * rng.choice([0.05, 0.09, 0.1, 0.11, 0.12, 0.15, 0.22])))
+            at = rng.randint(0, n - cut)
+            words[at : at + cut] = [f"c{rng.randint(0, 10**6)}" for _ in range(rng.choice([0, cut]))]
+            rows.append(" ".join(words))
+    rng.shuffle(rows)
+    return list(enumerate(rows))
+
+
+def test_kept_rows_against_brute_force_jaccard(documents):
+    rows = near_texts(random.Random(11))
+    expected = plain_kept(rows)
+    assert sorted(r["doc_id"] for r in simhash.drop_near_duplicates(documents(rows)).collect()) == expected
+    assert len(expected) < len(rows)
+
+
+def test_sets_in_runs():
+    rng = np.random.default_rng(3)
+    base = np.arange(90, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([rng.permutation(base)[: rng.integers(70, 90)], rng.integers(1000, 1 << 60, rng.integers(0, 9), dtype=np.uint64)])) for _ in range(25)]
+    nodes = rng.permutation(25)
+    true = [(a, b) for a in range(25) for b in range(a) if 5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b]))]
+    assert partition_of(simhash.joined_sets(nodes, sets), range(25)) == partition_of([(nodes[a], nodes[b]) for a, b in true], range(25))

@@ -13,6 +13,8 @@ table gives an empty result.
 
 from __future__ import annotations
 
+from itertools import groupby
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -213,14 +215,12 @@ def bucket_edges(most: int):
     return run
 
 
-def wide_links(nodes: DataFrame, words: int, key_words: int, share: float, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """(a, b): edges that connect the nodes of a table (node, fps) which share a key and differ in at most `share` of their bits.
+def bucket_links(rows: DataFrame, sampled: DataFrame, words: int, share: float, bucket_rows: int) -> DataFrame:
+    """(a, b): edges that connect the nodes of rows (key, node, w0, w1, ...) which share a key and differ in at most `share` of their bits.
 
     A bucket sends no more edges than it has rows. Buckets that a sample of one node in SAMPLE shows to be large are
     split into blocks, and each pair of blocks is compared in its own task; the sample decides on nothing else.
     """
-    rows = wide_rows(nodes, words, key_words)
-    sampled = wide_rows(nodes.filter(F.pmod(F.xxhash64("node"), F.lit(SAMPLE)) == 0), words, key_words)
     blocks = F.ceil(F.col("count") * SAMPLE / bucket_rows).cast("int").alias("blocks")
     large = stored(sampled.groupBy("key").count().select("key", blocks).filter("blocks > 1"), "large-buckets")
     own = F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")
@@ -231,6 +231,12 @@ def wide_links(nodes: DataFrame, words: int, key_words: int, share: float, bucke
     return ordered.mapInArrow(bucket_edges(int(share * 64 * words)), "a long, b long").distinct()
 
 
+def wide_links(nodes: DataFrame, words: int, key_words: int, share: float, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """`bucket_links` of a table (node, fps) by the Golay keys of its first `key_words` words."""
+    sampled = wide_rows(nodes.filter(F.pmod(F.xxhash64("node"), F.lit(SAMPLE)) == 0), words, key_words)
+    return bucket_links(wide_rows(nodes, words, key_words), sampled, words, share, bucket_rows)
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, fp (64 bits), component_id (least doc_id of the component)."""
     prints = stored(fingerprints(docs, shingle, 1, doc_id, text).select("doc_id", F.get("fps", F.lit(0)).alias("fp")), "fingerprints")
@@ -245,23 +251,141 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 3, doc_id: st
 #: Share of differing bits at a Jaccard similarity of 0.8 of the shingle sets: the angle of cosine 2J / (1 + J), over pi.
 SHARE_AT_80 = float(np.arccos(2 * 0.8 / 1.8) / np.pi)
 
+#: Bands of BAND_ROWS least hashes; sets of similarity J share none of them with probability (1 - J^BAND_ROWS)^BANDS: 3e-6 at 0.8.
+BANDS, BAND_ROWS = 24, 4
+#: Share of differing bits up to which sets that share a band are compared: 7 standard deviations above SHARE_AT_80 for 256
+#: bits, 5 for sets of four and five shingles, whose bits differ most.
+SHARE_LOOSE = 80 / 256
+CELLS = 4_000_000  # of a matrix of sets and shingles held at a time
+
+
+def multipliers() -> tuple[np.ndarray, np.ndarray]:
+    drawn = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * BAND_ROWS, 1), dtype=np.uint64)
+    return drawn[0] << np.uint64(1) | np.uint64(1), drawn[1]
+
+
+def band_keys(hashes: np.ndarray, factors: np.ndarray, masks: np.ndarray) -> list[int]:
+    """A key for each band of least hashes of a set; as signed 64-bit integers."""
+    if not len(hashes):
+        return []
+    least = np.full(len(factors), np.iinfo(np.uint64).max, dtype=np.uint64)
+    for start in range(0, len(hashes), 4096):
+        np.minimum(least, ((hashes[start : start + 4096] ^ masks) * factors).min(axis=1), out=least)
+    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for row in least.reshape(BANDS, BAND_ROWS).T:
+        keys = (keys ^ row) * MIX
+        keys ^= keys >> np.uint64(29)
+    return keys.view(np.int64).tolist()
+
+
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    return np.unique(shingle_hashes(words_of(text), shingle))
+
+
+def sketches(docs: DataFrame, shingle: int, words: int, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, text_hash, node, fps, keys) of every row; node is the digest of its set of shingles."""
+
+    def run(rows):
+        factors, masks = multipliers()
+        for key, text_hash, content in rows:
+            hashes = shingle_set(content, shingle)
+            node = xxhash.xxh64_intdigest(hashes.tobytes(), SEED) - (1 << 63)
+            yield key, text_hash, node, fingerprint(hashes, words), band_keys(hashes, factors, masks)
+
+    return map_rows(docs.select(doc_id, F.xxhash64(text), text), run, "doc_id long, text_hash long, node long, fps array<long>, keys array<long>")
+
+
+def joined_sets(nodes: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Edges from the least node to the others of each part that links of Jaccard similarity 0.8 or more connect."""
+    order = np.argsort(nodes, kind="stable")
+    nodes, sets = nodes[order], [sets[i] for i in order.tolist()]
+    n, sizes = len(nodes), np.array([len(s) for s in sets], dtype=np.int64)
+    if n == 2:
+        common = np.array([[0, len(np.intersect1d(*sets, assume_unique=True))]] * 2, dtype=np.int64)
+        common[1, 0] = common[0, 1]
+        common[[0, 1], [0, 1]] = sizes
+    else:
+        _, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        owner, shared = np.repeat(np.arange(n), sizes), counts > 1
+        held = shared[column]
+        owner, column = owner[held], (np.cumsum(shared) - 1)[column[held]]
+        by_column = np.argsort(column, kind="stable")
+        owner, column = owner[by_column], column[by_column]
+        common, width = np.zeros((n, n), dtype=np.int64), max(1, CELLS // n)
+        for start in range(0, int(shared.sum()), width):
+            a, b = np.searchsorted(column, [start, start + width])
+            cells = np.zeros((n, min(width, int(shared.sum()) - start)), dtype=np.float32)
+            cells[owner[a:b], column[a:b] - start] = 1
+            common += np.rint(cells @ cells.T).astype(np.int64)
+    near = 9 * common >= 4 * (sizes[:, None] + sizes[None, :])  # common / (sum - common) >= 4 / 5
+    left, edges = np.ones(n, dtype=bool), []
+    for root in range(n):
+        if not left[root]:
+            continue
+        left[root], fresh = False, np.array([root])
+        while len(fresh):
+            fresh = np.nonzero(near[fresh].any(axis=0) & left)[0]
+            left[fresh] = False
+            edges += [(int(nodes[root]), other) for other in nodes[fresh].tolist() if other != nodes[root]]
+    return edges
+
+
+def set_edges(rows):
+    """Edges within runs of rows (root, i, j, node, set) with equal root, i and j."""
+    for _, group in groupby(rows, key=lambda r: r[:3]):
+        members = [(r[3], r[4]) for r in group]
+        if len(members) > 1:
+            yield from joined_sets(np.array([m[0] for m in members]), [np.frombuffer(m[1], dtype=np.uint64) for m in members])
+
+
+def candidates(nodes: DataFrame, words: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """(a, b): edges that connect the nodes of a table (node, fps, keys) which share a key and differ in at most SHARE_LOOSE of their bits."""
+    rows = nodes.select(F.explode("keys").alias("key"), "node", *[F.get("fps", F.lit(w)).alias(f"w{w}") for w in range(words)])
+    sampled = rows.filter(F.pmod(F.xxhash64("node"), F.lit(SAMPLE)) == 0)
+    return bucket_links(rows, sampled, words, SHARE_LOOSE, bucket_rows)
+
+
+def verified(marked: DataFrame, nodes: DataFrame, clusters: DataFrame, shingle: int, text: str) -> DataFrame:
+    """(a, b): edges that connect what links of Jaccard similarity 0.8 or more connect inside clusters (node, root).
+
+    Each set moves to its cluster; clusters are cut into about sqrt(size) / 4 blocks, and each pair of blocks is one run, so a
+    task gets few rows of a large cluster and every pair of its sets is compared.
+    """
+    blocks = F.ceil(F.sqrt(F.count("*") / 16)).cast("int").alias("blocks")
+    named = clusters.join(clusters.groupBy("root").agg(blocks), "root").join(nodes.select("node", "_id", "_hash"), "node")
+    own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(F.least(own, other).alias("i"), F.greatest(own, other).alias("j")))
+    texts = marked.select("_own", "_own_hash", F.col(text).alias("_text")).join(named, (F.col("_own") == F.col("_id")) & (F.col("_own_hash") == F.col("_hash")))
+    # repeated rows are one node
+    once = texts.select("node", "root", "blocks", "_text").dropDuplicates(["node"])
+
+    def run(rows):
+        for node, root, n, content in rows:
+            yield node, root, n, shingle_set(content, shingle).tobytes()
+
+    sets = map_rows(once, run, "node long, root long, blocks int, set binary")
+    dealt = sets.select("root", F.inline(pairs), "node", "set")
+    ordered = dealt.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
+    return map_rows(ordered, set_edges, "a long, b long").distinct()
+
 
-def drop_near_duplicates(docs: DataFrame, shingle: int = 5, words: int = 4, key_words: int = 3, share: float = SHARE_AT_80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, words: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each component, that with the least id; all columns stay.
 
-    Links need a share of differing bits, over all of the longer fingerprint's 64 times `words` bits, that stands for a
-    similarity of 0.8 or more, and a key in common in one of `key_words` words. Equal texts always link; texts closer than
-    the threshold share a key the more surely the closer they are (see the README for measured recall). Rows without an
-    id go by their text's hash.
+    Links join texts whose sets of shingles have a Jaccard similarity of 0.8 or more, counted exactly. Candidates are sets
+    that share a band of least hashes and differ in few bits of the longer fingerprint; their clusters get the sets
+    themselves. Equal sets (so equal texts, and all blank ones) are one node before that. Rows without an id go by their
+    text's hash.
     """
-    own = F.coalesce(F.col(doc_id), F.xxhash64(text))
-    prints = stored(fingerprints(docs.withColumn("_own", own), shingle, words, "_own", text), "fingerprints")
-    distinct = prints.groupBy("fps").agg(F.min("doc_id").alias("node"))
-    roots = components(wide_links(distinct, words, key_words, share))
-    members = distinct.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    # the least id of a component is its root, since nodes are least ids
-    kept = prints.join(members.filter(F.col("node") == F.col("root")), "fps").filter(F.col("doc_id") == F.col("node"))
-    chosen = kept.groupBy(F.col("doc_id").alias("_id")).agg(F.min("text_hash").alias("_hash"))
-    marked = docs.withColumns({"_own": own, "_own_hash": F.xxhash64(text)})
+    marked = docs.withColumns({"_own": F.coalesce(F.col(doc_id), F.xxhash64(text)), "_own_hash": F.xxhash64(text)})
+    prints = stored(sketches(marked, shingle, words, "_own", text), "sketches")
+    least = F.min(F.struct("doc_id", "text_hash")).alias("least")
+    first = F.first("fps").alias("fps"), F.first("keys").alias("keys")
+    nodes = stored(prints.groupBy("node").agg(least, *first).select("node", F.col("least.doc_id").alias("_id"), F.col("least.text_hash").alias("_hash"), "fps", "keys"), "nodes")
+    clusters = stored(components(candidates(nodes, words)), "clusters")
+    roots = components(verified(marked, nodes, clusters, shingle, text))
+    members = nodes.select("node", "_id", "_hash").join(roots, "node", "left")
+    kept = members.groupBy(F.coalesce("root", "node")).agg(F.min(F.struct("_id", "_hash")).alias("least")).select("least.*")
+    chosen = kept.groupBy("_id").agg(F.min("_hash").alias("_hash"))
     joined = marked.join(chosen, (F.col("_own") == F.col("_id")) & (F.col("_own_hash") == F.col("_hash")))
     return joined.dropDuplicates(["_own"]).select(*docs.columns)
