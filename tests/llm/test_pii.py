@@ -100,3 +100,25 @@ def test_odd_rows(clashing, documents):
     texts = [r["text"] for r in pii.replace(twice, KEY).collect()]
     assert texts.count(None) == 1 and len(set(texts)) == 2 and len(texts) == 4
     assert pii.replace(documents([]), KEY).count() == 0
+
+
+@pytest.mark.parametrize(("kind", "text"), [
+    ("phone", "اتصل +٩٧١ ٥٠ ١٢٣ ٤٥٦٧ الآن"), ("phone", "+٩٧١ ٥٠ ١٢٣ ٤٥٦٧ in 2023"), ("phone", "２１２-５５５-０１００"), ("ssn", "०७८-०५-११२०"),
+    ("card", "４１１１ １１１１ １１１１ １１１１"), ("card", "4111 1111 ١١١١ ١١١١"), ("ipv4", "١٩٢.١٦٨.١٠.٢٥٥"), ("iban", "DE٨٩ 3704 0044 0532 0130 00"),
+    ("email", "ann٤٢b@x٧.org"), ("ipv6", "٢٠٠١:db8:0:0:1:2:3:ff"), ("ssn", "𝟎𝟕𝟖-𝟎𝟓-𝟏𝟏𝟐𝟎"),
+])
+def test_digits_of_all_scripts(kind, text, documents):
+    span = pii.find(text)[0]
+    assert [s.kind for s in pii.find(text)] == [kind]
+    plain = text.translate(pii.TO_ASCII)
+    new, ascii_new, _ = replaced(documents, [text, plain, "no digits"])
+    assert new.translate(pii.TO_ASCII) == ascii_new != plain and span.text not in new
+    if kind not in ("ipv4", "ipv6"):
+        zero = lambda t: [chr(ord(c) - int(c)) for c in t if c.isdecimal()]
+        assert zero(new) == zero(text)
+    assert kind == "ipv6" or not set("0123456789") & set(new) or set("0123456789") & set(text)
+
+
+def test_net_has_all_digits():
+    digits = {chr(c) for c in range(0x110000) if re.fullmatch(r"\d", chr(c))}
+    assert digits == {chr(c) for c in pii.ASCII} and {c for c in digits if re.search(re.sub(r"\\x\{(\w+)\}", lambda m: chr(int(m[1], 16)), pii.MAYBE), c)} == digits

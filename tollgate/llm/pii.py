@@ -7,7 +7,7 @@ equal surrogates (distinctness).
 
 * Numbers and addresses go through a keyed permutation of their own format (Feistel rounds on digits, hex digits or
   letters), used as encrypt, add one, decrypt: a bijection without fixed points, so distinct values stay distinct and none
-  stays itself. Layout, country code, network and validity of check digits are kept.
+  stays itself. Digits of any script are the same number as ASCII ones, and are written back in their script. Layout, country code, network and validity of check digits are kept.
 * Words of names are drawn by a keyed hash, of the same script and of the title's gender. Where two units draw the same
   word, or a word that is a name in the corpus, the losers draw again until no clash is left; each round is a join.
 
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,8 +46,12 @@ PATTERNS = {
     "card": re.compile(r"(?<![\d.-])\d{4}([ -]?)\d{4}\1\d{4}\1\d{1,7}(?![\d-])"),
     "name": re.compile(rf"\b({'|'.join(sorted(TITLES, key=len, reverse=True))})\.? ({WORD}(?:[ -]{WORD}){{0,2}})|([一-鿿]{{2,3}})(先生|女士)"),
 }
-#: What every text with personal data contains; a wide net for the JVM.
-MAYBE = r"[0-9@]|先生|女士|\b(" + "|".join(TITLES) + r")\b"
+#: Digits of all scripts, as `\d` has them, with their values.
+ASCII = {c: int(chr(c)) for c in range(sys.maxunicode + 1) if chr(c).isdecimal()}
+TO_ASCII = {c: str(value) for c, value in ASCII.items()}
+OTHER_DIGIT = re.compile(r"[^\D0-9]")
+#: What every text with personal data contains; a wide net for the JVM. Its digits are listed, as a JVM may know fewer.
+MAYBE = "[@" + "".join(rf"\x{{{c:x}}}-\x{{{c + 9:x}}}" for c, value in ASCII.items() if value == 0) + r"]|先生|女士|\b(" + "|".join(TITLES) + r")\b"
 
 UNIT = "struct<kind:string,value:string>"
 FOUND = f"doc_id long, text_hash long, units array<{UNIT}>"
@@ -59,9 +64,9 @@ ROUNDS = 8
 class Span:
     """A stretch of text and its units; `render` writes it with their surrogates."""
 
-    def __init__(self, kind: str, match: re.Match):
-        self.kind, self.start, self.end, text = kind, match.start(), match.end(), match[0]
-        self.text = text
+    def __init__(self, kind: str, match: re.Match, text: str):
+        self.kind, self.start, self.end = kind, match.start(), match.end()
+        self.text = text[self.start : self.end]  # the match has ASCII digits
         if kind == "name":
             self.words = split_name(match)
             self.units = [(kind, value) for _, _, value in self.words]
@@ -79,7 +84,9 @@ class Span:
             return "".join(out) + self.text[at - self.start :]
         new = surrogate[self.units[0]]
         if self.kind == "email":
-            return new.upper() if self.text.isupper() else new
+            new = new.upper() if self.text.isupper() else new
+            digits = iter([c for c in self.text if c.isdecimal()])
+            return "".join(in_script(c, next(digits)) if c.isdecimal() else c for c in new)
         return lay_out(self.text, new, self.kind)
 
 
@@ -109,25 +116,37 @@ def canonical(kind: str, match: re.Match) -> str:
     return re.sub(r"[ -]", "", match[0])
 
 
+def in_script(new: str, old: str) -> str:
+    """A new character, as a digit in the script of the old one."""
+    if not (old.isdecimal() and new.isdecimal()):
+        return new
+    return chr(ord(old) - ASCII[ord(old)] + int(new))
+
+
 def lay_out(text: str, value: str, kind: str) -> str:
-    """The surrogate in the original's layout, filled in from the right so that a country code stays."""
-    if kind in ("ipv4", "ipv6"):
-        return value.upper() if text.isupper() and kind == "ipv6" else value
+    """The surrogate in the original's layout and digits, filled in from the right so that a country code stays."""
+    if kind == "ipv4":
+        parts = zip(value.split("."), text.split("."), strict=True)
+        return ".".join("".join(in_script(c, old[0]) for c in new) for new, old in parts)
+    if kind == "ipv6":
+        digit = next((c for c in text if c.isdecimal()), "0")
+        return "".join(in_script(c, digit) for c in (value.upper() if text.isupper() else value))
     left, out = list(value), []
     for c in reversed(text):
-        out.append(left.pop() if c.isalnum() and left else c)
+        out.append(in_script(left.pop(), c) if c.isalnum() and left else c)
     return "".join(reversed(out))
 
 
 def find(text: str) -> list[Span]:
-    """Spans from left to right, none overlapping."""
+    """Spans from left to right, none overlapping. Digits of other scripts are read as ASCII ones."""
     taken: list[Span] = []
+    original, text = text, text.translate(TO_ASCII) if OTHER_DIGIT.search(text) else text
     for kind, pattern in PATTERNS.items():
         if (kind == "email" and "@" not in text) or (kind == "ipv6" and ":" not in text):
             continue
         for match in pattern.finditer(text):
             if not any(s.start < match.end() and match.start() < s.end for s in taken):
-                taken.append(Span(kind, match))
+                taken.append(Span(kind, match, original))
     return sorted(taken, key=lambda s: s.start)
 
 
