@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.llm import classifier, decontaminate, mixing, oracles, pii, rules, secrets, simhash, suffix_dedup, tokens, wrapper
+from tollgate.llm import classifier, decontaminate, mixing, oracles, pii, rules, secrets, simhash, suffix_dedup, token_files, tokens, wrapper
 from tollgate.llm.common import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,4 +101,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
+@query("op12_token_files")
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes all documents' ids into a new folder and reads them back."""
+    path = scratch(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
+    return token_files.documents(spark, path)
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

@@ -31,9 +31,15 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a table in the shared folder: cuts the lineage and outlives executors."""
-    path = scratch(df.sparkSession, name)
+def drop(spark: SparkSession, path: str) -> None:
+    """Deletes a scratch folder whose last reader is done."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """The frame as a table in the shared folder: cuts the lineage and outlives executors. With a path, the caller drops it."""
+    path = path or scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
