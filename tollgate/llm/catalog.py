@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.llm import classifier, decontaminate, mixing, oracles, pii, rules, secrets, simhash, suffix_dedup, token_files, tokens, wrapper
+from tollgate.llm import alignment, classifier, decontaminate, mixing, oracles, pii, rules, secrets, simhash, suffix_dedup, token_files, tokens, wrapper
 from tollgate.llm.common import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,4 +109,10 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.documents(spark, path)
 
 
+@query("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align(table(spark, sf_dir, "documents"), *paths)[0]
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

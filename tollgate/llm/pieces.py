@@ -30,8 +30,8 @@ def cut(text: str) -> list[str]:
 class Cache:
     """Results of a function of lists of pieces. When the newer generation is full, it becomes the older one."""
 
-    def __init__(self, function: Callable[[list[str]], list[Any]]):
-        self.function = function
+    def __init__(self, function: Callable[[list[str]], list[Any]], most: int = MOST):
+        self.function, self.most = function, most
         self.newer: dict[str, Any] = {}
         self.older: dict[str, Any] = {}
         self.passing: list[str] = []
@@ -40,7 +40,7 @@ class Cache:
         """A dictionary that has at least these pieces, until the next call."""
         for piece in self.passing:
             del self.newer[piece]
-        if len(self.newer) > MOST:
+        if len(self.newer) > self.most:
             self.newer, self.older = {}, self.newer
         missing = pieces.difference(self.newer)
         known = missing & self.older.keys()
@@ -54,10 +54,10 @@ class Cache:
 CACHES: dict[tuple, Cache] = {}
 
 
-def shared_cache(*key: Any, make: Callable[[], Callable[[list[str]], list[Any]]]) -> Cache:
+def shared_cache(*key: Any, make: Callable[[], Callable[[list[str]], list[Any]]], most: int = MOST) -> Cache:
     """The worker's cache of this key; `make` builds its function the first time."""
     if key not in CACHES:
-        CACHES[key] = Cache(make())
+        CACHES[key] = Cache(make(), most)
     return CACHES[key]
 
 
