@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.llm import alignment, classifier, decontaminate, mixing, oracles, pii, rules, secrets, simhash, suffix_dedup, token_files, tokens, wrapper
+from tollgate.llm import alignment, classifier, decontaminate, mixing, multi_index, oracles, pii, rules, secrets, simhash, suffix_dedup, token_files, tokens, wrapper
 from tollgate.llm.common import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,6 +101,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
+@query("op11_hard_negatives")
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return multi_index.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 @query("op12_token_files")
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes all documents' ids into a new folder and reads them back."""
