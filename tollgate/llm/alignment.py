@@ -4,8 +4,8 @@ Byte offsets at which a token of both A and B ends cut a text into groups; every
 token of B in it. An id pair counts the documents that hold it linked.
 
 1. Texts are shuffled by their full content, so that each distinct text is tokenised and aligned once, with its number of copies.
-2. A task aligns texts in blocks. A text ends a group at every place where `pieces` cuts, so groups are made per piece, and a
-   worker keeps those of repeated pieces. A text with a piece whose tokens don't give its bytes is tried as a whole,
+2. A task aligns texts in blocks. A text ends a group at every place where `pieces` cuts, so groups are made per word, and a
+   worker keeps those of repeated words. A text with a word whose tokens don't give its bytes is tried as a whole,
    and has no tokens if that fails too.
 3. A block numbers its own id pairs. It sends each pair once, with the documents that hold it, and keeps each text's pairs by those
    numbers. Pair counts are the sums over blocks; they return to the blocks that asked, one row per block and pair, and not per document.
@@ -30,10 +30,11 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tollgate.llm.common import drop, scratch, stored
-from tollgate.llm.pieces import byte_tokens, cut, piece_encoder, shared_cache
+from tollgate.llm.pieces import WordEncoder, byte_tokens, shared_cache, words_of
 
 TEXTS, CHARACTERS = 4096, 4_000_000  # of a block
-KEPT = 120_000  # pieces of a generation of a worker's cache
+KEPT = 120_000  # words of a generation of a worker's cache
+LARGE = 1024  # links of a group that is counted instead of listed
 PAIRS = 4096  # of a stored row
 TEXT_ROWS, PAIR_ROWS = 0, 1
 ALIGNED = (
@@ -57,63 +58,106 @@ def sentence_tokens(model) -> list[bytes]:
 
 
 class Aligned:
-    """Numbers of tokens, groups and links of a piece; its id pairs, how often each is linked, and its groups as text."""
+    """Numbers of tokens, groups and links of a word; its id pairs, packed, one per link or with how often each is linked; and
+    its groups as text."""
 
     __slots__ = ("sizes", "pairs", "times", "groups")
 
-    def __init__(self, a: list[int], b: list[int], lengths_a: list[int], lengths_b: list[int]):
-        pairs: Counter[int] = Counter()
-        groups, links = [], 0
-        left, right, end_a, end_b, at = [], [], 0, 0, 0
-        for token, length in zip(a, lengths_a, strict=True):
-            left.append(token)
-            end_a += length
-            while end_b < end_a:
-                right.append(b[at])
-                end_b += lengths_b[at]
-                at += 1
-            if end_a == end_b:
-                groups.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
-                links += len(left) * len(right)
-                many = Counter(right)
-                for x, n in Counter(left).items():
-                    for y, m in many.items():
-                        pairs[x << 32 | y] += n * m
-                left, right = [], []
-        self.sizes = (len(a), len(b), len(groups), links)
-        self.pairs, self.times = np.fromiter(pairs, dtype="<i8", count=len(pairs)).tobytes(), np.fromiter(pairs.values(), dtype="<i8", count=len(pairs)).tobytes()
-        self.groups = ";".join(groups)
-
-
-def aligner(path_a: str, path_b: str):
-    """Function from pieces without their leading space to their alignments, None where tokens don't give back the bytes."""
-    import sentencepiece
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path_a)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    tokenizer.encode_special_tokens = True
-    model = sentencepiece.SentencePieceProcessor(model_file=path_b)
-    encode_a, bytes_a, bytes_b = piece_encoder(tokenizer), byte_tokens(tokenizer), sentence_tokens(model)
-
-    def run(pieces: list[str]) -> list[Aligned | None]:
-        spaced = [" " + p for p in pieces]
-        out: list[Aligned | None] = []
-        for text, a, b in zip(spaced, encode_a(spaced), model.encode(pieces, num_threads=1), strict=True):
-            a, whole = a.tolist(), text.encode()
-            parts_a, parts_b = [bytes_a[i] for i in a], [bytes_b[i] for i in b]
-            same = b"".join(parts_a) == whole == b"".join(parts_b)
-            out.append(Aligned(a, b, [len(p) for p in parts_a], [len(p) for p in parts_b]) if same else None)
+    def __init__(self, sizes: tuple[int, int, int, int], pairs: bytes, times: bytes, groups: str):
+        self.sizes, self.pairs, self.times, self.groups = sizes, pairs, times, groups
+
+
+def counted(groups: list[tuple[list[int], list[int]]]) -> tuple[bytes, bytes]:
+    """Different pairs of groups of any size, and how often each is linked."""
+    pairs: Counter[int] = Counter()
+    for left, right in groups:
+        many = Counter(right)
+        for x, n in Counter(left).items():
+            for y, m in many.items():
+                pairs[x << 32 | y] += n * m
+    return np.array(list(pairs), dtype="<i8").tobytes(), np.array(list(pairs.values()), dtype="<i8").tobytes()
+
+
+class Aligner:
+    """Function from words to their alignments after a space, None where tokens don't give back the bytes.
+
+    All words of a call are laid end to end; a group is the tokens between two offsets where tokens of both end.
+    """
+
+    def __init__(self, path_a: str, path_b: str):
+        import sentencepiece
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path_a)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        tokenizer.encode_special_tokens = True
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path_b)
+        self.encode_a, self.bytes_a, self.bytes_b = WordEncoder(tokenizer), byte_tokens(tokenizer), sentence_tokens(self.model)
+        self.lengths_a, self.lengths_b = (np.array([len(t) for t in side]) for side in (self.bytes_a, self.bytes_b))
+        self.names = np.array([str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))], dtype=object)
+
+    def __call__(self, words: list[str]) -> list[Aligned | None]:
+        ids_a = [np.frombuffer(ids, dtype="<u4").astype(np.int64) for ids in self.encode_a.spaced(words)]
+        ids_b = [np.array(ids, dtype=np.int64) for ids in self.model.encode(words, num_threads=1)]
+        texts = [b" " + w.encode() for w in words]
+        good = np.ones(len(words), dtype=bool)
+        for ids, tokens in ((ids_a, self.bytes_a), (ids_b, self.bytes_b)):
+            if b"".join([tokens[i] for own in ids for i in own.tolist()]) != b"".join(texts) or not self.ends_fit(ids, tokens, texts):
+                good &= [b"".join([tokens[i] for i in own.tolist()]) == text for own, text in zip(ids, texts, strict=True)]
+        places = np.flatnonzero(good).tolist()
+        out: list[Aligned | None] = [None] * len(words)
+        if places:
+            for place, one in zip(places, self.align([ids_a[i] for i in places], [ids_b[i] for i in places]), strict=True):
+                out[place] = one
         return out
 
-    return run
-
-
-def words_of(text: str) -> list[str]:
-    """Pieces without the spaces they are cut at."""
-    first, *others = cut(text)
-    return [first, *(p[1:] for p in others)]
+    def ends_fit(self, ids: list[np.ndarray], tokens: list[bytes], texts: list[bytes]) -> bool:
+        lengths = self.lengths_a if tokens is self.bytes_a else self.lengths_b
+        sums = np.concatenate([[0], np.cumsum(lengths[np.concatenate(ids)])])[np.cumsum([len(own) for own in ids])] if ids else []
+        return np.array_equal(sums, np.cumsum([len(t) for t in texts]))
+
+    def align(self, ids_a: list[np.ndarray], ids_b: list[np.ndarray]):
+        a, b = np.concatenate(ids_a), np.concatenate(ids_b)
+        ends_a, ends_b = np.cumsum(self.lengths_a[a]), np.cumsum(self.lengths_b[b])
+        common = np.intersect1d(ends_a, ends_b)
+        group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
+        n_a, n_b = np.bincount(group_a, minlength=len(common)), np.bincount(group_b, minlength=len(common))
+        starts_b = np.cumsum(n_b) - n_b
+        # the words' ends among groups, tokens and links
+        last_a = np.cumsum([len(own) for own in ids_a])
+        groups = group_a[last_a - 1] + 1
+        links = n_a * n_b
+        small = links <= LARGE
+        n_links = np.cumsum(np.where(small, links, 0))[groups - 1]
+
+        wide = np.where(small[group_a], n_b[group_a], 0)
+        first = np.repeat(starts_b[group_a] - (np.cumsum(wide) - wide), wide) + np.arange(int(wide.sum()))
+        packed = (np.repeat(a, wide) << 32 | b[first]).astype("<i8").tobytes()
+
+        # the groups as text: each token behind its sign
+        both = np.concatenate([a, b])
+        group = np.concatenate([group_a, group_b])
+        order = np.lexsort((np.arange(len(both)), group))  # a's tokens of a group, then b's
+        opens_a = np.concatenate([[True], group_a[1:] != group_a[:-1]])
+        opens_b = np.concatenate([[True], group_b[1:] != group_b[:-1]])
+        opens_word = np.zeros(len(a), dtype=bool)
+        opens_word[np.concatenate([[0], last_a[:-1]])] = True
+        signs = np.concatenate([np.where(opens_word, "", np.where(opens_a, ";", ",")), np.where(opens_b, "|", ",")]).astype(object)
+        parts = (signs[order] + self.names[both[order]]).tolist()
+        n_parts = np.cumsum(n_a + n_b)[groups - 1]
+
+        before_group = before_link = before_part = 0
+        sizes = zip(np.diff(last_a, prepend=0).tolist(), np.diff(np.cumsum(n_b)[groups - 1], prepend=0).tolist(), groups.tolist(), n_links.tolist(), n_parts.tolist(), strict=True)
+        total = np.concatenate([[0], np.cumsum(links)]).tolist()
+        large = set(np.flatnonzero(~small).tolist())
+        for own_a, own_b, group, link, part in sizes:
+            pairs, times = packed[8 * before_link : 8 * link], b""
+            if large and not large.isdisjoint(range(before_group, group)):
+                sides = [[x[(g >= before_group) & (g < group)], g[(g >= before_group) & (g < group)]] for x, g in ((a, group_a), (b, group_b))]
+                pairs, times = counted([tuple(x[g == i].tolist() for x, g in sides) for i in range(before_group, group)])
+            yield Aligned((own_a, own_b, group - before_group, total[group] - total[before_group]), pairs, times, "".join(parts[before_part:part]))
+            before_group, before_link, before_part = group, link, part
 
 
 class Block:
@@ -148,7 +192,10 @@ class Block:
         lengths = np.array([len(p) // 8 for p in pairs], dtype=np.int64)
         starts = np.cumsum(lengths) - lengths
         self.pairs, numbers = np.unique(np.frombuffer(b"".join(pairs), dtype="<i8"), return_inverse=True)
-        weights = np.frombuffer(b"".join([b"" if i is None else i.times for i in items]), dtype="<i8")
+        weights = np.ones(int(lengths.sum()), dtype=np.int64)
+        for i, start in zip(items, starts.tolist(), strict=True):
+            if i is not None and i.times:
+                weights[start : start + len(i.pairs) // 8] = np.frombuffer(i.times, dtype="<i8")
         taken = lengths[item]
         places = np.repeat(starts[item] - (np.cumsum(taken) - taken), taken) + np.arange(int(taken.sum()))
         linked = np.repeat(times, taken) * weights[places]
@@ -215,7 +262,7 @@ def align_blocks(path_a: str, path_b: str):
         weight = 0
 
         def make():
-            return aligner(path_a, path_b)
+            return Aligner(path_a, path_b)
 
         for part in batches:
             cache = shared_cache("aligned", path_a, path_b, make=make, most=KEPT)

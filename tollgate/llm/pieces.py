@@ -1,9 +1,9 @@
-"""Texts encoded piece by piece, equal pieces once.
+"""Texts encoded word by word, equal words once.
 
 A text is cut before every single space that stands between two characters that are no white space. Byte-level BPE with its
 usual pattern and sentencepiece BPE with escaped spaces both begin a token there and merge nothing across, so the ids of
-the pieces, joined, are the ids of the text. Pieces repeat far more often than texts do; a Python worker keeps the
-results of short ones, in two generations of bounded size.
+the words, joined, are the ids of the text. Words repeat far more often than texts do; a Python worker keeps the results of
+short ones, in two generations of bounded size.
 """
 
 from __future__ import annotations
@@ -13,22 +13,32 @@ from collections.abc import Callable
 from typing import Any
 
 import numpy as np
+import regex
 
 #: White space of both tokenizers and sentencepiece's own sign for a space, beside which nothing is cut.
 BLANK, FULL = r"[\s▁]", r"[^\s▁]"
 PIECE = re.compile(rf"{BLANK}*{FULL}+(?:(?! {FULL}){BLANK}+{FULL}*)*|{BLANK}+")
-INNER = re.compile(rf" (?:{FULL}|{FULL}(?s:.)*{FULL})")  # what can follow and be followed by any other piece
-LONGEST, MOST = 80, 250_000  # characters of a piece that is kept; pieces of a generation
-JOINED = 20_000  # fresh pieces in one call of the library
+OTHER_BLANKS = [c for c in map(chr, range(0x3001)) if re.match(BLANK, c) and c not in " \n"]
+UNUSUAL = ["\0", *OTHER_BLANKS]  # what a joined word has not, with the added tokens
+#: Fixed value: the pattern of byte-level BPE.
+PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+LONGEST, MOST = 80, 400_000  # characters of a word that is kept; words of a generation
+JOINED = 20_000  # fresh words in one call of the library
 
 
-def cut(text: str) -> list[str]:
-    """Pieces whose concatenation is the text; all but the first begin with the space they are cut at."""
-    return PIECE.findall(text)
+def words_of(text: str, lines: bool = False) -> list[str]:
+    """The first word and the others without the space they are cut at. With `lines`, the text is also cut before single
+    line ends between words, which stay: such words begin with \\n."""
+    if "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " " or any(c in text for c in OTHER_BLANKS):
+        first, *others = PIECE.findall(text) or [""]
+        return [first, *(p[1:] for p in others)]
+    if lines and "\n" in text and "\n\n" not in text and text[0] != "\n" and text[-1] != "\n":
+        text = text.replace("\n", " \n")
+    return text.split(" ")
 
 
 class Cache:
-    """Results of a function of lists of pieces. When the newer generation is full, it becomes the older one."""
+    """Results of a function of lists of words. When the newer generation is full, it becomes the older one."""
 
     def __init__(self, function: Callable[[list[str]], list[Any]], most: int = MOST):
         self.function, self.most = function, most
@@ -36,18 +46,18 @@ class Cache:
         self.older: dict[str, Any] = {}
         self.passing: list[str] = []
 
-    def look_up(self, pieces: set[str]) -> dict[str, Any]:
-        """A dictionary that has at least these pieces, until the next call."""
-        for piece in self.passing:
-            del self.newer[piece]
+    def look_up(self, words: set[str]) -> dict[str, Any]:
+        """A dictionary that has at least these words, until the next call."""
+        for word in self.passing:
+            del self.newer[word]
         if len(self.newer) > self.most:
             self.newer, self.older = {}, self.newer
-        missing = pieces.difference(self.newer)
+        missing = words.difference(self.newer)
         known = missing & self.older.keys()
-        self.newer.update((p, self.older[p]) for p in known)
+        self.newer.update((w, self.older[w]) for w in known)
         fresh = list(missing - known)
         self.newer.update(zip(fresh, self.function(fresh), strict=True))
-        self.passing = [p for p in fresh if len(p) > LONGEST]
+        self.passing = [w for w in fresh if len(w) > LONGEST]
         return self.newer
 
 
@@ -61,43 +71,76 @@ def shared_cache(*key: Any, make: Callable[[], Callable[[list[str]], list[Any]]]
     return CACHES[key]
 
 
+def byte_alphabet() -> dict[str, int]:
+    """Byte-level BPE's characters and the bytes they stand for: printable ones for themselves, others in a row from 256."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(0x100 + i): b for i, b in enumerate(hidden)}
+
+
 def byte_tokens(tokenizer) -> list[bytes]:
     """Bytes of each id of a byte-level tokenizer; added tokens are plain text."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # bytes that stand for themselves
-    hidden = [b for b in range(256) if b not in shown]
-    table = {chr(b): b for b in shown} | {chr(0x100 + i): b for i, b in enumerate(hidden)}
-    added = tokenizer.get_added_tokens_decoder()
-    out = []
-    for i in range(tokenizer.get_vocab_size()):
-        if i in added:
-            out.append(added[i].content.encode())
-        else:
-            out.append(bytes(table[c] for c in tokenizer.id_to_token(i)))
-    return out
-
-
-def piece_encoder(tokenizer) -> Callable[[list[str]], list[np.ndarray]]:
-    """Ids of each piece. Pieces that begin with a space and hold no white space at their ends go to the library in long
-    joins, whose ids are told apart by their bytes."""
-    lengths = np.array([len(t) for t in byte_tokens(tokenizer)], dtype=np.int64)
-
-    def encode(texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype=np.int64) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def run(pieces: list[str]) -> list[np.ndarray]:
-        found: dict[str, np.ndarray] = {}
-        inner = [p for p in pieces if INNER.fullmatch(p)]
-        for start in range(0, len(inner), JOINED):
-            part = inner[start : start + JOINED]
-            (ids,) = encode(["".join(part)])
-            ends = np.cumsum([len(p.encode()) for p in part])
-            stops = np.cumsum(lengths[ids])
-            places = np.searchsorted(stops, ends)
-            if not np.array_equal(stops[places], ends):
-                raise ValueError("a token crosses the cut between two pieces")
-            found.update(zip(part, np.split(ids, places[:-1] + 1), strict=True))
-        rest = [p for p in pieces if p not in found]
-        found.update(zip(rest, encode(rest), strict=True))
-        return [found[p] for p in pieces]
-
-    return run
+    alphabet, added = byte_alphabet(), tokenizer.get_added_tokens_decoder()
+    names = [tokenizer.id_to_token(i) for i in range(tokenizer.get_vocab_size())]
+    return [added[i].content.encode() if i in added else bytes(alphabet[c] for c in name) for i, name in enumerate(names)]
+
+
+class WordEncoder:
+    """Ids of words that follow a space, as packed integers of `width`.
+
+    Words go to the library's model in long joins, already split by the byte-level pattern, and the ids are told apart by
+    their bytes. Words that end in white space or hold an added token go to the whole tokenizer, one by one.
+    """
+
+    def __init__(self, tokenizer, width: str = "<u4"):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer, self.width = tokenizer, width
+        self.size = np.dtype(width).itemsize
+        self.lengths = np.array([len(t) for t in byte_tokens(tokenizer)], dtype=np.int64)
+        self.added = [] if tokenizer.encode_special_tokens else [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        self.model = Tokenizer(tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.letters = {chr(b): c for c, b in byte_alphabet().items() if chr(b) != c}
+
+    def texts(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts by the whole tokenizer."""
+        return [np.array(e.ids, dtype=self.width).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def join(self, words: list[str], joined: str) -> list[bytes]:
+        shown = "\0".join(PATTERN.findall(joined)).encode().decode("latin-1")
+        for plain, letter in self.letters.items():
+            if plain != "\0" and plain in shown:
+                shown = shown.replace(plain, letter)
+        (found,) = self.model.encode_batch_fast([shown.replace("\0", " ")], add_special_tokens=False)
+        ids = np.array(found.ids, dtype=np.int64)
+        own = [len(w) for w in words] if joined.isascii() else [len(w.encode()) for w in words]
+        ends = np.cumsum(own) + (np.arange(1, len(own) + 1) if joined[0] == " " else 0)
+        stops = np.cumsum(self.lengths[ids])
+        places = np.searchsorted(stops, ends)
+        if not np.array_equal(stops[np.minimum(places, len(stops) - 1)], ends):
+            raise ValueError("a token crosses the cut between two words")
+        data, edges = ids.astype(self.width).tobytes(), [0, *((places + 1) * self.size).tolist()]
+        return [data[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+    def spaced(self, words: list[str]) -> list[bytes]:
+        """As a call, but words that begin with a line end follow a space as well."""
+        odd = [i for i, w in enumerate(words) if w[:1] == "\n"]
+        found = self([w for w in words if w[:1] != "\n"])
+        for i, ids in zip(odd, self.texts([" " + words[i] for i in odd]), strict=True):
+            found.insert(i, ids)
+        return found
+
+    def __call__(self, words: list[str]) -> list[bytes]:
+        found: dict[str, bytes] = {}
+        every, plain = " ".join(words), words
+        if "  " in every or "\n " in every or every[-1:] in " \n" or any(c in every for c in UNUSUAL) or any(a in every for a in self.added):
+            plain = [w for w in words if w and not w[-1].isspace() and w[-1] != "▁" and (w[0] == "\n" or not w[0].isspace()) and "\0" not in w]
+            plain = [w for w in plain if not any(a in w for a in self.added)]
+        for begin, part in (("\n", [w for w in plain if w[0] == "\n"]), (" ", [w for w in plain if w[0] != "\n"])):
+            for start in range(0, len(part), JOINED):
+                some = part[start : start + JOINED]
+                found.update(zip(some, self.join(some, "".join(some) if begin == "\n" else " " + " ".join(some)), strict=True))
+        rest = [w for w in words if w not in found]
+        found.update(zip(rest, self.texts([w if w[:1] == "\n" else " " + w for w in rest]), strict=True))
+        return [found[w] for w in words]
