@@ -6,13 +6,18 @@ form one table, so a unit has one surrogate wherever and however it is written (
 equal surrogates (distinctness).
 
 * Numbers and addresses go through a keyed permutation of their own format (Feistel rounds on digits, hex digits or
-  letters), used as encrypt, add one, decrypt: a bijection without fixed points, so distinct values stay distinct and none
+  letters), used as encrypt, add n, decrypt: a bijection without fixed points, so distinct values stay distinct and none
   stays itself. Digits of any script are the same number as ASCII ones, and are written back in their script. Layout, country code, network and validity of check digits are kept.
-* Words of names are drawn by a keyed hash, of the same script and of the title's gender. Where two units draw the same
-  word, or a word that is a name in the corpus, the losers draw again until no clash is left; each round is a join.
+* Words of names are drawn by a keyed hash, of the same script and of the title's gender.
+* Where two units draw the same surrogate, or one that is a unit of the corpus itself, the losers draw again (numbers add one
+  more and so walk on in their cycle) until no clash is left; each round is a join. Only where the corpus holds more than
+  half of all values of a format can surrogates be among the originals: there the bijection alone decides.
 
-Null texts stay null. Texts without personal data pass unchanged and unmoved; only texts that may hold some are shuffled,
-to meet their units' surrogates. Repeated rows are rewritten alike. Empty tables give empty results.
+Not detected: names without a title, and phone numbers without country code, brackets, dots or hyphens (`212 555 0187`),
+which nothing tells from other words and numbers.
+
+Null texts stay null. Texts without personal data pass unchanged and unmoved; of texts that may hold some, those that do
+are shuffled, to meet their units' surrogates. Repeated rows are rewritten alike. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -20,6 +25,7 @@ from __future__ import annotations
 import hashlib
 import re
 import sys
+from bisect import bisect
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,12 +56,15 @@ PATTERNS = {
 ASCII = {c: int(chr(c)) for c in range(sys.maxunicode + 1) if chr(c).isdecimal()}
 TO_ASCII = {c: str(value) for c, value in ASCII.items()}
 OTHER_DIGIT = re.compile(r"[^\D0-9]")
-#: What every text with personal data contains; a wide net for the JVM. Its digits are listed, as a JVM may know fewer.
-MAYBE = "[@" + "".join(rf"\x{{{c:x}}}-\x{{{c + 9:x}}}" for c, value in ASCII.items() if value == 0) + r"]|先生|女士|\b(" + "|".join(TITLES) + r")\b"
+WIDE_DIGITS = "".join(rf"\x{{{c:x}}}-\x{{{c + 9:x}}}" for c, value in ASCII.items() if value == 0 and c > 0x7F)
+#: What every text with personal data contains; a net for the JVM. It tries one class at each character, of the signs such data
+#: begins with; digits beyond ASCII, listed as a JVM may know fewer, start at \u0660.
+MAYBE = (
+    "(?=[@0-9" + "".join(sorted({t[0] for t in TITLES})) + r"\x{660}-\x{10ffff}])(?:[@0-9" + WIDE_DIGITS + "]|先生|女士|"
+    + "|".join(rf"{t}\.? " for t in TITLES) + ")"
+)
 
 UNIT = "struct<kind:string,value:string>"
-FOUND = f"doc_id long, text_hash long, units array<{UNIT}>"
-MAPPED = "array<struct<kind:string,value:string,surrogate:string>>"
 
 LETTERS, DIGITS, HEX = "abcdefghijklmnopqrstuvwxyz", "0123456789", "0123456789abcdef"
 ROUNDS = 8
@@ -140,22 +149,28 @@ def lay_out(text: str, value: str, kind: str) -> str:
 def find(text: str) -> list[Span]:
     """Spans from left to right, none overlapping. Digits of other scripts are read as ASCII ones."""
     taken: list[Span] = []
+    starts: list[int] = []
     original, text = text, text.translate(TO_ASCII) if OTHER_DIGIT.search(text) else text
     for kind, pattern in PATTERNS.items():
         if (kind == "email" and "@" not in text) or (kind == "ipv6" and ":" not in text):
             continue
+        fresh = []
         for match in pattern.finditer(text):
-            if not any(s.start < match.end() and match.start() < s.end for s in taken):
-                taken.append(Span(kind, match, original))
-    return sorted(taken, key=lambda s: s.start)
+            after = bisect(starts, match.start())
+            if not (after and taken[after - 1].end > match.start()) and not (after < len(starts) and starts[after] < match.end()):
+                fresh.append(Span(kind, match, original))
+        if fresh:
+            taken = sorted(taken + fresh, key=lambda s: s.start)
+            starts = [s.start for s in taken]
+    return taken
 
 
 def number(key: bytes, *parts: str) -> int:
     return int.from_bytes(hashlib.blake2b("\x1f".join(parts).encode(), key=key, digest_size=16).digest(), "big")
 
 
-def permute(word: str, alphabet: str, key: bytes, tweak: str) -> str:
-    """A keyed bijection of the words of one length over an alphabet, without fixed points."""
+def permute(word: str, alphabet: str, key: bytes, tweak: str, steps: int = 1) -> str:
+    """A keyed bijection of the words of one length over an alphabet: `steps` places on in one cycle of them all."""
     size, half = len(alphabet), len(word) // 2
     if not word:
         return word
@@ -168,7 +183,7 @@ def permute(word: str, alphabet: str, key: bytes, tweak: str) -> str:
     for turn in range(ROUNDS):
         left = (left + number(key, label, str(turn), "l", str(right))) % low
         right = (right + number(key, label, str(turn), "r", str(left))) % high
-    left, right = divmod((left * high + right + 1) % (low * high), high)
+    left, right = divmod((left * high + right + steps) % (low * high), high)
     for turn in reversed(range(ROUNDS)):
         right = (right - number(key, label, str(turn), "r", str(left))) % high
         left = (left - number(key, label, str(turn), "l", str(right))) % low
@@ -179,10 +194,10 @@ def permute(word: str, alphabet: str, key: bytes, tweak: str) -> str:
     return "".join(reversed(out))
 
 
-def permute_runs(text: str, key: bytes, tweak: str) -> str:
+def permute_runs(text: str, key: bytes, tweak: str, steps: int = 1) -> str:
     """Letters among letters and digits among digits; other characters stay."""
-    letters = permute("".join(c for c in text if c in LETTERS), LETTERS, key, f"{tweak}|{shape(text)}|a")
-    digits = permute("".join(c for c in text if c in DIGITS), DIGITS, key, f"{tweak}|{shape(text)}|d")
+    letters = permute("".join(c for c in text if c in LETTERS), LETTERS, key, f"{tweak}|{shape(text)}|a", steps)
+    digits = permute("".join(c for c in text if c in DIGITS), DIGITS, key, f"{tweak}|{shape(text)}|d", steps)
     a, d = iter(letters), iter(digits)
     return "".join(next(a) if c in LETTERS else next(d) if c in DIGITS else c for c in text)
 
@@ -197,34 +212,59 @@ def luhn(payload: str) -> int:
 
 
 def propose(kind: str, value: str, key: bytes, attempt: int) -> str:
-    """Surrogate of a unit; only names look at the attempt."""
+    """Surrogate of a unit at an attempt, from 0."""
+    steps = attempt + 1
     if kind == "name":
         role, script, _ = value.split(":", 2)
         return draw_name(role, script, number(key, kind, value, str(attempt)), attempt)
     if kind == "email":
         local, domain = value.rsplit("@", 1)
         host, top = domain.rsplit(".", 1)
-        return f"{permute_runs(local, key, 'local|' + domain)}@{permute_runs(host, key, 'host')}.example.{top}"
+        return f"{permute_runs(local, key, 'local|' + domain, steps)}@{permute_runs(host, key, 'host')}.example.{top}"
     if kind == "ipv4":
         net, *rest = (int(p) for p in value.split("."))
-        low = int(permute(f"{rest[0] << 16 | rest[1] << 8 | rest[2]:06x}", HEX, key, f"ipv4|{net}"), 16)
+        low = int(permute(f"{rest[0] << 16 | rest[1] << 8 | rest[2]:06x}", HEX, key, f"ipv4|{net}", steps), 16)
         return f"{net}.{low >> 16}.{low >> 8 & 255}.{low & 255}"
     if kind == "ipv6":
         net, rest = value.split(":", 1)
-        new = permute(rest.replace(":", ""), HEX, key, "ipv6|" + net)
+        new = permute(rest.replace(":", ""), HEX, key, "ipv6|" + net, steps)
         return ":".join(f"{int(group, 16):x}" for group in [net, *(new[i : i + 4] for i in range(0, len(new), 4))])
     if kind == "card":
         payload, check = value[:-1], int(value[-1])
-        new = permute(payload, DIGITS, key, kind)
+        new = permute(payload, DIGITS, key, kind, steps)
         return new + str((luhn(new) + check - luhn(payload)) % 10)
     if kind == "iban":
         rest = "".join(c for c in value[4:] if c in DIGITS)
-        digits = iter(permute(rest, DIGITS, key, f"iban|{value[:2]}|{shape(value[4:].lower())}"))
+        digits = iter(permute(rest, DIGITS, key, f"iban|{value[:2]}|{shape(value[4:].lower())}", steps))
         account = "".join(next(digits) if c in DIGITS else c for c in value[4:])
         shift = (mod97(value) - 1) % 97  # 0 where the original's check digits are right
         check = (98 - mod97(value[:2] + "00" + account) + shift) % 97
         return f"{value[:2]}{check if check > 1 else check + 97:02d}{account}"
-    return permute(value, DIGITS, key, kind)
+    return permute(value, DIGITS, key, kind, steps)
+
+
+def domain(kind: str, value: str) -> tuple[str, float]:
+    """The set a unit's surrogates are from, and its size. The sets of a kind don't overlap."""
+    if kind == "email":
+        local, place = value.rsplit("@", 1)
+        return f"{kind}|{shape(local)}|{place}", float(max(26 ** sum(c in LETTERS for c in local), 10 ** sum(c in DIGITS for c in local)))
+    if kind == "ipv4":
+        return f"{kind}|{value.partition('.')[0]}", float(1 << 24)
+    if kind == "ipv6":
+        return f"{kind}|{value.partition(':')[0]}", float(1 << 112)
+    if kind == "card":
+        return f"{kind}|{len(value)}|{(int(value[-1]) - luhn(value[:-1])) % 10}", 10.0 ** (len(value) - 1)
+    if kind == "iban":
+        form = shape(value[4:].lower())
+        return f"{kind}|{value[:2]}|{''.join(c for c in value[4:] if c not in DIGITS)}|{form}|{mod97(value)}", 10.0 ** form.count("d")
+    return f"{kind}|{len(value)}", 10.0 ** len(value) if kind != "name" else float("inf")
+
+
+def plain(kind: str, surrogate: str) -> str:
+    """A surrogate as the units are written; a name's word without place, gender and script."""
+    if kind == "ipv6":
+        return ":".join(p.zfill(4) for p in surrogate.split(":"))
+    return surrogate.lower() if kind == "name" else surrogate
 
 
 def mod97(iban: str) -> int:
@@ -270,26 +310,32 @@ def draw_name(role: str, script: str, seed: int, attempt: int) -> str:
     return (out + onsets[seed % len(onsets)] + (ends[seed // 16 % len(ends)] if role != "family" else vowels[seed // 256 % len(vowels)] + ends[seed // 16 % len(ends)])).capitalize()
 
 
-def detect(rows):
-    for doc_id, text_hash, text in rows:
-        units = sorted({u for span in find(text) for u in span.units})
-        if units:
-            yield doc_id, text_hash, [{"kind": k, "value": v} for k, v in units]
+def detect(text_at: int):
+    """Rows with the hash that stands before them and their units behind them."""
+
+    def run(rows):
+        for text_hash, *row in rows:
+            units = sorted({u for span in find(row[text_at]) for u in span.units})
+            yield text_hash, *row, [{"kind": k, "value": v} for k, v in units]
+
+    return run
 
 
 def assign(units: DataFrame, key: bytes) -> DataFrame:
     """(kind, value, surrogate) for a table of distinct units; surrogates of a kind are distinct."""
-    originals = units.filter("kind = 'name'").select("kind", F.lower(F.element_at(F.split("value", ":", 3), 3)).alias("taken"))
-    done = None
-    left, attempt = units, 0
+    word = F.when(F.col("kind") == "name", F.lower(F.element_at(F.split("value", ":", 3), 3))).otherwise(F.col("value"))
+    originals = stored(units.select("kind", word.alias("taken")).distinct(), "originals")
+    done, left, attempt = None, units, 0
     while True:
-        drawn = stored(map_rows(left, proposer(key, attempt), "kind string, value string, surrogate string"), "drawn")
-        free = drawn.withColumn("plain", F.lower("surrogate"))
-        free = free.join(originals.distinct(), (free["kind"] == originals["kind"]) & (free["plain"] == originals["taken"]), "left_anti")
-        if done is not None:
-            free = free.join(done, (free["kind"] == done["kind"]) & (free["surrogate"] == done["surrogate"]), "left_anti")
+        drawn = stored(map_rows(left, proposer(key, attempt), "kind string, value string, surrogate string, plain string, domain string, half double"), "drawn")
+        if done is None:
+            full = drawn.groupBy("domain").agg(F.count("*").alias("n"), F.first("half").alias("half")).filter("n > half").select("domain")
+            done = stored(drawn.join(full, "domain").select("kind", "value", "surrogate"), "surrogates")
+            drawn = drawn.join(full, "domain", "left_anti")
+        free = drawn.join(originals, (drawn["kind"] == originals["kind"]) & (drawn["plain"] == originals["taken"]), "left_anti")
+        free = free.join(done, (free["kind"] == done["kind"]) & (free["surrogate"] == done["surrogate"]), "left_anti")
         winners = free.groupBy("kind", "surrogate").agg(F.min("value").alias("value")).select("kind", "value", "surrogate")
-        done = stored(winners if done is None else done.unionByName(winners), "surrogates")
+        done = stored(done.unionByName(winners), "surrogates")
         left = stored(drawn.join(done, ["kind", "value"], "left_anti").select("kind", "value"), "clashes")
         if left.isEmpty():
             return done
@@ -299,45 +345,51 @@ def assign(units: DataFrame, key: bytes) -> DataFrame:
 def proposer(key: bytes, attempt: int):
     def run(rows):
         for kind, value in rows:
-            yield kind, value, propose(kind, value, key, attempt)
+            new = propose(kind, value, key, attempt)
+            own, size = domain(kind, value)
+            yield kind, value, new, plain(kind, new), own, size / 2
 
     return run
 
 
 def replace(docs: DataFrame, key: bytes, text: str = "text", doc_id: str = "doc_id", count: str | None = None) -> DataFrame:
-    """The rows with personal data in `text` replaced; other columns stay. `count` names an added column of spans."""
+    """The rows with personal data in `text` replaced; other columns stay. `count` names an added column of spans.
+
+    The net runs twice over all texts: for the rows that may hold personal data, which are read and kept with what was found in
+    them, and for the others, which are passed on.
+    """
     maybe: Column = F.coalesce(F.col(text).rlike(MAYBE), F.lit(False))
-    hashed = F.xxhash64(text)
-    some = docs.filter(maybe)
-    found = stored(map_rows(some.select(doc_id, hashed, text), detect, FOUND), "entities")
-    units = found.select(F.explode("units").alias("u")).select("u.kind", "u.value").distinct()
-    surrogates = assign(units, key)
+    names = [f"c{i}" for i in range(len(docs.columns))]  # docs may have columns of any name
+    own = {f.name: f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema.fields, strict=True)}
+    row, text_at, id_name = ", ".join(own.values()), docs.columns.index(text), names[docs.columns.index(doc_id)]
+    read = map_rows(docs.filter(maybe).select(F.xxhash64(text), *docs.columns), detect(text_at), f"text_hash long, {row}, units array<{UNIT}>")
+    some = stored(read, "may-hold-personal-data")
+    surrogates = assign(some.select(F.explode("units").alias("u")).select("u.kind", "u.value").distinct(), key)
     # repeated rows have equal units: once is enough
-    uses = found.select("doc_id", "text_hash", F.explode("units").alias("u")).select("doc_id", "text_hash", "u.kind", "u.value").distinct()
-    mapped = uses.join(surrogates, ["kind", "value"]).groupBy("doc_id", "text_hash").agg(
-        F.collect_list(F.struct("kind", "value", "surrogate")).alias("_units")
-    ).withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
-    marked = some.withColumns({"_own_id": F.col(doc_id), "_own_hash": hashed})
-    joined = marked.join(mapped, F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own_hash") == F.col("_hash")), "left")
-    kept = [c for c in docs.columns if c != text]
-    ready = joined.select(*kept, text, F.coalesce("_units", F.array().cast(MAPPED)).alias("_mapping"))
-    spans = count or "_n"
-    types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    ddl = ", ".join(f"`{c}` {types[c]}" for c in [*kept, text]) + f", `{spans}` long"
-    new = map_rows(ready, rewrite, ddl)
-    result = new.unionByName(docs.filter(~maybe).withColumn(spans, F.lit(0).cast("long")))
-    return result.select(*docs.columns, *([spans] if count else []))
-
-
-def rewrite(rows):
-    for *others, text, mapping in rows:
-        if not mapping:
-            yield *others, text, 0
-            continue
-        surrogates = {(m["kind"], m["value"]): m["surrogate"] for m in mapping}
-        out, at = [], 0
-        spans = find(text)
-        for span in spans:
-            out += [text[at : span.start], span.render(surrogates)]
-            at = span.end
-        yield *others, "".join(out) + text[at:], len(spans)
+    uses = some.select(F.col(id_name).alias("own_id"), F.col("text_hash").alias("own_hash"), F.explode("units").alias("u")).select("own_id", "own_hash", "u.*").distinct()
+    mapped = uses.join(surrogates, ["kind", "value"]).groupBy("own_id", "own_hash").agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias("mapping"))
+    holding = some.filter(F.size("units") > 0).drop("units")
+    joined = holding.join(mapped, F.col(id_name).eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash")))
+    new = map_rows(joined.select(*names, "mapping"), rewrite(text_at), f"{row}, spans long")
+    zero = F.lit(0).cast("long")
+    clean = some.filter(F.size("units") == 0).select(*names, zero).union(docs.filter(~maybe).select(*docs.columns, zero))
+    result = new.union(clean).toDF(*names, "spans")
+    renamed = [F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)]
+    return result.select(*renamed, *([F.col("spans").alias(count)] if count else []))
+
+
+def rewrite(text_at: int):
+    """Rows with their text's spans rendered by the mapping that stands behind them, and the number of spans."""
+
+    def run(rows):
+        for *row, mapping in rows:
+            surrogates = {(m["kind"], m["value"]): m["surrogate"] for m in mapping}
+            text, out, at = row[text_at], [], 0
+            spans = find(text)
+            for span in spans:
+                out += [text[at : span.start], span.render(surrogates)]
+                at = span.end
+            row[text_at] = "".join(out) + text[at:]
+            yield *row, len(spans)
+
+    return run
