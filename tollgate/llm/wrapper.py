@@ -3,9 +3,11 @@
 Pages of a host are aligned by simple tree matching (dynamic programming over the children of equal nodes, top down). Their
 folded trees merge into one wrapper per host: groups of about FAN trees first, then the groups' wrappers, in a reduction
 tree whose rounds grow with the logarithm of the host's different trees. Aligned nodes are the wrapper's slots. A block of
-text that stands in its slot on most of the host's pages is template; blocks that vary from page to page are content. A
-block must stand on MIN_PAGES different pages to be template, so hosts with few pages lose nothing, and copies of a page
-count as one. Parts that say what they are (menus, sidebars, adverts, forms, comments; see `dom`) are no content either.
+text that stands in its slot on most of the host's pages (not only of those that have such a slot) is template; blocks that
+vary from page to page are content. A block must stand on MIN_PAGES different pages to be template, so hosts with few pages lose
+nothing. Copies and near copies count as one page: pages are told apart by the least digest of their blocks, which pages
+with nearly the same blocks nearly always share and pages that share only a template mostly don't. Parts that say what
+they are (menus, sidebars, adverts, forms, comments; see `dom`) are no content either.
 
 Only digests of blocks and different trees are shuffled; pages meet the list of their template blocks, which is broadcast
 only if Spark's size limit allows. Null html is empty. Pages without a host in their url are aligned among themselves. Repeated
@@ -167,17 +169,18 @@ def template_blocks(parsed: DataFrame, min_pages: int = MIN_PAGES, share: float
     induced = wrappers(trees.select("host", "parents", "keys")).withColumnsRenamed({"parents": "wp", "keys": "wk"})
     aligned = map_rows(trees.join(induced, "host").select("host", "tree", "parents", "keys", "wp", "wk"), slots, "host string, tree long, slots array<int>")
     blocks = (
-        parsed.select("page_id", "html_hash", "host", "tree", F.posexplode(F.arrays_zip("nodes", "digests")).alias("place", "block"))
+        parsed.select("page_id", "html_hash", "host", "tree", F.array_min("digests").alias("sign"), F.posexplode(F.arrays_zip("nodes", "digests")).alias("place", "block"))
         .join(aligned, ["host", "tree"])
-        .select("page_id", "html_hash", "host", F.get("slots", F.col("block.nodes")).alias("slot"), F.col("block.digests").alias("digest"), "place")
+        .select("page_id", "html_hash", "host", F.get("slots", F.col("block.nodes")).alias("slot"), F.col("block.digests").alias("digest"), "place", "sign")
         .filter("slot >= 0")
     )
-    # copies of a page count once
-    standing = blocks.select("host", "slot", "digest", "html_hash").distinct()
-    pages = standing.select("host", "slot", "html_hash").distinct().groupBy("host", "slot").agg(F.count("*").alias("n_pages"))
+    # copies and near copies of a page count once
+    signs = parsed.select("page_id", "html_hash", "host", F.array_min("digests").alias("sign")).filter("sign is not null")
+    pages = signs.select("host", "sign").distinct().groupBy("host").agg(F.count("*").alias("n_pages"))
+    standing = blocks.select("host", "slot", "digest", "sign").distinct()
     constant = (
         standing.groupBy("host", "slot", "digest").agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages)
-        .join(pages, ["host", "slot"]).filter(F.col("n") >= share * F.col("n_pages")).select("host", "slot", "digest")
+        .join(pages, "host").filter(F.col("n") >= share * F.col("n_pages")).select("host", "slot", "digest")
     )
     return blocks.join(constant, ["host", "slot", "digest"]).groupBy("page_id", "html_hash").agg(F.collect_set("place").alias("drop"))
 
