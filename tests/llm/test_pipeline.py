@@ -3,7 +3,6 @@ from __future__ import annotations
 import re
 
 import corpus_pipeline
-import numpy as np
 import pytest
 
 from llm import test_decontaminate, test_mixing, test_simhash
@@ -40,27 +39,12 @@ def test_quality(spark, staged):
     assert sorted(kept) == sorted(staged[1]) and len(kept) < len(staged[0])
 
 
-def test_near_dedup(staged):
-    """Everything dropped has an equal or near text with a smaller id; nothing kept has."""
-    s = test_simhash.simhash
-    prints, keys = {}, {}
-    for r in staged[1]:
-        prints[r["doc_id"]] = s.fingerprint(s.shingle_hashes(s.words_of(r["text"]), 5), 4)
-        keys[r["doc_id"]] = set(s.wide_keys(np.array([0]), np.array([prints[r["doc_id"]]]), 3)["key"])
-
-    def linked(a: int, b: int) -> bool:
-        apart = sum(((x ^ y) & (1 << 64) - 1).bit_count() for x, y in zip(prints[a], prints[b], strict=True))
-        return apart <= s.SHARE_AT_80 * 256 and bool(keys[a] & keys[b])
-
-    ids = sorted(prints)
-    root = {i: i for i in ids}
-    for _ in range(4):
-        for n, i in enumerate(ids):
-            for j in ids[:n]:
-                if linked(i, j):
-                    root[i] = root[j] = min(root[i], root[j])
-    assert sorted(r["doc_id"] for r in staged[2]) == [i for i in ids if root[i] == i]
-    assert len(staged[2]) < len(staged[1])
+def test_rows_with_one_id_stay(spark, documents):
+    """Unlike texts with one id are different documents; a repeated row and a near copy are not."""
+    texts = {c: " ".join(f"{c}{i}" for i in range(60)) for c in "abcd"}
+    rows = [(5, texts["a"]), (5, texts["b"]), (6, texts["c"]), (5, texts["a"]), (9, texts["b"] + " end"), (4, texts["d"] + " end"), (5, texts["d"])]
+    kept = corpus_pipeline.near_dedup(spark, documents(rows), SF).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(4, texts["d"] + " end"), (5, texts["a"]), (5, texts["b"]), (6, texts["c"])])
 
 
 def test_near_dedup_by_exact_jaccard(staged):

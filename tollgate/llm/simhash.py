@@ -375,7 +375,7 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, words: int = 4, doc_
     Links join texts whose sets of shingles have a Jaccard similarity of 0.8 or more, counted exactly. Candidates are sets
     that share a band of least hashes and differ in few bits of the longer fingerprint; their clusters get the sets
     themselves. Equal sets (so equal texts, and all blank ones) are one node before that. Rows without an id go by their
-    text's hash.
+    text's hash. Rows with one id and unlike texts are rows of their own: each stays unless it is near a row before it.
     """
     marked = docs.withColumns({"_own": F.coalesce(F.col(doc_id), F.xxhash64(text)), "_own_hash": F.xxhash64(text)})
     prints = stored(sketches(marked, shingle, words, "_own", text), "sketches")
@@ -386,6 +386,5 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, words: int = 4, doc_
     roots = components(verified(marked, nodes, clusters, shingle, text))
     members = nodes.select("node", "_id", "_hash").join(roots, "node", "left")
     kept = members.groupBy(F.coalesce("root", "node")).agg(F.min(F.struct("_id", "_hash")).alias("least")).select("least.*")
-    chosen = kept.groupBy("_id").agg(F.min("_hash").alias("_hash"))
-    joined = marked.join(chosen, (F.col("_own") == F.col("_id")) & (F.col("_own_hash") == F.col("_hash")))
-    return joined.dropDuplicates(["_own"]).select(*docs.columns)
+    joined = marked.join(kept, (F.col("_own") == F.col("_id")) & (F.col("_own_hash") == F.col("_hash")))
+    return joined.dropDuplicates(["_own", "_own_hash"]).select(*docs.columns)
