@@ -70,7 +70,7 @@ class Ordinal:
         return 1 - sigmoid(self.thresholds - float(self.weights[buckets].sum()))
 
 
-def fit(grades: np.ndarray, rows: np.ndarray, buckets: np.ndarray, steps: int = 150, rate: float = 0.1, ridge: float = 5e-4, min_docs: int = MIN_DOCS) -> Ordinal:
+def fit(grades: np.ndarray, rows: np.ndarray, buckets: np.ndarray, steps: int = 250, rate: float = 0.1, ridge: float = 1.5e-3, min_docs: int = MIN_DOCS) -> Ordinal:
     """Full-batch Adam on the likelihood; `rows` and `buckets` are the features' coordinates."""
     present = np.unique(grades)
     if len(present) < 2:
