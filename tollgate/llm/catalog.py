@@ -33,6 +33,9 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_bytes", F.aggregate(lengths, F.lit(0), lambda a, n: a + n).cast("long").alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        # what is left as text; where a cut parts a character, a replacement character stands
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
+        F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["first"], s["last"])), ",").alias("removed_spans"),
     )
 
 

@@ -118,7 +118,7 @@ def build(rows: DataFrame, codes: int, sample: int) -> tuple[DataFrame, Index, i
     zeros = F.array_repeat(F.lit(0), F.lit(size) - F.size("q"))
     padded = rows.withColumn("q", F.concat("q", zeros))
     drawn = padded.select("q", F.xxhash64("vec_id").alias("h")).orderBy("h").limit(sample).collect()  # at most `sample` rows
-    points = np.array([r["q"] for r in drawn], dtype=np.float64).reshape(-1, size)
+    points = np.array([r["q"] for r in drawn], dtype=np.float64).reshape(len(drawn), size)
     halves = tuple(k_means(part, codes) if len(part) else np.zeros((1, part.shape[1])) for part in (points[:, :cut], points[:, cut:]))
     width = len(halves[1])
 
