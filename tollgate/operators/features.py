@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tollgate.config import DEFAULT, FEATURE_NAMES, Config
 from tollgate.functions import haversine_km, ratio_or, rounded
-from tollgate.operators.timeline import find_hot_users, prior_profile
+from tollgate.operators.timeline import Opening, find_hot_users, prior_profile
 
 # below this spread a user's amounts count as constant
 FLAT_STD = 1e-5
@@ -36,9 +36,13 @@ def _mean_or_own(span: int) -> Column:
 
 
 def add_features(
-    tx: DataFrame, cfg: Config = DEFAULT, *, arrival: str = "transaction_id", split_hot_users: bool = True
+    tx: DataFrame, cfg: Config = DEFAULT, *, arrival: str = "transaction_id", split_hot_users: bool = True,
+    opening: Opening | None = None,
 ) -> DataFrame:
-    """`tx` (unique ids) plus the feature columns; `amount` is itself the first feature."""
+    """`tx` (unique ids) plus the feature columns; `amount` is itself the first feature.
+
+    With an `opening`, `tx` needs the rows since its moment and those of the hour before it, which come back as well.
+    """
     hot = find_hot_users(tx, cfg) if split_hot_users else None
     known = prior_profile(
         tx,
@@ -50,6 +54,7 @@ def add_features(
         moments=True,
         last=True,
         arrival=arrival,
+        opening=opening,
     )
     mean_1h = _mean_or_own(3600)
     zscore = F.when(F.col("_std") > FLAT_STD, (F.col("amount") - F.col("_mean")) / F.col("_std"))

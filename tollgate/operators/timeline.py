@@ -12,11 +12,15 @@ balance*, a record that carries the totals of all earlier chunks (pre-aggregated
 chunk). What a chunk must know about its neighbours (last earlier visit of a merchant,
 first sight of a device) also arrives as records, so no join touches the wide rows.
 Most data has no such user, and then none of this appears in the plan.
+
+An `Opening` works the same way over time: it carries what stored balances know of all
+users before a moment, so that only the rows since then (and one window before) are read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,12 +35,31 @@ EXACT = "decimal(28,8)"
 
 _EVENT = 0
 _OPENING = -1
+_OPEN = "opening"  # marker of an opening's record among the rows
+
+
+@dataclass(frozen=True)
+class Opening:
+    """What is known of users before `since` (microseconds).
+
+    `users`: user_id, n, mean, m2 and `last`, as `position` makes it; `seen`: user_id, kind
+    (a column), value and first_us, the first sight of the value.
+    """
+
+    since: int
+    users: DataFrame
+    seen: DataFrame
 
 
 def micros(column: str = "event_time") -> Column:
     return F.unix_micros(F.col(column))
 
 
+def position(us: Column, arrival: Column, latitude: Column, longitude: Column) -> Column:
+    """Smallest of (-time, arrival) = latest time, first arrived."""
+    return F.struct((-us).alias("neg_us"), arrival.alias("arrival"), latitude.alias("latitude"), longitude.alias("longitude"))
+
+
 def find_hot_users(tx: DataFrame, cfg: Config = DEFAULT) -> DataFrame | None:
     """(user_id, _width) for users above the row limit, or None when there are none.
 
@@ -139,11 +162,14 @@ def prior_profile(
     moments: bool = False,
     last: bool = False,
     arrival: str = "transaction_id",
+    opening: Opening | None = None,
 ) -> DataFrame:
     """`tx` plus what was known about the user strictly before each row.
 
     Rows of the same user at the same instant do not see each other; the lower bound of
-    a span (seconds) is inclusive. `tx` must be unique by transaction id.
+    a span (seconds) is inclusive. `tx` must be unique by transaction id. With an `opening`,
+    rows before its moment count in spans only (the opening knows them already), and what
+    is said of those rows themselves is of no use.
 
     Adds `_us`, `_n` (all earlier rows) and, as asked: `_cnt_<span>`, `_sum_<span>` (exact
     decimal), `_distinct`, `_new_<column>`, `_mean` and `_std` (population), and `_last`
@@ -151,13 +177,26 @@ def prior_profile(
     """
     columns = tx.columns
     base, keys = with_chunks(tx.withColumn("_us", micros()), hot)
+    marked_rows = hot is not None or opening is not None
+    if marked_rows:
+        base = base.withColumn("_marker", F.lit(None).cast("string"))
     if hot is not None:
         dense = base.filter(F.col("_width").isNotNull())
-        base = base.withColumn("_marker", F.lit(None).cast("string"))
         for column in novelty:
-            base = base.unionByName(_first_seen_markers(dense, column), allowMissingColumns=True)
+            sights = dense.select("user_id", "_width", column, "_us")
+            if opening is not None:
+                sights = sights.unionByName(_known(opening, column).join(hot, "user_id").select(*sights.columns))
+            base = base.unionByName(_first_seen_markers(sights, column), allowMissingColumns=True)
         if distinct_span is not None:
             base = base.unionByName(_neighbour_markers(dense, distinct_column), allowMissingColumns=True)
+    if opening is not None:
+        for column in novelty:  # first sights of users that are not hot
+            sights = _known(opening, column).withColumn("_marker", F.lit(column))
+            if hot is not None:
+                sights = sights.join(hot, "user_id", "left_anti").withColumn("_chunk", F.lit(0).cast("bigint"))
+            base = base.unionByName(sights, allowMissingColumns=True)
+        names = [f"_cnt_{s}" for s in count_spans] + [f"_sum_{s}" for s in sum_spans] + ["_distinct"] * (distinct_span is not None)
+        base = base.unionByName(_opening_records(opening, hot, names, moments, last), allowMissingColumns=True)
 
     # One shuffle serves all windows below: each of them partitions by these keys at least.
     base = base.repartition(*keys)
@@ -173,7 +212,7 @@ def prior_profile(
         reach = distinct_span * MICROS
         visits = Window.partitionBy(*keys, distinct_column).orderBy("_us")
         before, after = F.lag("_us").over(visits), F.lead("_us").over(visits)
-        if hot is not None:  # records of other kinds must not look like visits
+        if marked_rows:  # records of other kinds must not look like visits
             visits = Window.partitionBy(
                 *keys, distinct_column, F.coalesce(F.col("_marker"), F.lit(distinct_column))
                 == F.lit(distinct_column)
@@ -184,14 +223,18 @@ def prior_profile(
             (before.isNull() | (before + reach < F.col("_us"))).cast("bigint").alias("_opens"),
             (after.isNull() | (after > F.col("_us") + reach)).cast("bigint").alias("_closes"),
         )
-    if hot is not None:
-        base = base.filter(F.col("_marker").isNull())
+    if marked_rows:
+        base = base.filter(F.coalesce("_marker", F.lit(_OPEN)) == _OPEN)
 
     spans = sorted({*count_spans, *sum_spans, *([distinct_span] if distinct_span else [])})
     entries = [F.struct(F.col("_us").alias("_at"), F.lit(_EVENT).alias("_kind"))]
     entries += [
         F.struct((F.col("_us") + span * MICROS).alias("_at"), F.lit(span).alias("_kind")) for span in spans
     ]
+    inlined = F.array(*entries)
+    if opening is not None:
+        itself = F.array(F.struct(F.col("_us").alias("_at"), F.lit(_OPENING).alias("_kind")))
+        inlined = F.when(F.col("_open").isNotNull(), itself).otherwise(inlined)
     kept = [c for c in columns if c not in keys]
     firsts = [f"_first_{c}" for c in novelty]
     runs = ["_opens", "_closes"] if distinct_span is not None else []
@@ -200,7 +243,8 @@ def prior_profile(
         *fixed, *(["_chunk"] if hot is not None and not spans else []),
         F.expr(f"try_cast(amount AS {EXACT})").alias("_amount"), *runs,
         F.struct("_us", *kept, *firsts).alias("_row"),
-        F.inline(F.array(*entries)),
+        *(["_open"] if opening is not None else []),
+        F.inline(inlined),
     )
     is_event = F.col("_kind") == _EVENT
     records = records.withColumn("_row", F.when(is_event, F.col("_row")))
@@ -211,7 +255,9 @@ def prior_profile(
     def leaving(span: int, value: Column) -> Column:
         return F.when(is_event, value).when(F.col("_kind") == span, -value)
 
-    totals = {"_n": F.when(is_event, F.lit(1).cast("bigint"))}
+    # what an opening knows already counts in spans only
+    fresh = is_event if opening is None else is_event & (F.col("_row._us") >= opening.since)
+    totals = {"_n": F.when(fresh, F.lit(1).cast("bigint"))}
     for span in count_spans:
         totals[f"_cnt_{span}"] = leaving(span, F.lit(1).cast("bigint"))
     for span in sum_spans:
@@ -220,34 +266,29 @@ def prior_profile(
         totals["_distinct"] = F.when(is_event, F.col("_opens")).when(
             F.col("_kind") == distinct_span, -F.col("_closes")
         )
-    event_amount = F.when(is_event, F.col("_row.amount"))
-    # smallest of (-time, arrival) = latest time, first arrived
-    position = F.when(
-        is_event,
-        F.struct(
-            (-F.col("_row._us")).alias("neg_us"), F.col(f"_row.{arrival}").alias("arrival"),
-            F.col("_row.latitude").alias("latitude"), F.col("_row.longitude").alias("longitude"),
-        ),
+    event_amount = F.when(fresh, F.col("_row.amount"))
+    place = F.when(
+        fresh, position(F.col("_row._us"), F.col(f"_row.{arrival}"), F.col("_row.latitude"), F.col("_row.longitude"))
     ) if last else None
 
+    opens = hot is not None or opening is not None
     if hot is not None:
         records = records.unionByName(
-            _opening_balances(records, totals, event_amount if moments else None, position),
-            allowMissingColumns=True,
+            _opening_balances(records, totals, event_amount if moments else None, place), allowMissingColumns=True
         )
 
     earlier = Window.partitionBy(*keys).orderBy("_at").rangeBetween(Window.unboundedPreceding, -1)
-    opening = F.col("_kind") == _OPENING
+    is_opening = F.col("_kind") == _OPENING
     exprs = []
     for name, delta in totals.items():
-        value = delta if hot is None else F.when(opening, F.col(f"_open.{name}")).otherwise(delta)
+        value = F.when(is_opening, F.col(f"_open.{name}")).otherwise(delta) if opens else delta
         exprs.append(F.coalesce(F.sum(value).over(earlier), F.lit(0)).alias(name))
     if moments:
         exprs += [F.avg(event_amount).over(earlier).alias("_mean"), F.var_pop(event_amount).over(earlier).alias("_var")]
-        if hot is not None:
+        if opens:
             exprs += [F.max(F.col(f"_open.{c}")).over(earlier).alias(f"_{c}0") for c in ("n", "mean", "m2")]
     if last:
-        value = position if hot is None else F.when(opening, F.col("_open._last")).otherwise(position)
+        value = F.when(is_opening, F.col("_open._last")).otherwise(place) if opens else place
         exprs.append(F.min(value).over(earlier).alias("_last"))
 
     rows = records.select("*", *exprs).filter(is_event)
@@ -258,22 +299,49 @@ def prior_profile(
         first_sight = F.coalesce(F.col("_row._us") == F.col(f"_row._first_{column}"), F.lit(False))
         out.append((first_sight & (F.col("_n") > 0)).cast("double").alias(f"_new_{column}"))
     if moments:
-        out += _merged_moments(hot is not None)
+        out += _merged_moments(opens)
     if last:
         out.append(F.col("_last"))
     return rows.select(*out)
 
 
+def _known(opening: Opening, column: str) -> DataFrame:
+    return opening.seen.filter(F.col("kind") == column).select("user_id", F.col("value").alias(column), F.col("first_us").alias("_us"))
+
+
+def _opening_records(opening: Opening, hot: DataFrame | None, names: list[str], moments: bool, last: bool) -> DataFrame:
+    """One record per user with what the opening knows, just before its moment.
+
+    For a hot user it stands in a chunk before all that have rows, from where `_opening_balances` takes it into each.
+    """
+    fields = [F.col("n").cast("bigint").alias("_n")]
+    fields += [F.lit(0).cast("decimal(38,8)" if n.startswith("_sum") else "bigint").alias(n) for n in names]
+    if moments:
+        fields += [F.col("n").cast("bigint").alias("n"), F.col("mean"), F.col("m2")]
+    if last:
+        fields.append(F.col("last").alias("_last"))
+    users = opening.users.select("user_id", F.struct(*fields).alias("_open"), F.lit(_OPEN).alias("_marker"))
+    just_before = F.lit(opening.since - 1).cast("bigint")
+    if hot is None:
+        return users.withColumn("_us", just_before)
+    long_before = F.lit(opening.since - 2 * DAY).cast("bigint")  # chunks are at most a day wide, spans shorter
+    placed = users.join(hot, "user_id", "left").withColumn("_us", F.when(F.col("_width").isNull(), just_before).otherwise(long_before))
+    return placed.withColumn("_chunk", chunk_of("_us"))
+
+
 def _opening_balances(
-    records: DataFrame, totals: dict[str, Column], amount: Column | None, position: Column | None
+    records: DataFrame, totals: dict[str, Column], amount: Column | None, place: Column | None
 ) -> DataFrame:
-    """One record per chunk of a hot user holding the totals of all earlier chunks."""
-    aggs = [F.coalesce(F.sum(delta), F.lit(0)).alias(name) for name, delta in totals.items()]
+    """One record per chunk of a hot user holding the totals of all earlier chunks, those of an opening included."""
+    known = F.col("_kind") == _OPENING if "_open" in records.columns else F.lit(False)
+    open_value = lambda name: F.col(f"_open.{name}") if "_open" in records.columns else F.lit(None)
+    aggs = [F.coalesce(F.sum(F.when(known, open_value(name)).otherwise(delta)), F.lit(0)).alias(name) for name, delta in totals.items()]
     if amount is not None:
-        aggs += [F.coalesce(F.avg(amount), F.lit(0.0)).alias("_mean"),
-                 F.coalesce(F.var_pop(amount) * F.count(amount), F.lit(0.0)).alias("_m2")]
-    if position is not None:
-        aggs.append(F.min(position).alias("_last"))
+        mean, spread = F.avg(amount), F.var_pop(amount) * F.count(amount)
+        aggs += [F.coalesce(F.max(F.when(known, open_value("mean"))), mean, F.lit(0.0)).alias("_mean"),
+                 F.coalesce(F.max(F.when(known, open_value("m2"))), spread, F.lit(0.0)).alias("_m2")]
+    if place is not None:
+        aggs.append(F.min(F.when(known, open_value("_last")).otherwise(place) if "_open" in records.columns else place).alias("_last"))
     chunks = records.filter(F.col("_width").isNotNull()).groupBy("user_id", "_width", "_chunk").agg(*aggs)
 
     before = Window.partitionBy("user_id").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -296,7 +364,7 @@ def _opening_balances(
             F.col("_n0").alias("n"), mean0.alias("mean"),
             F.coalesce(F.sum("_grow").over(before), F.lit(0.0)).alias("m2"),
         ]
-    if position is not None:
+    if place is not None:
         fields.append(F.min("_last").over(before).alias("_last"))
     return chunks.select("*", F.struct(*fields).alias("_open")).select(
         "user_id", "_width", "_chunk", "_open",

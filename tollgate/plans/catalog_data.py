@@ -140,7 +140,11 @@ def _daily_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("backfill_range")
 def _backfill(spark: SparkSession, sf: str) -> DataFrame:
-    return score_view(jobs.backfill(transactions(spark, sf), "2024-01-10", "2024-01-13"))
+    """Balances of all days are stored once; the backfill reads those before its range, its range and the hour before."""
+    root = scratch(spark)
+    jobs.update_balances(spark, root, transactions(spark, sf))
+    opened = jobs.opening(spark, root, "2024-01-10")
+    return score_view(jobs.backfill(transactions(spark, sf), "2024-01-10", "2024-01-13", opening=opened))
 
 
 # --- quality -------------------------------------------------------------------------

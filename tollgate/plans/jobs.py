@@ -8,29 +8,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.config import DEFAULT, Config
-from tollgate.operators import evaluate, iforest, quality, scoring
+from tollgate.operators import balances, evaluate, iforest, quality, scoring
 from tollgate.operators.features import add_features
+from tollgate.operators.timeline import MICROS, Opening
 from tollgate.plans import registry, warehouse
 
 
-def backfill(tx: DataFrame, start: str, end: str, cfg: Config = DEFAULT, history_days: int | None = None) -> DataFrame:
+def update_balances(spark: SparkSession, root: str, tx: DataFrame) -> None:
+    """Summarise the days that `tx` holds (whole days) and replace them in the stored balances."""
+    for table, rows in (("user_days", balances.user_days(tx)), ("sight_days", balances.sight_days(tx))):
+        spread = rows.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        spread.partitionBy("day").parquet(f"{root}/balances/{table}")
+
+
+def opening(spark: SparkSession, root: str, day: str) -> Opening:
+    """The stored balances' opening of a day; only the folders of earlier days are read."""
+    users, sights = (spark.read.parquet(f"{root}/balances/{table}") for table in ("user_days", "sight_days"))
+    return balances.opening(users, sights, day)
+
+
+def backfill(
+    tx: DataFrame, start: str, end: str, cfg: Config = DEFAULT, history_days: int | None = None, opening: Opening | None = None
+) -> DataFrame:
     """Rules-only scores of the events in [start, end), seen against their past.
 
-    All earlier history is read by default because z-score and novelty look back without
-    limit; `history_days` trades that for a smaller scan.
+    With the `opening` of the day of `start`, only the events since an hour before that day are read. Without one, all
+    earlier history is, because z-score and novelty look back without limit; `history_days` trades that for a smaller scan.
     """
     first, stop = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
     past = tx.filter(F.col("event_time") < stop)
-    if history_days is not None:
+    if opening is not None:
+        past = past.filter(F.col("event_time") >= F.timestamp_micros(F.lit(opening.since - 3600 * MICROS)))
+    elif history_days is not None:
         past = past.filter(F.col("event_time") >= first - F.make_dt_interval(F.lit(history_days)))
-    return scoring.score(add_features(past, cfg), cfg).filter(F.col("event_time") >= first)
+    return scoring.score(add_features(past, cfg, opening=opening), cfg).filter(F.col("event_time") >= first)
 
 
 def run_backfill(
-    spark: SparkSession, root: str, tx: DataFrame, start: str, end: str, run_ts: str, cfg: Config = DEFAULT
+    spark: SparkSession, root: str, tx: DataFrame, start: str, end: str, run_ts: str, cfg: Config = DEFAULT,
+    opening: Opening | None = None,
 ) -> DataFrame:
     """Score a range, load it and return a one-row summary; safe to run again."""
-    warehouse.load_scored(spark, root, backfill(tx, start, end, cfg), run_ts, days_fixed=True)
+    warehouse.load_scored(spark, root, backfill(tx, start, end, cfg, opening=opening), run_ts, days_fixed=True)
     loaded = warehouse.read_table(spark, root, "transaction_scores").filter(
         (F.col("event_date") >= F.lit(start).cast("date")) & (F.col("event_time") >= F.lit(start).cast("timestamp"))
         & (F.col("event_time") < F.lit(end).cast("timestamp"))
