@@ -478,6 +478,10 @@ ORACLES |= {
     "stream_sliding_1h": sliding("1h", 3600, 300),
     "stream_dedup": with_tx("SELECT transaction_id, user_id, amount FROM tx"),
     "stream_features": ORACLES["features_all"],
+    # what streams after the day in the middle, seen against everything before
+    "stream_features_seeded": with_features(
+        f"SELECT transaction_id, {FEATURE_LIST} FROM feats WHERE epoch_us(event_time) >= (SELECT (min(epoch_us(event_time)) + max(epoch_us(event_time))) // 2 // 86400000000 * 86400000000 FROM tx)"
+    ),
     "stream_dead_letters": f"{CHECKED} SELECT value AS raw_payload, array_to_string(errors, '; ') AS error_message, split_part(errors[1], ': ', 1) AS error_type, 'transactions.raw' AS source_topic FROM checked WHERE len(errors) > 0",
     "stream_to_warehouse": f"WITH tx AS MATERIALIZED ({_VALID_TX}), {FEATURES.strip()}, {scored_cte('0.0::double', 'rules_only_v1.0').strip()} SELECT transaction_id, user_id, risk_level, model_version, risk_score, rule_score FROM scored",
     "late_events": with_tx(

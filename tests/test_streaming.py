@@ -10,7 +10,8 @@ from naive import features
 from pyspark.sql import functions as F
 
 from tollgate.config import FEATURE_NAMES
-from tollgate.plans import warehouse
+from tollgate.operators.features import add_features
+from tollgate.plans import jobs, warehouse
 from tollgate.schemas import TXN_COLUMNS, TXN_SCHEMA
 from tollgate.sources.streams import sink, source, stream_session
 from tollgate.streaming import pipeline, windows
@@ -96,6 +97,82 @@ def test_state_equals_loop_over_what_has_arrived(streams, tmp_path, seed):
     assert all(got[t]["amount_zscore"] is None for t in late)
 
 
+@pytest.mark.parametrize("seed", [3, 4])
+def test_stream_goes_on_where_the_batch_ended(spark, streams, frame, tmp_path, seed):
+    """Five arrivals after a day of batch history, one user with a third of all rows: as the batch features of everything."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(420):
+        city, lat, lon = rng.choice(CITIES)
+        # much of it within the hours around midnight, where the stream takes over
+        seconds = rng.choice([rng.uniform(-36_000, 65_000), rng.uniform(46_000, 56_000), rng.randrange(47_000, 53_000, 60)])
+        rows.append(txn(
+            f"t{i:04d}", round(seconds, 3), user_id="hot" if rng.random() < 0.34 else f"u{rng.randrange(8)}", amount=round(rng.uniform(1, 5000), 2),
+            merchant_id=f"m{rng.randrange(5)}", device_id=f"d{rng.randrange(9)}", city=city, latitude=lat, longitude=lon,
+        ))
+    everything = frame(rows)
+    midnight = T0.replace(day=12, hour=0)
+    past = everything.filter(F.col("event_time") < F.lit(midnight))
+    jobs.update_balances(spark, str(tmp_path), past)
+    coming = sorted((r for r in rows if r["event_time"] >= midnight), key=lambda r: r["event_time"])
+    for number in range(5):
+        put(f"{tmp_path}/in", number, coming[len(coming) * number // 5 : len(coming) * (number + 1) // 5])
+    stream = stream_features(one_by_one(streams, f"{tmp_path}/in"), opening=jobs.opening(streams, str(tmp_path), "2026-08-12"), recent=past)
+    got = {r["transaction_id"]: r for r in run(stream, tmp_path).collect()}
+    want = {r["transaction_id"]: r for r in add_features(everything).collect()}
+    assert set(got) == {r["transaction_id"] for r in coming} and not any(r["is_late"] for r in got.values())
+    assert sum(r["user_id"] == "hot" for r in rows) > 120
+    for tid, mine in got.items():
+        for name in FEATURE_NAMES:
+            assert mine[name] == pytest.approx(want[tid][name], abs=1.01e-4 if "zscore" in name else 1e-9), (name, tid)
+
+
+def test_only_the_minutes_needed_are_read(monkeypatch):
+    """Old minutes are merged into the user's summary; an event reads and writes its own hour, not all that is kept."""
+    from pyspark.sql import Row
+
+    from tollgate.streaming import features as keyed
+
+    class State(dict):
+        def __init__(self):
+            super().__init__()
+            self.reads, self.writes = 0, 0
+
+        def exists(self):
+            return "v" in self
+
+        def get(self, key="v", default=None):
+            return dict.get(self, key, default)
+
+        def update(self, value):
+            self["v"] = value
+
+        def getValue(self, key):
+            self.reads += 1
+            return dict.get(self, key)
+
+        def updateValue(self, key, value):
+            self.writes += 1
+            self[key] = value
+
+        def removeKey(self, key):
+            del self[key]
+
+    processor = keyed.KeyedFeatures()
+    processor.past, processor.minutes, processor.seen = State(), State(), State()
+    clock = type("Clock", (), {"getCurrentWatermarkInMs": lambda self: self.ms})()
+    fields = ["_us", "_arrival", *TXN_COLUMNS]
+    for n in range(300):  # one event a minute, one micro-batch each
+        row = txn(f"t{n:03d}", 60 * n)
+        us = round(row["event_time"].timestamp() * 1e6)
+        clock.ms = us // 1000 - 600_000
+        processor.minutes.reads = processor.minutes.writes = 0
+        (out,) = processor.handleInputRows(("u1",), iter([Row(*fields)(us, row["transaction_id"], *(row[c] for c in TXN_COLUMNS))]), clock)
+        assert out["tx_count_1h"] == min(n, 60) and out["is_late"] is False
+        assert processor.minutes.writes == 1 and processor.minutes.reads <= 62 and len(processor.minutes) <= 73
+    assert processor.past["v"][0] + sum(m[1] for m in processor.past["v"][-1]) == 300
+
+
 def test_sliding_windows_equal_batch(spark, streams, tmp_path):
     slices = random_slices(5)
     for i, rows in enumerate(slices):

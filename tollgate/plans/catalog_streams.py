@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tollgate.config import FEATURE_NAMES
 from tollgate.functions import rounded, utc_text
-from tollgate.plans import warehouse
+from tollgate.operators.timeline import DAY
+from tollgate.plans import jobs, warehouse
 from tollgate.plans.catalog import QUERIES, register
 from tollgate.plans.catalog_data import RUN_TS, scratch
 from tollgate.schemas import TXN_COLUMNS
@@ -71,10 +72,42 @@ def _dedup(spark: SparkSession, sf: str) -> DataFrame:
     return drain(session, windows.dedup(repeated).select("transaction_id", "user_id", "amount"))
 
 
+def _bounds(tx: DataFrame) -> tuple[int, int]:
+    """First and last time, in microseconds; 0 and 0 of no rows."""
+    first, last = tx.agg(F.min(F.unix_micros("event_time")), F.max(F.unix_micros("event_time"))).first()
+    return first or 0, last or 0
+
+
+def in_slices(session: SparkSession, tx: DataFrame, slices: int, stream_of) -> DataFrame:
+    """The stream over slices that arrive in order of event time; each arrival is a run that resumes the last."""
+    root, (first, last) = scratch(session), _bounds(tx)
+    raw = source(session, "parquet", tx.schema, path=f"{root}/in/*")
+    stream = stream_of(raw)
+    for number in range(slices):
+        tx.filter(F.floor((F.unix_micros("event_time") - first) * slices / (last + 1 - first)) == number).write.parquet(f"{root}/in/slice-{number}")
+        sink(stream, "parquet", f"{root}/checkpoint", every=None, path=f"{root}/out").start().awaitTermination()
+    return session.read.schema(stream.schema).parquet(f"{root}/out")
+
+
 @register("stream_features")
 def _features(spark: SparkSession, sf: str) -> DataFrame:
+    """All events in four arrivals."""
     session = stream_session(spark)
-    out = drain(session, features.stream_features(event_stream(session, sf), arrival="event_id"))
+    out = in_slices(session, transactions(session, sf), 4, lambda raw: features.stream_features(raw, arrival="event_id"))
+    return out.filter(~F.col("is_late")).select("transaction_id", *FEATURE_NAMES)
+
+
+@register("stream_features_seeded")
+def _seeded(spark: SparkSession, sf: str) -> DataFrame:
+    """The first half of the days as batch history, stored as balances; the second half as a stream that starts from them."""
+    session = stream_session(spark)
+    tx = transactions(session, sf)
+    day = sum(_bounds(tx)) // 2 // DAY * DAY
+    past, coming = tx.filter(F.unix_micros("event_time") < day), tx.filter(F.unix_micros("event_time") >= day)
+    root = scratch(session)
+    jobs.update_balances(session, root, past)
+    opened = jobs.opening(session, root, session.range(1).select(F.date_format(F.timestamp_micros(F.lit(day)), "yyyy-MM-dd")).first()[0])
+    out = in_slices(session, coming, 4, lambda raw: features.stream_features(raw, arrival="event_id", opening=opened, recent=past))
     return out.filter(~F.col("is_late")).select("transaction_id", *FEATURE_NAMES)
 
 

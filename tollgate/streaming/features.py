@@ -1,11 +1,18 @@
-"""The fourteen features on a stream, from keyed state.
-
-State per user: a buffer of the events newer than watermark - 1 h, and for everything
-older its summary (count, mean, spread, devices, cities, latest event). A repeated id of a user
-is dropped if its first arrival is in the buffer. An event that is
-not late has t >= watermark, so the summarised part lies wholly before its longest window
-and counts in full for the unbounded features; the buffer is examined exactly. Hence the
-result equals the batch features over what has arrived, with bounded window state.
+"""The fourteen features on a stream, from keyed state that is read and written by entry.
+
+State per user:
+
+* a value: the summary of everything older than watermark - 1 h (count, mean, spread, latest event), and one small
+  summary for each younger minute that has events;
+* a map from minute to that minute's events: a micro-batch reads the minutes its events look back on, and writes the
+  minutes it adds to;
+* a map from (kind, value) to the first sight of a device or city, of which a micro-batch reads the entries it names.
+
+An event that is not late has t >= watermark, so a minute that ends before watermark - 1 h lies before the longest window of
+all events to come: its summary is merged into the user's and its entry removed. Hence the result equals the batch
+features over what has arrived, with bounded window state. A repeated id of a user is dropped if its first arrival is in a
+minute that is read. State may start from stored balances (`opening`) and the events of the hour before them, as a batch
+left them; the stream then goes on where the batch ended.
 """
 
 from __future__ import annotations
@@ -14,37 +21,38 @@ import math
 from collections import Counter, deque
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor
 
 from tollgate.config import DEFAULT, FEATURE_NAMES, Config
 from tollgate.functions.columns import EARTH_RADIUS_KM
+from tollgate.operators.balances import NOVELTY
 from tollgate.operators.features import FLAT_STD
-from tollgate.operators.timeline import MICROS, micros
+from tollgate.operators.timeline import MICROS, MINUTE, Opening, micros
 from tollgate.schemas import TXN_COLUMNS, TXN_SCHEMA
 
 HOUR = 3600 * MICROS
-_BUFFER = ("us", "amount", "merchant_id", "device_id", "city", "latitude", "longitude", "transaction_id")
-_NUMBER, _TEXT = T.DoubleType(), T.StringType()
-_STATE_TYPES = {
-    "n": T.LongType(), "mean": _NUMBER, "m2": _NUMBER,
-    "devices": T.ArrayType(_TEXT), "cities": T.ArrayType(_TEXT),
-    "last_us": T.LongType(), "last_lat": _NUMBER, "last_lon": _NUMBER,
-    "us": T.ArrayType(T.LongType()), "amount": T.ArrayType(_NUMBER), "merchant_id": T.ArrayType(_TEXT),
-    "device_id": T.ArrayType(_TEXT), "city": T.ArrayType(_TEXT),
-    "latitude": T.ArrayType(_NUMBER), "longitude": T.ArrayType(_NUMBER), "transaction_id": T.ArrayType(_TEXT),
-}
-_STATE = T.StructType([T.StructField(name, kind) for name, kind in _STATE_TYPES.items()])
+_EVENT = ("us", "amount", "merchant_id", "device_id", "city", "latitude", "longitude", "transaction_id")
+_SUMMARY = "n long, mean double, m2 double, last_us long, last_lat double, last_lon double"
+_PAST = f"{_SUMMARY}, minutes array<struct<minute: long, {_SUMMARY.replace(' ', ': ').replace(',: ', ', ')}>>"
+# `counted` is false for events that an opening knows already: they count in windows only
+_MINUTE = (
+    "us array<long>, amount array<double>, merchant_id array<string>, device_id array<string>, city array<string>,"
+    " latitude array<double>, longitude array<double>, transaction_id array<string>, counted array<boolean>"
+)
+_INITIAL = (
+    "user_id string, kind string, value string, us long, n long, mean double, m2 double, amount double, merchant_id string,"
+    " device_id string, city string, latitude double, longitude double, transaction_id string"
+)
 _OUT = T.StructType(
     [T.StructField(f.name, f.dataType) for f in TXN_SCHEMA]
     + [T.StructField(n, T.DoubleType()) for n in FEATURE_NAMES if n != "amount"]
     + [T.StructField("is_late", T.BooleanType())]
 )
-_ADDED = [f.name for f in _OUT if f.name not in TXN_COLUMNS]
-_LATE = [math.nan] * (len(_ADDED) - 1) + [True]
+_ROW = Row(*_OUT.fieldNames())
+_LATE = [None] * (len(FEATURE_NAMES) - 1) + [True]
 
 
 def _distance(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
@@ -55,22 +63,36 @@ def _distance(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
 
 
 class _Past:
-    """What is known of a user before a moment, grown in time order."""
+    """Count, mean, spread and latest event of some of a user's events."""
+
+    __slots__ = ("n", "mean", "m2", "last")
 
-    def __init__(self, n, mean, m2, devices, cities, last):
-        self.n, self.mean, self.m2, self.last = n, mean, m2, last
-        self.devices, self.cities = set(devices), set(cities)
+    def __init__(self, n: int = 0, mean: float = 0.0, m2: float = 0.0, last_us=None, last_lat=None, last_lon=None):
+        self.n, self.mean, self.m2 = n, mean, m2
+        self.last = None if last_us is None else (last_us, last_lat, last_lon)
+
+    def state(self) -> tuple:
+        return (self.n, self.mean, self.m2, *(self.last or (None, None, None)))
 
     def add(self, event: tuple) -> None:
-        us, amount, _, device, city, lat, lon, _ = event
         self.n += 1
-        step = amount - self.mean
+        step = event[1] - self.mean
         self.mean += step / self.n
-        self.m2 += step * (amount - self.mean)
-        self.devices.add(device)
-        self.cities.add(city)
-        if self.last is None or us > self.last[0]:  # of equal times the first arrived stays
-            self.last = (us, lat, lon)
+        self.m2 += step * (event[1] - self.mean)
+        self.look_at((event[0], event[5], event[6]))
+
+    def look_at(self, place: tuple | None) -> None:
+        if place is not None and (self.last is None or place[0] > self.last[0]):  # of equal times the first arrived stays
+            self.last = place
+
+    def merge(self, other: _Past) -> None:
+        """Take in another summary, of later events or of events counted elsewhere."""
+        if other.n:
+            n, apart = self.n + other.n, other.mean - self.mean
+            self.m2 += other.m2 + apart * apart * self.n * other.n / n
+            self.mean += apart * other.n / n
+            self.n = n
+        self.look_at(other.last)
 
 
 class _Span:
@@ -95,11 +117,12 @@ class _Span:
                 del self.merchants[merchant]
 
 
-def _describe(event: tuple, past: _Past, spans: dict[int, _Span]) -> list[float]:
+def _describe(event: tuple, past: _Past, spans: dict[int, _Span], first_seen: dict[tuple[str, str], int]) -> list[float]:
     us, amount, _, device, city, lat, lon, _ = event
     std = math.sqrt(past.m2 / past.n) if past.n else 0.0
     hour = spans[3600]
     mean = hour.units / 10**8 / len(hour.events) if hour.events else amount
+    new = [float(past.n > 0 and first_seen[kind, value] >= us) for kind, value in zip(NOVELTY, (device, city), strict=True)]
     return [
         round((amount - past.mean) / std, 4) if std > FLAT_STD else 0.0,
         float(len(spans[60].events)), float(len(spans[300].events)), float(len(hour.events)),
@@ -107,90 +130,162 @@ def _describe(event: tuple, past: _Past, spans: dict[int, _Span]) -> list[float]
         round(mean, 2),
         round(amount / mean, 4) if mean > 0 else 1.0,
         float(len(hour.merchants)),
-        float(past.n > 0 and device not in past.devices), float(past.n > 0 and city not in past.cities),
+        *new,
         round(_distance(past.last[1], past.last[2], lat, lon), 2) if past.last else 0.0,
         float(us // HOUR % 24), float((us // (24 * HOUR) + 3) % 7),  # 1970-01-01 was a Thursday
     ]
 
 
-def _summary(past: _Past) -> tuple:
-    last = past.last or (None, None, None)
-    return (past.n, past.mean, past.m2, sorted(past.devices), sorted(past.cities), *last)
-
-
-def _first_arrivals(new: pd.DataFrame, seen: set) -> pd.DataFrame:
-    """Without rows whose id the buffer holds or an earlier row of the batch has."""
-    ordered = new.sort_values("_arrival", kind="stable")
-    first = ~ordered["transaction_id"].duplicated() & ~ordered["transaction_id"].isin(seen)
-    return new[first.reindex(new.index)].reset_index(drop=True)
-
-
-def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    parts = list(batches)
-    new = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-    watermark = state.getCurrentWatermarkMs() * 1000
-
-    if state.exists:
-        saved = dict(zip(_STATE.fieldNames(), state.get))
-        last = None if saved["last_us"] is None else (saved["last_us"], saved["last_lat"], saved["last_lon"])
-        past = _Past(saved["n"], saved["mean"], saved["m2"], saved["devices"], saved["cities"], last)
-        known = list(zip(*[saved[c] for c in _BUFFER]))
-    else:
-        past, known = _Past(0, 0.0, 0.0, (), (), None), []
-
-    new = _first_arrivals(new, {event[-1] for event in known})
-    times, arrivals = new["_us"].tolist(), new["_arrival"].tolist()
-    arrived = list(zip(times, *[new[c].tolist() for c in _BUFFER[1:]]))
-    on_time = [i for i, us in enumerate(times) if us >= watermark]
-    on_time.sort(key=lambda i: (times[i], arrivals[i]))
-    # buffered events come first, so that at equal times the earlier arrival stays first
-    timeline = [(event, -1) for event in known] + [(arrived[i], i) for i in on_time]
-    timeline.sort(key=lambda entry: entry[0][0])
-
-    spans = {s: _Span(s) for s in (60, 300, 3600)}
-    keep_from = watermark - HOUR
-    summary, buffered = None, []
-    rows: list = [_LATE] * len(times)
-    at = 0
-    while at < len(timeline):
-        now, end = timeline[at][0][0], at
-        while end < len(timeline) and timeline[end][0][0] == now:
-            end += 1
-        if summary is None and now >= keep_from:
-            summary, buffered = _summary(past), timeline[at:]
-        for span in spans.values():
-            span.until(now)
-        for event, index in timeline[at:end]:
-            if index >= 0:
-                rows[index] = [*_describe(event, past, spans), False]
-        for event, _ in timeline[at:end]:
-            past.add(event)
+class KeyedFeatures(StatefulProcessor):
+    """Feature rows of one user's new events."""
+
+    def init(self, handle) -> None:
+        self.past = handle.getValueState("past", _PAST)
+        self.minutes = handle.getMapState("minutes", "minute long", _MINUTE)
+        self.seen = handle.getMapState("seen", "kind string, value string", "first_us long")
+
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        row = initialState
+        if row["kind"] == "event":
+            minute = row["us"] // MINUTE
+            entry = self.read_minute(minute)
+            for column, value in zip(entry, (*(row[c] for c in _EVENT), False), strict=True):
+                column.append(value)
+            self.minutes.updateValue((minute,), tuple(entry))
+            past, listed = self.read_past()
+            listed.setdefault(minute, _Past())
+        elif row["kind"] is not None:
+            self.seen.updateValue((row["kind"], row["value"]), (row["us"],))
+            return
+        else:
+            past, listed = self.read_past()
+            past.merge(_Past(row["n"], row["mean"], row["m2"], row["us"], row["latitude"], row["longitude"]))
+        self.write_past(past, listed)
+
+    def read_past(self) -> tuple[_Past, dict[int, _Past]]:
+        if not self.past.exists():
+            return _Past(), {}
+        *own, minutes = self.past.get()
+        return _Past(*own), {m[0]: _Past(*m[1:]) for m in minutes or ()}
+
+    def write_past(self, past: _Past, listed: dict[int, _Past]) -> None:
+        self.past.update((*past.state(), [(minute, *listed[minute].state()) for minute in sorted(listed)]))
+
+    def read_minute(self, minute: int) -> list[list]:
+        return [list(c) for c in self.minutes.getValue((minute,)) or [()] * (len(_EVENT) + 1)]
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        watermark = timerValues.getCurrentWatermarkInMs() * 1000
+        arrived = sorted(rows, key=lambda r: r["_arrival"])
+        if not arrived:
+            return
+        past, listed = self.read_past()
+
+        # what the new events look back on
+        times = [r["_us"] for r in arrived]
+        low, high = (min(times) - HOUR) // MINUTE, max(times) // MINUTE
+        entries = {minute: self.read_minute(minute) for minute in listed if low <= minute <= high}
+        known = [(*event[:-1],) for minute in sorted(entries) for event in zip(*entries[minute], strict=True)]
+        counted = [c for minute in sorted(entries) for c in entries[minute][-1]]
+        ids = {event[-1] for event in known}
+        fresh: list[Row] = []
+        for row in arrived:
+            if row["transaction_id"] not in ids:
+                ids.add(row["transaction_id"])
+                fresh.append(row)
+        events = [(r["_us"], *(r[c] for c in _EVENT[1:])) for r in fresh]
+        on_time = [i for i, event in enumerate(events) if event[0] >= watermark]
+
+        first_seen: dict[tuple[str, str], int] = {}
+        for i in on_time:
+            for kind, value in zip(NOVELTY, events[i][3:5], strict=True):
+                first_seen[kind, value] = min(first_seen.get((kind, value), events[i][0]), events[i][0])
+        for pair, us in first_seen.items():
+            before = self.seen.getValue(pair)
+            if before is None or before[0] > us:
+                self.seen.updateValue(pair, (us,))
+            else:
+                first_seen[pair] = before[0]
+
+        # known events first, so that at equal times the earlier arrival stays first
+        timeline = [(event, -1, c) for event, c in zip(known, counted, strict=True)] + [(events[i], i, True) for i in on_time]
+        timeline.sort(key=lambda entry: entry[0][0])
+        now_known = _Past(*past.state())
+        for minute in sorted(listed):
+            if minute < low:
+                now_known.merge(listed[minute])
+        spans = {s: _Span(s) for s in (60, 300, 3600)}
+        described: dict[int, list] = {}
+        at = 0
+        while at < len(timeline):
+            now, end = timeline[at][0][0], at
+            while end < len(timeline) and timeline[end][0][0] == now:
+                end += 1
             for span in spans.values():
-                span.add(event)
-        at = end
-    state.update((*(summary or _summary(past)), *([e[i] for e, _ in buffered] for i in range(len(_BUFFER)))))
-
-    added = pd.DataFrame(rows, columns=_ADDED)
-    yield pd.concat([new[TXN_COLUMNS].reset_index(drop=True), added], axis=1)
+                span.until(now)
+            for event, i, _ in timeline[at:end]:
+                if i >= 0:
+                    described[i] = [*_describe(event, now_known, spans, first_seen), False]
+            for event, _, counts in timeline[at:end]:
+                if counts:
+                    now_known.add(event)
+                for span in spans.values():
+                    span.add(event)
+            at = end
+
+        changed = set()
+        for i in on_time:
+            minute = events[i][0] // MINUTE
+            entry = entries.setdefault(minute, [[] for _ in range(len(_EVENT) + 1)])
+            for column, value in zip(entry, (*events[i], True), strict=True):
+                column.append(value)
+            listed.setdefault(minute, _Past()).add(events[i])
+            changed.add(minute)
+        for minute in changed:
+            self.minutes.updateValue((minute,), tuple(entries[minute]))
+        for minute in sorted(listed):
+            if (minute + 1) * MINUTE <= watermark - HOUR:
+                past.merge(listed.pop(minute))
+                self.minutes.removeKey((minute,))
+        self.write_past(past, listed)
+        for i, row in enumerate(fresh):
+            yield _ROW(*(row[c] for c in TXN_COLUMNS), *described.get(i, _LATE))
+
+    def close(self) -> None:
+        pass
+
+
+def initial_rows(opening: Opening, recent: DataFrame) -> DataFrame:
+    """State rows of an opening and of the events in the hour before it (transactions), by user."""
+    def row(**given) -> list:
+        names = [f.split()[0] for f in _INITIAL.split(", ")]
+        kinds = [f.split()[1] for f in _INITIAL.split(", ")]
+        return [given.get(n, F.lit(None)).cast(k).alias(n) for n, k in zip(names, kinds, strict=True)]
+
+    own = {c: F.col(c) for c in ("user_id", "n", "mean", "m2")}
+    users = opening.users.select(*row(**own, us=-F.col("last.neg_us"), latitude=F.col("last.latitude"), longitude=F.col("last.longitude")))
+    seen = opening.seen.select(*row(user_id=F.col("user_id"), kind=F.col("kind"), value=F.col("value"), us=F.col("first_us")))
+    hour = recent.filter((micros() >= opening.since - HOUR) & (micros() < opening.since))
+    events = hour.select(*row(user_id=F.col("user_id"), kind=F.lit("event"), us=micros(), **{c: F.col(c) for c in _EVENT[1:]}))
+    return users.unionByName(seen).unionByName(events)
 
 
 def stream_features(
-    events: DataFrame, cfg: Config = DEFAULT, arrival: str | None = None, *, watermarked: bool = False
+    events: DataFrame, cfg: Config = DEFAULT, arrival: str | None = None, *, watermarked: bool = False,
+    opening: Opening | None = None, recent: DataFrame | None = None,
 ) -> DataFrame:
     """Feature rows for a stream, the first arrival of each id; late rows carry `is_late` and no features.
 
     As each row is scored on arrival, an event that arrives later with an earlier time does
     not change rows already emitted. `arrival` names a column that orders equal times;
-    `watermarked` says that an earlier step has set the watermark already.
+    `watermarked` says that an earlier step has set the watermark already. With an `opening`, state starts from it and
+    from the `recent` events of the hour before; the stream brings the events since its moment.
     """
     order = F.col(arrival) if arrival else F.col("transaction_id")
     if not watermarked:
         events = events.withWatermark("event_time", f"{cfg.watermark_minutes} minutes")
-    keyed = (
-        events.select(*TXN_COLUMNS, micros().alias("_us"), order.alias("_arrival"))
-        .groupBy("user_id")
-    )
-    out = keyed.applyInPandasWithState(_advance, _OUT, _STATE, "append", GroupStateTimeout.NoTimeout)
-    # pandas turns absent numbers into NaN
-    clean = [F.when(~F.col("is_late"), F.col(n)).alias(n) for n in FEATURE_NAMES if n != "amount"]
-    return out.select(*TXN_COLUMNS, *clean, "is_late")
+    # the event time goes on as a plain column: rows below the watermark must reach the state to be marked late
+    plain = [F.timestamp_micros(micros()).alias(c) if c == "event_time" else F.col(c) for c in TXN_COLUMNS]
+    keyed = events.select(*plain, micros().alias("_us"), order.alias("_arrival")).groupBy("user_id")
+    first = None if opening is None else initial_rows(opening, recent).groupBy("user_id")
+    return keyed.transformWithState(KeyedFeatures(), _OUT, "Append", "EventTime", initialState=first)

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tollgate.config import DEFAULT, Config
 from tollgate.functions import rounded
 from tollgate.operators import iforest, scoring, validate
+from tollgate.operators.timeline import Opening
 from tollgate.plans import warehouse
 from tollgate.streaming.features import stream_features
 
@@ -36,21 +37,24 @@ def start_dead_letters(raw: DataFrame, root: str, checkpoint: str, every: str |
     return _trigger(writer, every).start()
 
 
-def scored_stream(raw: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+def scored_stream(raw: DataFrame, cfg: Config = DEFAULT, opening: Opening | None = None, recent: DataFrame | None = None) -> DataFrame:
     """Validated, deduplicated, featurised events of a raw message stream.
 
     Nothing before the keyed state may drop rows below the watermark: late rows have to reach it to be marked.
     """
-    return stream_features(validate.valid_events(validate.check_events(raw)), cfg)
+    return stream_features(validate.valid_events(validate.check_events(raw)), cfg, opening=opening, recent=recent)
 
 
 def start_scoring(
     raw: DataFrame, root: str, checkpoint: str, *, run_ts: str | None = None, ml_score: Column | None = None,
     model_version: str = scoring.RULES_ONLY_VERSION, forest: iforest.Forest | None = None,
-    every: str | None = "1 second", cfg: Config = DEFAULT,
+    every: str | None = "1 second", cfg: Config = DEFAULT, opening: Opening | None = None, recent: DataFrame | None = None,
 ) -> StreamingQuery:
     """Score the stream and upsert staging, scores and alerts.
 
+    With an `opening` and the `recent` events of the hour before it (stored staging rows will do), users are known from
+    the start, as the batch that loaded the warehouse left them.
+
     Rows are stamped with `run_ts`, by default with the time of their micro-batch. The model score comes from `forest`, or from any column over the feature rows.
 
     Progress is kept in the checkpoint and advances only after a batch is loaded; the
@@ -84,5 +88,5 @@ def start_scoring(
         )
         warehouse.load_scored(spark, root, scored, stamp, days_fixed=True)
 
-    writer = scored_stream(raw, cfg).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    writer = scored_stream(raw, cfg, opening, recent).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()
