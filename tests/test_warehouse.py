@@ -53,14 +53,23 @@ def test_key_that_moves_to_another_day_is_not_doubled(spark, frame, tmp_path):
     assert rows == {"a": "2026-08-14", "b": "2026-08-12"}
 
 
-def test_interrupted_replacement_is_finished(spark, frame, tmp_path):
+def stored(spark, root, table):
+    rows = warehouse.read_table(spark, root, table).collect()
+    return sorted((r["transaction_id"], str(r["event_date"]), float(r["amount"])) for r in rows)
+
+
+def test_interrupted_compaction_is_finished(spark, frame, tmp_path, monkeypatch):
     root, table = str(tmp_path), "stg_transactions"
     warehouse.upsert(spark, root, table, warehouse.staging_rows(frame([txn("a", amount=1.0)])))
-    # a run that wrote the merged day aside and then died
-    merged = warehouse.staging_rows(frame([txn("a", amount=5.0), txn("c")]))
-    merged.write.parquet(f"{root}/_pending/{table}")
+    warehouse.compact(spark, root, table)
+    warehouse.upsert(spark, root, table, warehouse.staging_rows(frame([txn("a", amount=5.0), txn("c")])))
+    with monkeypatch.context() as patch:  # a run that wrote the merged day aside and then died
+        crash_at(patch, "_replace_days")
+        with pytest.raises(RuntimeError):
+            warehouse.compact(spark, root, table)
     warehouse.upsert(spark, root, table, warehouse.staging_rows(frame([txn("d")])))
-    assert ids(warehouse.read_table(spark, root, table)) == ["a", "c", "d"]
+    warehouse.compact(spark, root, table)
+    assert ids(warehouse.read_table(spark, root, table)) == ["a", "c", "d"] and stored(spark, root, table)[0][2] == 5.0
 
 
 def crash_at(monkeypatch, step):
@@ -71,31 +80,74 @@ def crash_at(monkeypatch, step):
     monkeypatch.setattr(warehouse, step, boom)
 
 
-@pytest.mark.parametrize("step", ["_replace_days", "_drop_emptied", "_drop", "recover"])
+@pytest.mark.parametrize("step", ["_replace_days", "_drop_emptied", "_drop", "recover", "_replace", "half"])
 def test_crash_at_any_step_leaves_each_key_once(spark, frame, tmp_path, monkeypatch, step):
+    """Whatever step of a compaction fails, the table reads the same, at once and after the next run."""
     root, table = str(tmp_path), "stg_transactions"
-    warehouse.upsert(spark, root, table, warehouse.staging_rows(frame([txn("a", amount=1.0), txn("b", 86400)])))
-    moved = warehouse.staging_rows(frame([txn("a", 86400 * 3, amount=2.0)]))
+    warehouse.upsert(spark, root, table, warehouse.staging_rows(frame([txn("a", amount=1.0), txn("b", 86400), txn("e")])))
+    warehouse.compact(spark, root, table)
+    warehouse.upsert(spark, root, table, warehouse.staging_rows(frame([txn("a", 86400 * 3, amount=2.0)])))
+    expected = [("a", "2026-08-14", 2.0), ("b", "2026-08-12", 100.0), ("e", "2026-08-11", 100.0)]
     with monkeypatch.context() as patch:
-        crash_at(patch, step)
-        with pytest.raises(RuntimeError):
-            warehouse.upsert(spark, root, table, moved)
+        if step == "half":  # some days are installed, others not, and a day's folder is gone
+            patch.setattr(warehouse, "_replace_days", lambda *args: (warehouse._drop(spark, f"{root}/{table}/event_date=2026-08-11"), 1 / 0))
+        else:
+            crash_at(patch, step)
+        with pytest.raises((RuntimeError, ZeroDivisionError)):
+            warehouse.compact(spark, root, table)
+    assert stored(spark, root, table) == expected
     warehouse.upsert(spark, root, table, warehouse.staging_rows(frame([txn("c")])))
-    warehouse.upsert(spark, root, table, moved)
-    rows = sorted((r["transaction_id"], str(r["event_date"]), float(r["amount"])) for r in warehouse.read_table(spark, root, table).collect())
-    assert rows == [("a", "2026-08-14", 2.0), ("b", "2026-08-12", 100.0), ("c", "2026-08-11", 100.0)]
+    assert stored(spark, root, table) == sorted([*expected, ("c", "2026-08-11", 100.0)])
+    for _ in range(2):
+        warehouse.compact(spark, root, table)
+        assert stored(spark, root, table) == sorted([*expected, ("c", "2026-08-11", 100.0)])
+    base = spark.read.parquet(f"{root}/{table}")
+    assert base.count() == 4 and warehouse._folders(spark, f"{root}/_deltas/{table}") == []
 
 
-def test_crash_after_the_rows_are_aside(spark, frame, tmp_path, monkeypatch):
-    """The replacement is whole once its rows are aside: the next run finishes it, emptied days included."""
+def test_unfinished_delta_does_not_count(spark, frame, tmp_path):
     root, table = str(tmp_path), "stg_transactions"
-    warehouse.upsert(spark, root, table, warehouse.staging_rows(frame([txn("a"), txn("b", 86400)])))
-    with monkeypatch.context() as patch:
-        crash_at(patch, "_drop_emptied")
-        with pytest.raises(RuntimeError):
-            warehouse.upsert(spark, root, table, warehouse.staging_rows(frame([txn("a", 86400 * 3)])))
-    warehouse.recover(spark, root, table)
-    assert ids(warehouse.read_table(spark, root, table)) == ["a", "b"]
+    warehouse.upsert(spark, root, table, warehouse.staging_rows(frame([txn("a", amount=1.0)])), name="x1")
+    broken = warehouse.staging_rows(frame([txn("a", amount=9.0)])).withColumn("_deleted", F.lit(False))
+    broken.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{root}/_deltas/{table}/000000000009-x2")
+    assert stored(spark, root, table) == [("a", "2026-08-11", 1.0)]
+
+
+def test_batch_loaded_again_replaces_its_delta(spark, frame, tmp_path):
+    """Also after a later batch, which still wins; numbers go on after a compaction."""
+    root, table = str(tmp_path), "stg_transactions"
+    rows = lambda amount: warehouse.staging_rows(frame([txn("a", amount=amount)]))
+    warehouse.upsert(spark, root, table, rows(1.0), name="s1")
+    warehouse.upsert(spark, root, table, rows(2.0), name="s2")
+    warehouse.upsert(spark, root, table, rows(1.5), name="s1")
+    assert stored(spark, root, table) == [("a", "2026-08-11", 2.0)]
+    assert warehouse._folders(spark, f"{root}/_deltas/{table}") == ["000000000001-s1", "000000000002-s2"]
+    warehouse.compact(spark, root, table)
+    warehouse.upsert(spark, root, table, rows(3.0), name="s3")
+    assert warehouse._folders(spark, f"{root}/_deltas/{table}") == ["000000000003-s3"]
+    assert stored(spark, root, table) == [("a", "2026-08-11", 3.0)]
+
+
+def test_bytes_follow_the_batch(spark, frame, tmp_path):
+    """A batch of one row writes one small folder and leaves the files of a large table as they are."""
+    root, table = str(tmp_path), "stg_transactions"
+    warehouse.upsert(spark, root, table, warehouse.staging_rows(frame([txn(f"t{i}", 60 * i) for i in range(3000)])))
+    warehouse.compact(spark, root, table)
+    files = lambda: {p: (p.stat().st_mtime_ns, p.stat().st_size) for p in tmp_path.rglob("*.parquet")}
+    before = files()
+    warehouse.upsert(spark, root, table, warehouse.staging_rows(frame([txn("t5", 300, amount=7.0)])))
+    after = files()
+    assert all(after[p] == before[p] for p in before)
+    assert sum(size for p, (_, size) in after.items() if p not in before) < 10_000
+    assert warehouse.read_table(spark, root, table).count() == 3000
+
+
+def test_log_is_compacted_in_time(spark, frame, tmp_path):
+    root, table = str(tmp_path), "stg_transactions"
+    for i in range(5):
+        warehouse.upsert(spark, root, table, warehouse.staging_rows(frame([txn("same", amount=float(i)), txn(f"t{i}", i)])), compact_at=3)
+        assert len(warehouse._folders(spark, f"{root}/_deltas/{table}")) < 3
+    assert len(stored(spark, root, table)) == 6 and stored(spark, root, table)[0] == ("same", "2026-08-11", 4.0)
 
 
 def test_greatest_version_wins_over_partitions(spark, scored, tmp_path):

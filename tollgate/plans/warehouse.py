@@ -1,7 +1,17 @@
-"""Warehouse tables on Parquet: shaping, idempotent upsert, daily overwrite."""
+"""Warehouse tables on Parquet: shaping, appended batches, merge on read, compaction, daily overwrite.
+
+A table is a base, partitioned by day, and a log of deltas. A batch is appended to the log as one folder, so what it writes is
+its own size; a delta counts once its folder is complete, and a batch that is repeated under its name replaces its folder.
+Reading takes each key from the latest delta that has it, else from the base; a deleted key is a row marked so. `compact` merges the
+log into the days concerned: it writes the merged days and the list of days aside, installs them and then drops the deltas,
+and `recover` finishes what a crash left. Deltas stay until their rows are installed, and while an installation is
+unfinished its days are read from the rows set aside, so every state in between reads as the same table.
+"""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +25,7 @@ _STAGING_DEFAULTS = {
     "device_id": "", "ip_address": "", "country": "IN", "city": "",
 }
 _STAGING_NUMBERS = ("amount", "latitude", "longitude")
+COMPACT_AT = 16  # deltas in the log at which an upsert compacts it
 
 
 def _or_default(df: DataFrame, column: str, default):
@@ -82,11 +93,48 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the complete folders in a folder: those that a finished job has marked."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in files.listStatus(target)] if files.exists(target) else []
+    return sorted(n for n in names if _exists(spark, f"{path}/{n}/_SUCCESS"))
+
+
+def _log(root: str, table: str) -> str:
+    return f"{root}/_deltas/{table}"
+
+
+def _latest_deltas(spark: SparkSession, root: str, table: str, names: list[str]) -> DataFrame:
+    """Per key the row of its latest delta, with `_deleted`."""
+    schema = table_schema(table).add("_deleted", "boolean")
+    rows = spark.read.schema(schema).parquet(*[f"{_log(root, table)}/{n}" for n in names])
+    number = F.regexp_extract(F.col("_metadata.file_path"), rf"/_deltas/{table}/(\d+)", 1).cast("bigint")
+    return latest_per_key(rows.withColumn("_age", number), [TABLES[table][1]], ["_age"]).drop("_age")
+
+
+def _read_base(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """The compacted table; days of an unfinished installation come from the rows set aside."""
+    _, _, partition = TABLES[table]
+    empty = spark.createDataFrame([], table_schema(table))
+    base = spark.read.schema(table_schema(table)).parquet(f"{root}/{table}") if _exists(spark, f"{root}/{table}") else empty
+    if _exists(spark, f"{_pending(root, table)}/_SUCCESS"):
+        waiting = spark.read.schema(table_schema(table)).parquet(_pending(root, table))
+        days = waiting.select(partition).distinct()
+        if _exists(spark, f"{_touched(root, table)}/_SUCCESS"):
+            days = days.union(spark.read.schema("day date").parquet(_touched(root, table))).distinct()
+        base = base.join(days, partition, "left_anti").select(base.columns).unionByName(waiting)
+    return base
+
+
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The table, empty if nothing was written yet."""
-    if not _exists(spark, f"{root}/{table}"):
-        return spark.createDataFrame([], table_schema(table))
-    return spark.read.schema(table_schema(table)).parquet(f"{root}/{table}")
+    """The table, empty if nothing was written yet: the base without the keys of the log, and the log's latest rows."""
+    base, names = _read_base(spark, root, table), _folders(spark, _log(root, table))
+    if not names:
+        return base
+    key, changed = TABLES[table][1], _latest_deltas(spark, root, table, names)
+    kept = base.join(changed.select(key), key, "left_anti").select(base.columns)
+    return kept.unionByName(changed.filter("not _deleted").select(base.columns))
 
 
 def _replace_days(rows: DataFrame, root: str, table: str) -> None:
@@ -116,62 +164,91 @@ def _touched(root: str, table: str) -> str:
 
 
 def recover(spark: SparkSession, root: str, table: str) -> None:
-    """Finish a replacement that an earlier run wrote out but did not install.
+    """Finish a compaction that an earlier run wrote out but did not install, and drop the deltas it merged.
 
-    The days concerned are written before the rows, so a finished rows folder always has its list of days, and days
+    The days and deltas concerned are written before the rows, so a finished rows folder always has its lists, and days
     that the replacement leaves empty are removed here as well. Every step may be repeated.
     """
-    pending = _pending(root, table)
+    pending, merged = _pending(root, table), f"{_pending(root, table)}_deltas"
     if _exists(spark, f"{pending}/_SUCCESS"):
         written = spark.read.schema(table_schema(table)).parquet(pending)
         _replace_days(written, root, table)
         if _exists(spark, f"{_touched(root, table)}/_SUCCESS"):
             days = [row[0] for row in spark.read.schema("day date").parquet(_touched(root, table)).collect()]
             _drop_emptied(spark, root, table, days, written)
-    _drop(spark, pending)
-    _drop(spark, _touched(root, table))
-
-
-def _replace(spark: SparkSession, root: str, table: str, days: list, rows: DataFrame) -> None:
-    """Make `rows` the content of the given days, through the pending folder."""
+        if _exists(spark, f"{merged}/_SUCCESS"):
+            listed = spark.read.schema("name string, number bigint").parquet(merged).collect()
+            numbers = spark.createDataFrame([(max(row["number"] for row in listed),)], "number bigint").coalesce(1)
+            numbers.write.mode("overwrite").parquet(f"{_log(root, table)}_compacted")
+            for row in listed:
+                _drop(spark, f"{_log(root, table)}/{row['name']}")
+    for folder in (pending, _touched(root, table), merged):
+        _drop(spark, folder)
+
+
+def _replace(spark: SparkSession, root: str, table: str, days: list, rows: DataFrame, deltas: list[str], last: int) -> None:
+    """Make `rows` the content of the given days, through the pending folder, and drop the deltas they hold."""
     spark.createDataFrame([(day,) for day in days], "day date").coalesce(1).write.mode("overwrite").parquet(_touched(root, table))
+    listed = spark.createDataFrame([(name, last) for name in deltas], "name string, number bigint").coalesce(1)
+    listed.write.mode("overwrite").parquet(f"{_pending(root, table)}_deltas")
     rows.write.mode("overwrite").parquet(_pending(root, table))
     recover(spark, root, table)
 
 
+def append(spark: SparkSession, root: str, table: str, rows: DataFrame, batch: str | None = None) -> None:
+    """Add rows (the table's columns, and `_deleted` if any are deletions) to the log, one per key.
+
+    Under the name of a `batch` they replace what was appended under it before. Numbers grow, also across compactions.
+    """
+    deleted = F.col("_deleted") if "_deleted" in rows.columns else F.lit(False)
+    log, names = _log(root, table), _folders(spark, _log(root, table))
+    same = [n for n in names if batch and n.partition("-")[2] == batch]
+    last = max([int(n.partition("-")[0]) for n in names], default=0)
+    if _exists(spark, f"{log}_compacted/_SUCCESS"):
+        last = max(last, spark.read.schema("number bigint").parquet(f"{log}_compacted").first()[0])
+    name = same[-1] if same else f"{last + 1:012d}" + (f"-{batch}" if batch else "")
+    whole = rows.select(*table_schema(table).fieldNames(), deleted.alias("_deleted"))
+    whole.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{log}/{name}")
+
+
 def upsert(
     spark: SparkSession, root: str, table: str, batch: DataFrame, *, version: list[str] | None = None,
-    days_fixed: bool = False, unique: bool = False,
+    days_fixed: bool = False, unique: bool = False, name: str | None = None, compact_at: int = COMPACT_AT,
 ) -> None:
     """Insert or replace by the table's key; running it again changes nothing.
 
-    Only the days concerned are rewritten: those of the batch, and those where a key of
-    the batch is already stored under another day. With `days_fixed` (the event time of an
-    id never changes) the search for the latter, which reads all keys, is left out.
-    Within the batch the greatest `version` wins; `unique` says that it holds each key once. The merged days are written aside first,
-    so that a crash during installation is repaired by `recover`.
+    Within the batch the greatest `version` wins; `unique` says that it holds each key once. The batch is appended to the
+    log under its `name`; at `compact_at` deltas the log is merged into the table.
     """
     _, key, partition = TABLES[table]
-    recover(spark, root, table)
-    columns = table_schema(table).fieldNames()
     order = [*(version or []), partition]
-    latest = batch if unique else latest_per_key(batch, [key], order)
-    incoming = latest.select(*columns).withColumn("_age", F.lit(1))
-    if not _exists(spark, f"{root}/{table}"):
-        _replace_days(incoming.drop("_age"), root, table)
+    append(spark, root, table, batch if unique else latest_per_key(batch, [key], order), name)
+    if len(_folders(spark, _log(root, table))) >= compact_at:
+        compact(spark, root, table, days_fixed=days_fixed)
+
+
+def compact(spark: SparkSession, root: str, table: str, *, days_fixed: bool = False) -> None:
+    """Merge the log into the days concerned: those of its rows, and those where one of its keys is stored already.
+
+    With `days_fixed` (the event time of an id never changes, and nothing is deleted) the search for the latter, which reads
+    all keys, is left out.
+    """
+    _, key, partition = TABLES[table]
+    recover(spark, root, table)
+    names = _folders(spark, _log(root, table))
+    if not names:
         return
-    existing = read_table(spark, root, table)
-    days = incoming.select(partition)
+    changed, base = _latest_deltas(spark, root, table, names).persist(), _read_base(spark, root, table)
+    days = changed.select(partition)
     if not days_fixed:
-        moved = existing.select(key, partition).join(incoming.select(key), key, "left_semi")
-        days = days.unionByName(moved.select(partition))
+        days = days.unionByName(base.select(key, partition).join(changed.select(key), key, "left_semi").select(partition))
     # one row per calendar day: bounded by the time span of the table
-    wanted = [row[0] for row in days.distinct().collect()]
-    if not wanted:
-        return
-    touched = existing.filter(F.col(partition).isin(wanted)).withColumn("_age", F.lit(0))
-    merged = latest_per_key(touched.unionByName(incoming), [key], ["_age"]).drop("_age")
-    _replace(spark, root, table, wanted, merged)
+    wanted = [row[0] for row in days.distinct().collect() if row[0] is not None]
+    touched = base.filter(F.col(partition).isin(wanted)) if wanted else base.limit(0)
+    kept = touched.join(changed.select(key), key, "left_anti").select(base.columns)
+    last = int(names[-1].partition("-")[0])
+    _replace(spark, root, table, wanted, kept.unionByName(changed.filter("not _deleted").select(base.columns)), names, last)
+    changed.unpersist()
 
 
 def _drop_emptied(spark: SparkSession, root: str, table: str, wanted: list, written: DataFrame) -> None:
@@ -185,35 +262,33 @@ def _drop_emptied(spark: SparkSession, root: str, table: str, wanted: list, writ
 
 def load_scored(
     spark: SparkSession, root: str, scored: DataFrame, run_ts: str, *, retract_alerts: bool = False,
-    days_fixed: bool = False, version: list[str] | None = None,
+    days_fixed: bool = False, version: list[str] | None = None, name: str | None = None,
 ) -> int:
     """Staging, scores and alerts of one batch; returns the number of rows taken.
 
     A row scored again below HIGH keeps its earlier alert unless `retract_alerts`. Of rows with one id in the batch the
     one with the greatest `version` (arrival columns such as an offset) is stored; without it, that of the latest time.
+    A batch loaded again under its `name` replaces what it appended.
     """
     scored = scored.persist()  # read by every table below; spills to disk
     try:
         taken = scored.count()
         order = version or ["event_time"]
-        _load(spark, root, latest_per_key(scored, ["transaction_id"], order), run_ts, retract_alerts, days_fixed)
+        _load(spark, root, latest_per_key(scored, ["transaction_id"], order), run_ts, retract_alerts, days_fixed, name)
         return taken
     finally:
         scored.unpersist()
 
 
-def _load(spark: SparkSession, root: str, scored: DataFrame, run_ts: str, retract_alerts: bool, days_fixed: bool) -> None:
-    upsert(spark, root, "stg_transactions", staging_rows(scored), days_fixed=days_fixed, unique=True)
-    upsert(spark, root, "transaction_scores", score_rows(scored, run_ts), days_fixed=days_fixed, unique=True)
-    upsert(spark, root, "fraud_alerts", alert_rows(scored, run_ts), days_fixed=days_fixed, unique=True)
-    if retract_alerts:
-        alerts = read_table(spark, root, "fraud_alerts")
-        lowered = score_rows(scored, run_ts).filter(F.col("risk_level") != "HIGH").select("transaction_id")
-        gone = alerts.join(lowered, "transaction_id", "left_semi").select("event_date").distinct()
-        days = [row[0] for row in gone.collect()]
-        if days:
-            kept = alerts.filter(F.col("event_date").isin(days)).join(lowered, "transaction_id", "left_anti")
-            _replace(spark, root, "fraud_alerts", days, _fit(kept, "fraud_alerts"))
+def _load(spark: SparkSession, root: str, scored: DataFrame, run_ts: str, retract_alerts: bool, days_fixed: bool, name: str | None) -> None:
+    upsert(spark, root, "stg_transactions", staging_rows(scored), days_fixed=days_fixed, unique=True, name=name)
+    upsert(spark, root, "transaction_scores", score_rows(scored, run_ts), days_fixed=days_fixed, unique=True, name=name)
+    alerts = alert_rows(scored, run_ts)
+    if retract_alerts:  # a deletion per lowered row; those that had no alert delete nothing
+        lowered = score_rows(scored, run_ts).filter(F.col("risk_level") != "HIGH")
+        gone = lowered.select(F.concat(F.lit("alt_"), F.col("transaction_id")).alias("alert_id"), F.lit(True).alias("_deleted"))
+        alerts = alerts.withColumn("_deleted", F.lit(False)).unionByName(gone, allowMissingColumns=True)
+    upsert(spark, root, "fraud_alerts", alerts, days_fixed=days_fixed and not retract_alerts, unique=True, name=name)
 
 
 def write_daily_metrics(spark: SparkSession, root: str, rollup: DataFrame) -> None:

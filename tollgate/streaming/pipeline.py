@@ -57,9 +57,8 @@ def start_scoring(
 
     Rows are stamped with `run_ts`, by default with the time of their micro-batch. The model score comes from `forest`, or from any column over the feature rows.
 
-    Progress is kept in the checkpoint and advances only after a batch is loaded; the
-    upsert is keyed, so a batch that is repeated after a failure changes nothing. Late
-    rows go to their own folder.
+    Progress is kept in the checkpoint and advances only after a batch is loaded; a batch is appended under its
+    number and merged by key, so one that is repeated after a failure changes nothing. Late rows go to their own folder.
     """
 
     if forest is not None:  # broadcast once, for all batches
@@ -86,7 +85,7 @@ def start_scoring(
         scored = scoring.score(
             batch.filter(~F.col("is_late")).drop("is_late"), cfg, ml_score=ml_score, model_version=model_version
         )
-        warehouse.load_scored(spark, root, scored, stamp, days_fixed=True)
+        warehouse.load_scored(spark, root, scored, stamp, days_fixed=True, name=f"stream{batch_id}")
 
     writer = scored_stream(raw, cfg, opening, recent).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()
