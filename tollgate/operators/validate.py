@@ -1,7 +1,8 @@
 """Contract checks on JSON payloads, with a valid and a dead-letter side.
 
-Parsing goes through VARIANT, which tells a missing field from an explicit null and keeps
-the JSON type, so that `"amount": "7.5"` passes while `"user_id": 77` does not.
+One pass over the text gives a struct of the fields as VARIANT leaves, which tell a missing field
+from an explicit null and keep the JSON type, so that `"amount": "7.5"` passes while `"user_id": 77`
+does not. One boolean says whether a row is valid; reasons are put together for the others alone.
 """
 
 from __future__ import annotations
@@ -81,39 +82,54 @@ def _field_problems(field: str) -> list[Column]:
     return problems
 
 
+def _is_good(field: str) -> Column:
+    """Whether a field has no problem; the same conditions as `_field_problems`, in one boolean that is never null."""
+    if field in TEXT_FIELDS:
+        text = F.coalesce(_kind(field) == "STRING", F.lit(False))
+        return text | _kind(field).isNull() if field in DEFAULTS else text
+    value = _value(field)
+    if field in NUMBER_FIELDS:
+        low, high = (0.0, float("inf")) if field == "amount" else (-BOUNDS[field], BOUNDS[field])
+        # NaN is greater than all numbers
+        return F.coalesce((value >= low) & ((value < high) if field == "amount" else (value <= high)), F.lit(False))
+    return value.isNotNull()
+
+
 def check_events(raw: DataFrame) -> DataFrame:
     """Add the typed contract columns and `errors`, an array that is empty for valid rows.
 
     Columns of `raw` other than `value` (topic, partition, offset, ...) are kept.
     """
     payload = F.col("value").cast("string")
-    document = F.when(F.ltrim(payload).startswith("{"), F.try_parse_json(payload))
+    leaves = ", ".join(f"{field} variant" for field in TXN_COLUMNS) + ", _corrupt string"
+    options = {"columnNameOfCorruptRecord": "_corrupt", "allowNonNumericNumbers": "false"}
+    document = F.from_json(F.when(F.ltrim(payload).startswith("{"), payload), leaves, options)
     # `inline` keeps a filter on the errors from being pushed down through the parsing,
     # which would repeat it for every mention of every field.
     parsed = raw.select("*", F.inline(F.array(F.struct(document.alias("_json")))))
 
-    def part(field: str, kind: str) -> Column:
-        return F.try_variant_get("_json", f"$.{field}", kind)
-
-    fields = []
+    fields = [(F.col("_json").isNotNull() & F.col("_json._corrupt").isNull()).alias("_readable")]
     for field in TXN_COLUMNS:
-        fields.append(F.schema_of_variant(part(field, "variant")).alias(f"_kind_{field}"))
+        leaf = F.col(f"_json.{field}")
+        kind = F.schema_of_variant(leaf)
+        fields.append(kind.alias(f"_kind_{field}"))
+        text = F.try_variant_get(leaf, "$", "string")
         if field in NUMBER_FIELDS:
-            text = F.when(F.schema_of_variant(part(field, "variant")) == "STRING", part(field, "string"))
-            value = F.when(text.isNull() | text.rlike(_NUMBER), part(field, "double"))
+            usable = (kind != "STRING") | text.rlike(_NUMBER)
+            value = F.when(usable, F.try_variant_get(leaf, "$", "double"))
         elif field == "event_time":
-            text = part(field, "string")
             value = F.try_to_timestamp(F.when(text.rlike(_ISO), text).when(text.rlike(_SHORT_ISO), _spelled_out(text)))
         else:
-            value = part(field, "string")
-            if field in DEFAULTS:
-                value = F.coalesce(value, F.lit(DEFAULTS[field]))
+            value = F.coalesce(text, F.lit(DEFAULTS[field])) if field in DEFAULTS else text
         fields.append(value.alias(f"_value_{field}"))
-    typed = parsed.select("*", F.inline(F.array(F.struct(*fields))))
+    typed = parsed.select(*raw.columns, F.inline(F.array(F.struct(*fields))))
 
+    good = F.lit(True)
+    for field in TXN_COLUMNS:
+        good = good & _is_good(field)
     problems = [p for field in TXN_COLUMNS for p in _field_problems(field)]
     unreadable = F.array(F.lit("payload: not a JSON object"))
-    errors = F.when(F.col("_json").isNull(), unreadable).otherwise(compact(*problems))
+    errors = F.when(~F.col("_readable"), unreadable).when(good, F.array().cast("array<string>")).otherwise(compact(*problems))
     return typed.select(*raw.columns, errors.alias("errors"), *[_value(f).alias(f) for f in TXN_COLUMNS])
 
 
