@@ -490,6 +490,10 @@ SELECT transaction_id, user_id, format('{R4}', (wm - epoch_us(event_time)) / 1e6
     ),
 }
 
+ORACLES["stream_counters"] = f"""{CHECKED} SELECT 'events_consumed' AS metric, count(*) AS total FROM checked
+UNION ALL SELECT 'events_failed' AS metric, count(*) FILTER (WHERE len(errors) > 0) AS total FROM checked
+UNION ALL SELECT 'risk_predictions_' || lower(risk_level) AS metric, count(*) AS total FROM ({ORACLES["stream_to_warehouse"]}) GROUP BY risk_level"""
+
 # arrival in four slices by event id; a valid event is late if it lies below the watermark of the slices before its own
 ORACLES["stream_late_events"] = f"""{CHECKED},
 valid AS ({_VALID_TX[len(CHECKED):]}),

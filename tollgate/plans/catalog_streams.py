@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tollgate.config import FEATURE_NAMES
 from tollgate.functions import rounded, utc_text
+from tollgate.operators import validate
 from tollgate.operators.timeline import DAY
 from tollgate.plans import jobs, warehouse
 from tollgate.plans.catalog import QUERIES, register
@@ -15,7 +16,7 @@ from tollgate.schemas import TXN_COLUMNS
 from tollgate.plans import spoiled
 from tollgate.sources.streams import sink, source, stream_session
 from tollgate.sources.tables import table, transactions, transactions_from_events
-from tollgate.streaming import features, pipeline, windows
+from tollgate.streaming import counters, features, pipeline, windows
 
 
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -126,6 +127,24 @@ def _to_warehouse(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@register("stream_counters")
+def _counters(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages consumed and failed, and predictions per level, of a stream that is stopped and started again twice."""
+    session = stream_session(spark)
+    root, messages_of = scratch(session), spoiled.payloads(transactions(session, sf))
+    checked = validate.check_events(messages_of)
+    first, last = _bounds(checked)
+    # in order of the times the messages tell; those that tell none come first
+    part = F.coalesce(F.floor((F.unix_micros("event_time") - first) * 3 / (last + 1 - first)), F.lit(0))
+    raw = source(session, "parquet", messages_of.schema, path=f"{root}/in/*")
+    for number in range(3):
+        checked.filter(part == number).select(messages_of.columns).write.parquet(f"{root}/in/slice-{number}")
+        query = pipeline.start_scoring(raw, root, f"{root}/checkpoint", run_ts=RUN_TS, every=None)
+        query.awaitTermination()
+        counters.record(session, root, query)  # the listener may still be on its way
+    return counters.read(session, root)
+
+
 @register("stream_dead_letters")
 def _dead_letters(spark: SparkSession, sf: str) -> DataFrame:
     session = stream_session(spark)

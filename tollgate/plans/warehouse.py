@@ -88,7 +88,7 @@ def alert_rows(scored: DataFrame, run_ts: str) -> DataFrame:
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
@@ -98,7 +98,7 @@ def _folders(spark: SparkSession, path: str) -> list[str]:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     names = [status.getPath().getName() for status in files.listStatus(target)] if files.exists(target) else []
-    return sorted(n for n in names if _exists(spark, f"{path}/{n}/_SUCCESS"))
+    return sorted(n for n in names if exists(spark, f"{path}/{n}/_SUCCESS"))
 
 
 def _log(root: str, table: str) -> str:
@@ -117,11 +117,11 @@ def _read_base(spark: SparkSession, root: str, table: str) -> DataFrame:
     """The compacted table; days of an unfinished installation come from the rows set aside."""
     _, _, partition = TABLES[table]
     empty = spark.createDataFrame([], table_schema(table))
-    base = spark.read.schema(table_schema(table)).parquet(f"{root}/{table}") if _exists(spark, f"{root}/{table}") else empty
-    if _exists(spark, f"{_pending(root, table)}/_SUCCESS"):
+    base = spark.read.schema(table_schema(table)).parquet(f"{root}/{table}") if exists(spark, f"{root}/{table}") else empty
+    if exists(spark, f"{_pending(root, table)}/_SUCCESS"):
         waiting = spark.read.schema(table_schema(table)).parquet(_pending(root, table))
         days = waiting.select(partition).distinct()
-        if _exists(spark, f"{_touched(root, table)}/_SUCCESS"):
+        if exists(spark, f"{_touched(root, table)}/_SUCCESS"):
             days = days.union(spark.read.schema("day date").parquet(_touched(root, table))).distinct()
         base = base.join(days, partition, "left_anti").select(base.columns).unionByName(waiting)
     return base
@@ -170,13 +170,13 @@ def recover(spark: SparkSession, root: str, table: str) -> None:
     that the replacement leaves empty are removed here as well. Every step may be repeated.
     """
     pending, merged = _pending(root, table), f"{_pending(root, table)}_deltas"
-    if _exists(spark, f"{pending}/_SUCCESS"):
+    if exists(spark, f"{pending}/_SUCCESS"):
         written = spark.read.schema(table_schema(table)).parquet(pending)
         _replace_days(written, root, table)
-        if _exists(spark, f"{_touched(root, table)}/_SUCCESS"):
+        if exists(spark, f"{_touched(root, table)}/_SUCCESS"):
             days = [row[0] for row in spark.read.schema("day date").parquet(_touched(root, table)).collect()]
             _drop_emptied(spark, root, table, days, written)
-        if _exists(spark, f"{merged}/_SUCCESS"):
+        if exists(spark, f"{merged}/_SUCCESS"):
             listed = spark.read.schema("name string, number bigint").parquet(merged).collect()
             numbers = spark.createDataFrame([(max(row["number"] for row in listed),)], "number bigint").coalesce(1)
             numbers.write.mode("overwrite").parquet(f"{_log(root, table)}_compacted")
@@ -204,7 +204,7 @@ def append(spark: SparkSession, root: str, table: str, rows: DataFrame, batch: s
     log, names = _log(root, table), _folders(spark, _log(root, table))
     same = [n for n in names if batch and n.partition("-")[2] == batch]
     last = max([int(n.partition("-")[0]) for n in names], default=0)
-    if _exists(spark, f"{log}_compacted/_SUCCESS"):
+    if exists(spark, f"{log}_compacted/_SUCCESS"):
         last = max(last, spark.read.schema("number bigint").parquet(f"{log}_compacted").first()[0])
     name = same[-1] if same else f"{last + 1:012d}" + (f"-{batch}" if batch else "")
     whole = rows.select(*table_schema(table).fieldNames(), deleted.alias("_deleted"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,7 @@ from tollgate.functions import rounded
 from tollgate.operators import iforest, scoring, validate
 from tollgate.operators.timeline import Opening
 from tollgate.plans import warehouse
+from tollgate.streaming import counters
 from tollgate.streaming.features import stream_features
 
 
@@ -42,7 +44,8 @@ def scored_stream(raw: DataFrame, cfg: Config = DEFAULT, opening: Opening | None
 
     Nothing before the keyed state may drop rows below the watermark: late rows have to reach it to be marked.
     """
-    return stream_features(validate.valid_events(validate.check_events(raw)), cfg, opening=opening, recent=recent)
+    checked = counters.observed(validate.check_events(raw))
+    return stream_features(validate.valid_events(checked), cfg, opening=opening, recent=recent)
 
 
 def start_scoring(
@@ -57,7 +60,7 @@ def start_scoring(
 
     Rows are stamped with `run_ts`, by default with the time of their micro-batch. The model score comes from `forest`, or from any column over the feature rows.
 
-    Progress is kept in the checkpoint and advances only after a batch is loaded; a batch is appended under its
+    Counters of every batch are stored beside the tables (`counters`). Progress is kept in the checkpoint and advances only after a batch is loaded; a batch is appended under its
     number and merged by key, so one that is repeated after a failure changes nothing. Late rows go to their own folder.
     """
 
@@ -86,6 +89,9 @@ def start_scoring(
             batch.filter(~F.col("is_late")).drop("is_late"), cfg, ml_score=ml_score, model_version=model_version
         )
         warehouse.load_scored(spark, root, scored, stamp, days_fixed=True, name=f"stream{batch_id}")
+        counters.store_predictions(spark, root, batch_id, scored)
 
-    writer = scored_stream(raw, cfg, opening, recent).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    name = f"scoring-{uuid.uuid4().hex}"
+    raw.sparkSession.streams.addListener(counters.CounterListener(raw.sparkSession, root, name))
+    writer = scored_stream(raw, cfg, opening, recent).writeStream.queryName(name).foreachBatch(load).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()
