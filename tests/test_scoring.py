@@ -38,7 +38,7 @@ def rule(df):
         ({"km": 149.99}, 0.0, 0), ({"km": 150.0}, 0.5, 0), ({"km": 500.0}, 1.0, 1),
         ({"category": "Electronics"}, 0.6, 1), ({"category": "wire_transfer"}, 0.6, 1),
         ({"count": None, "ratio": None, "device": None, "km": None, "category": None}, 0.0, 0),
-        ({"count": 6.0, "ratio": 8.0, "amount": 95000.0, "device": 1.0, "km": 650.0, "category": "electronics"}, 1.0, 5),
+        ({"count": 11.0, "ratio": 12.5, "amount": 210000.0, "device": 1.0, "km": 4321.0, "category": "jewelry"}, 1.0, 5),
     ],
 )
 def test_rules(row, fields, score, reasons):
@@ -104,10 +104,10 @@ def test_alerts(row):
 
 def test_haversine(spark):
     km = spark.range(1).select(
-        haversine_km(F.lit(28.6139), F.lit(77.209), F.lit(51.5074), F.lit(-0.1278)).alias("far"),
+        haversine_km(F.lit(0.0), F.lit(-30.0), F.lit(0.0), F.lit(60.0)).alias("quarter"),
         haversine_km(F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(180.0)).alias("antipode"),
     ).first()
-    assert 6650 < km["far"] < 6750 and km["antipode"] == pytest.approx(20015.09, abs=0.01)
+    assert km["quarter"] == pytest.approx(10007.543, abs=0.01) and km["antipode"] == pytest.approx(20015.09, abs=0.01)
 
 
 def test_rounding_follows_the_binary_value(spark):
