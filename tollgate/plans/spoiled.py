@@ -15,7 +15,7 @@ concat('{"transaction_id":"', transaction_id,
   '","event_time":"', CASE WHEN k = 9 THEN 'yesterday' WHEN k = 14 THEN concat(event_text, 'Z') WHEN k = 15 THEN concat(event_text, '+05:30') ELSE event_text END,
   '","user_id":', CASE WHEN k = 4 THEN '77' ELSE concat('"', user_id, '"') END,
   ',"account_id":"', account_id,
-  '","amount":', CASE WHEN k = 2 THEN '-50.00' WHEN k = 7 THEN concat('"', cast(cast(amount AS decimal(15,2)) AS varchar(30)), '"') WHEN k = 12 THEN '"not_a_number"' ELSE cast(cast(amount AS decimal(15,2)) AS varchar(30)) END,
+  '","amount":', CASE WHEN k = 2 THEN '-17.25' WHEN k = 7 THEN concat('"', cast(cast(amount AS decimal(15,2)) AS varchar(30)), '"') WHEN k = 12 THEN '"plenty"' ELSE cast(cast(amount AS decimal(15,2)) AS varchar(30)) END,
   CASE WHEN k = 5 THEN ',"currency":null' WHEN k = 6 THEN '' ELSE concat(',"currency":"', currency, '"') END,
   CASE WHEN k = 10 THEN '' ELSE concat(',"merchant_id":"', merchant_id, '"') END,
   ',"merchant_category":"', merchant_category, '","payment_method":"', payment_method,
