@@ -97,6 +97,9 @@ class Aligner:
         self.lengths_a, self.lengths_b = (np.array([len(t) for t in side]) for side in (self.bytes_a, self.bytes_b))
         self.names = np.array([str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))], dtype=object)
 
+    def look(self, words: list[str]) -> dict[str, Aligned | None]:
+        return dict(zip(words, self(words), strict=True))
+
     def __call__(self, words: list[str]) -> list[Aligned | None]:
         ids_a = [np.frombuffer(ids, dtype="<u4").astype(np.int64) for ids in self.encode_a.spaced(words)]
         ids_b = [np.array(ids, dtype=np.int64) for ids in self.model.encode(words, num_threads=1)]
@@ -262,11 +265,11 @@ def align_blocks(path_a: str, path_b: str):
         weight = 0
 
         def make():
-            return Aligner(path_a, path_b)
+            return Aligner(path_a, path_b).look
 
         for part in batches:
             cache = shared_cache("aligned", path_a, path_b, make=make, most=KEPT)
-            align = cache.function
+            align = cache.function.__self__
             for start in range(0, part.num_rows, 256):
                 for row in zip(*(c.to_pylist() for c in part.slice(start, 256).columns), strict=True):
                     held.append(row)

@@ -22,7 +22,7 @@ OTHER_BLANKS = [c for c in map(chr, range(0x3001)) if re.match(BLANK, c) and c n
 UNUSUAL = ["\0", *OTHER_BLANKS]  # what a joined word has not, with the added tokens
 #: Fixed value: the pattern of byte-level BPE.
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-LONGEST, MOST = 80, 400_000  # characters of a word that is kept; words of a generation
+LONGEST, MOST = 80, 550_000  # characters of a word that is kept; words of a generation
 JOINED = 20_000  # fresh words in one call of the library
 
 
@@ -38,9 +38,9 @@ def words_of(text: str, lines: bool = False) -> list[str]:
 
 
 class Cache:
-    """Results of a function of lists of words. When the newer generation is full, it becomes the older one."""
+    """Results of a function from distinct words to a dictionary. When the newer generation is full, it becomes the older one."""
 
-    def __init__(self, function: Callable[[list[str]], list[Any]], most: int = MOST):
+    def __init__(self, function: Callable[[list[str]], dict[str, Any]], most: int = MOST):
         self.function, self.most = function, most
         self.newer: dict[str, Any] = {}
         self.older: dict[str, Any] = {}
@@ -56,7 +56,7 @@ class Cache:
         known = missing & self.older.keys()
         self.newer.update((w, self.older[w]) for w in known)
         fresh = list(missing - known)
-        self.newer.update(zip(fresh, self.function(fresh), strict=True))
+        self.newer.update(self.function(fresh))
         self.passing = [w for w in fresh if len(w) > LONGEST]
         return self.newer
 
@@ -64,7 +64,7 @@ class Cache:
 CACHES: dict[tuple, Cache] = {}
 
 
-def shared_cache(*key: Any, make: Callable[[], Callable[[list[str]], list[Any]]], most: int = MOST) -> Cache:
+def shared_cache(*key: Any, make: Callable[[], Callable[[list[str]], dict[str, Any]]], most: int = MOST) -> Cache:
     """The worker's cache of this key; `make` builds its function the first time."""
     if key not in CACHES:
         CACHES[key] = Cache(make(), most)
@@ -132,6 +132,10 @@ class WordEncoder:
         return found
 
     def __call__(self, words: list[str]) -> list[bytes]:
+        found = self.look(words)
+        return [found[w] for w in words]
+
+    def look(self, words: list[str]) -> dict[str, bytes]:
         found: dict[str, bytes] = {}
         every, plain = " ".join(words), words
         if "  " in every or "\n " in every or every[-1:] in " \n" or any(c in every for c in UNUSUAL) or any(a in every for a in self.added):
@@ -141,6 +145,6 @@ class WordEncoder:
             for start in range(0, len(part), JOINED):
                 some = part[start : start + JOINED]
                 found.update(zip(some, self.join(some, "".join(some) if begin == "\n" else " " + " ".join(some)), strict=True))
-        rest = [w for w in words if w not in found]
+        rest = [w for w in words if w not in found] if len(found) < len(words) else []
         found.update(zip(rest, self.texts([w if w[:1] == "\n" else " " + w for w in rest]), strict=True))
-        return [found[w] for w in words]
+        return found

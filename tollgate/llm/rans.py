@@ -14,7 +14,7 @@ import zlib
 
 import numpy as np
 
-BITS, LANES, CHECK = 20, 512, 1 << 17
+BITS, LANES, CHECK = 18, 2048, 1 << 17
 LOW = np.uint64(1 << 31)  # least state
 WORD, MASK = np.uint64(32), np.uint64((1 << 32) - 1)
 SHIFT, SLOT = np.uint64(BITS), np.uint64((1 << BITS) - 1)
@@ -44,12 +44,14 @@ def quantise(counts: np.ndarray) -> np.ndarray:
 
 
 class Table:
-    """Frequencies, their running sums, and the id of each slot."""
+    """Frequencies and their running sums by id; by slot the id, its frequency and the slot's place in it."""
 
     def __init__(self, frequency: np.ndarray):
         self.frequency = np.asarray(frequency, dtype=np.uint64)
         self.start = np.cumsum(self.frequency) - self.frequency
         self.ids = np.repeat(np.arange(len(self.frequency), dtype=np.uint32), self.frequency.astype(np.int64))
+        self.share = self.frequency[self.ids]
+        self.place = np.arange(len(self.ids), dtype=np.uint64) - self.start[self.ids]
 
 
 def checksum(ids: np.ndarray, before: int = 0) -> int:
@@ -110,17 +112,18 @@ def decode(block: bytes, table: Table, first: int = 0, stop: int | None = None)
         (place,) = struct.unpack_from("<I", block, offset)
         offset += 4
     states = np.frombuffer(block, dtype="<u8", count=lanes, offset=offset).astype(np.uint64)
-    out = np.empty(stop - begin, dtype=np.uint32)
+    slots = np.empty(stop - begin, dtype=np.int64)
     for at in range(begin, stop, lanes):
-        width = min(lanes, n - at)
-        x = states[:width]
-        slot = x & SLOT
-        ids = table.ids[slot.astype(np.int64)]
-        x[:] = table.frequency[ids] * (x >> SHIFT) + slot - table.start[ids]
-        low = np.nonzero(x < LOW)[0]
+        x = states[: min(lanes, n - at)]
+        slot = (x & SLOT).view(np.int64)
+        slots[at - begin : at - begin + lanes] = slot[: stop - at]
+        x >>= SHIFT
+        x *= table.share[slot]
+        x += table.place[slot]
+        low = np.flatnonzero(x < LOW)
         x[low] = (x[low] << WORD) | words[place : place + len(low)]
         place += len(low)
-        out[at - begin : at - begin + lanes] = ids[: stop - at]
+    out = table.ids[slots]
     if stop == n and (place != n_words or (states != LOW).any()):
         raise ValueError("a block is damaged")
     if begin == 0 and stop == n and checksum(out) != crc:

@@ -24,16 +24,17 @@ import json
 import zlib
 
 import numpy as np
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tollgate.llm import rans
 from tollgate.llm.common import drop, map_rows, scratch, stored
-from tollgate.llm.pieces import cut, piece_encoder, shared_cache
+from tollgate.llm.pieces import WordEncoder, shared_cache, words_of
 
 BLOCK_IDS, BLOCK_DOCS = 1 << 18, 1 << 14
-TEXTS, CHARACTERS = 256, 2_000_000  # encoded at a time
+TEXTS, CHARACTERS = 512, 1_000_000  # encoded at a time
 TOKENS = "doc_id long, tie long, n_tokens long, ids binary"
 BLOCKS = (
     "part int, block int, first long, n_ids int, first_doc long, continued boolean, doc_ids array<long>, sizes array<int>, payload binary"
@@ -52,25 +53,27 @@ def cuts_at_spaces(path: str) -> bool:
 
 
 def text_encoder(path: str, width: str):
-    """Function from texts to their ids as bytes of integers of `width`."""
+    """Function from texts to their ids as packed integers of `width`."""
     from tokenizers import Tokenizer
 
     def make():
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        if cuts_at_spaces(path):
-            run = piece_encoder(tokenizer)
-            return lambda pieces: [ids.astype(width).tobytes() for ids in run(pieces)]
-        return lambda texts: [np.array(e.ids, dtype=width).tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return WordEncoder(tokenizer, width).look
 
     cache = shared_cache("ids", path, width, make=make)
-    split = cut if cuts_at_spaces(path) else lambda text: [text]
+    encoder = cache.function.__self__
+    if not cuts_at_spaces(path):
+        return encoder.texts
+    first_words = shared_cache("first", path, width, make=lambda: lambda texts: dict(zip(texts, encoder.texts(texts), strict=True)))
 
     def encode(texts: list[str]) -> list[bytes]:
-        pieces = [split(t) for t in texts]
-        known = cache.look_up({p for own in pieces for p in own})
-        return [b"".join([known[p] for p in own]) for own in pieces]
+        words = [words_of(t, lines=True) for t in texts]
+        firsts = [own.pop(0) for own in words]
+        whole = first_words.look_up(set(firsts))
+        known = cache.look_up(set().union(*words))
+        return [whole[first] + b"".join(map(known.__getitem__, own)) for first, own in zip(firsts, words, strict=True)]
 
     return encode
 
@@ -81,12 +84,13 @@ def encode_rows(path: str, end_id: int | None, width: str):
     def run(rows):
         encode = text_encoder(path, width)
         end = b"" if end_id is None else np.array([end_id], dtype=width).tobytes()
-        size, held, weight = len(np.array([0], dtype=width).tobytes()), [], 0
+        size, held, weight = np.dtype(width).itemsize, [], 0
+        compress = zstandard.ZstdCompressor(level=1).compress
 
         def finish():
             for (doc_id, tie, _), ids in zip(held, encode([r[2] for r in held]), strict=True):
                 ids += end
-                yield doc_id, tie, len(ids) // size, zlib.compress(ids, 1)
+                yield doc_id, tie, len(ids) // size, compress(ids)
 
         for doc_id, tie, text in rows:
             held.append((doc_id, tie, text or ""))
@@ -103,9 +107,15 @@ def counts_of(width: str, n_ids: int):
     """(id, count) of a partition's ids."""
 
     def run(rows):
-        counts = np.zeros(n_ids, dtype=np.int64)
+        counts, held, weight = np.zeros(n_ids, dtype=np.int64), [], 0
+        decompress = zstandard.ZstdDecompressor().decompress
         for (ids,) in rows:
-            counts += np.bincount(np.frombuffer(zlib.decompress(ids), dtype=width), minlength=n_ids)
+            held.append(decompress(ids))
+            weight += len(held[-1])
+            if weight > 1 << 22:
+                counts += np.bincount(np.frombuffer(b"".join(held), dtype=width), minlength=n_ids)
+                held, weight = [], 0
+        counts += np.bincount(np.frombuffer(b"".join(held), dtype=width), minlength=n_ids)
         for i in np.nonzero(counts)[0].tolist():
             yield i, int(counts[i])
 
@@ -117,6 +127,7 @@ def code_blocks(frequency: np.ndarray, width: str, block_ids: int, block_docs: i
 
     def run(rows):
         table, part = rans.Table(frequency), TaskContext.get().partitionId()
+        decompress = zstandard.ZstdDecompressor().decompress
         block = first = first_doc = held = 0
         continued, ids, doc_ids, sizes = False, [], [], []
 
@@ -124,7 +135,7 @@ def code_blocks(frequency: np.ndarray, width: str, block_ids: int, block_docs: i
             return part, block, first, held, first_doc, continued, doc_ids, sizes, rans.encode(np.concatenate(ids), table)
 
         for doc_id, packed in rows:
-            own = np.frombuffer(zlib.decompress(packed), dtype=width)
+            own = np.frombuffer(decompress(packed), dtype=width)
             at = 0
             while at < len(own) or not len(own):
                 taken = own[at : at + block_ids - held]
