@@ -104,6 +104,15 @@ def test_wide_links_connect_what_shares_a_key(spark, monkeypatch, bucket_rows, s
     assert partition_of(got, range(len(fps))) == partition_of(true, range(len(fps)))
 
 
+def test_fingerprints_within_three_bits_are_candidates(spark):
+    """SimHash fingerprints meet in their Golay keys, with or without a band in common."""
+    rng = random.Random(21)
+    fps = [[rng.getrandbits(64) - (1 << 63) for _ in range(4)] for _ in range(40)]
+    fps += [[word ^ sum(1 << b for b in rng.sample(range(63), 3)) if w == 0 else word for w, word in enumerate(own)] for own in fps]
+    nodes = spark.createDataFrame([(n, own, [n]) for n, own in enumerate(fps)], "node long, fps array<long>, keys array<long>")
+    assert sorted(tuple(r) for r in simhash.candidates(nodes, 4).collect()) == [(n, n + 40) for n in range(40)]
+
+
 def test_edges_over_batches():
     """Runs that go on over batches of rows are one bucket."""
     rng = random.Random(4)

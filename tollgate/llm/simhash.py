@@ -339,9 +339,14 @@ def set_edges(rows):
 
 
 def candidates(nodes: DataFrame, words: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """(a, b): edges that connect the nodes of a table (node, fps, keys) which share a key and differ in at most SHARE_LOOSE of their bits."""
-    rows = nodes.select(F.explode("keys").alias("key"), "node", *[F.get("fps", F.lit(w)).alias(f"w{w}") for w in range(words)])
-    sampled = rows.filter(F.pmod(F.xxhash64("node"), F.lit(SAMPLE)) == 0)
+    """(a, b): edges that connect the nodes of a table (node, fps, keys) which share a key and differ in at most SHARE_LOOSE of their bits.
+
+    Keys are the Golay keys of the first word, in which SimHash fingerprints within three bits meet, and the bands.
+    """
+    bands = nodes.select(F.explode("keys").alias("key"), "node", *[F.get("fps", F.lit(w)).alias(f"w{w}") for w in range(words)])
+    rows = wide_rows(nodes, words, 1).unionByName(bands)
+    one_of = F.pmod(F.xxhash64("node"), F.lit(SAMPLE)) == 0
+    sampled = wide_rows(nodes.filter(one_of), words, 1).unionByName(bands.filter(one_of))
     return bucket_links(rows, sampled, words, SHARE_LOOSE, bucket_rows)
 
 
@@ -373,8 +378,8 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, words: int = 4, doc_
     """One row of each component, that with the least id; all columns stay.
 
     Links join texts whose sets of shingles have a Jaccard similarity of 0.8 or more, counted exactly. Candidates are sets
-    that share a band of least hashes and differ in few bits of the longer fingerprint; their clusters get the sets
-    themselves. Equal sets (so equal texts, and all blank ones) are one node before that. Rows without an id go by their
+    whose SimHash fingerprints meet in a Golay key, or that share a band of least hashes, and that differ in few bits of the
+    longer fingerprint; their clusters get the sets themselves. Equal sets (so equal texts, and all blank ones) are one node before that. Rows without an id go by their
     text's hash. Rows with one id and unlike texts are rows of their own: each stays unless it is near a row before it.
     """
     marked = docs.withColumns({"_own": F.coalesce(F.col(doc_id), F.xxhash64(text)), "_own_hash": F.xxhash64(text)})
