@@ -173,6 +173,60 @@ def test_only_the_minutes_needed_are_read(monkeypatch):
     assert processor.past["v"][0] + sum(m[1] for m in processor.past["v"][-1]) == 300
 
 
+@pytest.mark.parametrize(("run", "sights"), [(128, 64), (3, 2)])
+def test_calls_of_the_state(monkeypatch, run, sights):
+    """A user with few events needs few calls, whatever the minutes; small runs and first sights in the map give the same."""
+    from pyspark.sql import Row
+
+    from tollgate.streaming import features as keyed
+
+    class State(dict):
+        calls = 0
+
+        def exists(self):
+            State.calls += 1
+            return "v" in self
+
+        def get(self, key="v"):
+            return self.getValue(key)
+
+        def update(self, value):
+            self.updateValue("v", value)
+
+        def getValue(self, key):
+            State.calls += 1
+            return dict.get(self, key)
+
+        def updateValue(self, key, value):
+            State.calls += 1
+            self[key] = tuple(list(v) if isinstance(v, list) else v for v in value)
+
+        def removeKey(self, key):
+            State.calls += 1
+            del self[key]
+
+    def answers() -> tuple[list, list]:
+        processor, rng, rows, calls = keyed.KeyedFeatures(), random.Random(8), [], []
+        processor.past, processor.minutes, processor.seen = State(), State(), State()
+        clock = type("Clock", (), {"getCurrentWatermarkInMs": lambda self: self.ms})()
+        fields = ["_us", "_arrival", *TXN_COLUMNS]
+        for batch in range(6):  # twenty minutes each, ten hours apart; some ids twice, some rows at one time, some late
+            given = [txn(f"t{batch}-{rng.randint(0, 17)}", 36_000 * batch + 60 * rng.randint(-700 if batch == 3 else 0, 59), amount=rng.randint(1, 999) / 4,
+                         device_id=f"d{rng.randint(0, 4)}", city=rng.choice("ABC"), latitude=float(rng.randint(0, 50))) for _ in range(20)]
+            stamped = [Row(*fields)(round(r["event_time"].timestamp() * 1e6), n, *(r[c] for c in TXN_COLUMNS)) for n, r in enumerate(given)]
+            clock.ms = 0 if not batch else round((T0 + timedelta(seconds=36_000 * (batch - 1) + 2940)).timestamp() * 1000)
+            State.calls = 0
+            rows += [tuple(r) for r in processor.handleInputRows(("u1",), iter(stamped), clock)]
+            calls.append(State.calls)
+        return rows, calls
+
+    want, calls = answers()
+    assert max(calls) <= 5 and any(r[-1] for r in want) and len(want) < 120
+    monkeypatch.setattr(keyed, "RUN", run)
+    monkeypatch.setattr(keyed, "SIGHTS", sights)
+    assert answers()[0] == want
+
+
 def test_sliding_windows_equal_batch(spark, streams, tmp_path):
     slices = random_slices(5)
     for i, rows in enumerate(slices):
