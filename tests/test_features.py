@@ -129,3 +129,14 @@ def test_vector_and_single_shuffle(frame):
     plan = tx._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1, plan
     assert "Python" not in plan
+
+
+@pytest.mark.parametrize(("asked", "used"), [("64MB", 16 << 20), ("1g", 16 << 20), ("67108864b", 16 << 20), ("8m", 8 << 20), ("16k", 16 << 10)])
+def test_partitions_of_a_task_are_bounded(spark, asked, used):
+    """Partitions are merged up to a size that bounds a task's memory, whatever the input; smaller ones asked for stay."""
+    from tollgate import session
+
+    own = spark.newSession()
+    own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", asked)
+    session.configure(own)
+    assert session._bytes(own.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) == used
