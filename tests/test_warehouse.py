@@ -242,3 +242,12 @@ def test_registry_and_gate(spark):
         registry.update_status(runs, "v1", "BEST")
     with pytest.raises(KeyError):
         registry.update_status(runs, "v9", "RETIRED")
+
+
+def test_ids_are_made_unique_once(spark, frame, tmp_path, monkeypatch):
+    """What the three tables are written from is read from the cache, with no shuffle of its own."""
+    plans = []
+    monkeypatch.setattr(warehouse, "upsert", lambda spark, root, table, batch, **kw: plans.append(batch._jdf.queryExecution().executedPlan().toString()))
+    rows = scoring.score(add_features(frame([txn("a", 0), txn("b", 5)]))).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    assert warehouse.load_scored(spark, str(tmp_path), rows, "2026-08-11 10:00:00", version=["copy"]) == 4
+    assert len(plans) == 3 and not any("Exchange" in plan.split("InMemoryRelation")[0] for plan in plans)
