@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tollgate.llm import golay, simhash
 from tollgate.llm.catalog import QUERIES
+from tollgate.llm.common import stored
 from tollgate.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -136,6 +137,27 @@ def test_components(spark, edges):
     assert got == root
 
 
+def test_components_join_an_edge_a_node(spark, monkeypatch):
+    """Nodes that many groups join to different nodes: what the rounds join grows with the nodes."""
+    rng = random.Random(6)
+    nodes = list(range(800))
+    groups = [rng.sample(nodes, 100) for _ in range(200)]
+    edges = [(min(g), n) for g in groups for n in g if n != min(g)]
+    assert len(set(edges)) > 8 * len(nodes)
+    kept = []
+
+    def keep(df, name):
+        out = stored(df, name)
+        kept.append((name, out))
+        return out
+
+    monkeypatch.setattr("tollgate.llm.components.stored", keep)
+    roots = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert roots == dict.fromkeys({n for e in edges for n in e}, 0)
+    joined = [t for name, t in kept if name == "edges"][-1]
+    assert joined.count() <= 3 * len(nodes)
+
+
 def test_query_against_brute_force(spark):
     rows = QUERIES["op6_simhash_golay"](spark, SF).collect()
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
