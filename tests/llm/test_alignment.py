@@ -105,6 +105,26 @@ def test_large_groups(monkeypatch, size):
     assert again == expected
 
 
+@pytest.mark.parametrize("size", [0, alignment.LARGE])
+def test_words_of_a_call(monkeypatch, size):
+    """Words laid end to end are aligned as each alone, and those whose tokens don't give their bytes stand apart."""
+    monkeypatch.setattr(alignment, "LARGE", size)
+    aligner = alignment.Aligner(A, B)
+    words = ["plain", "a" * 30, "Ünïcödé", "no\u00a0 such", "", "xyzzyqwrtp", "two\nlines", "漢字🎉", "x"]
+    together = aligner(words)
+    assert together == [one for w in words for one in aligner([w])]
+    assert None in together and aligner([]) == []
+    assert all(i is None or len(i.sizes) == 32 for i in together)
+
+
+def test_blocks_are_made_without_collection():
+    import gc
+
+    with alignment.uncollected():
+        assert not gc.isenabled()
+    assert gc.isenabled()
+
+
 def pairs_of(item):
     import numpy as np
 

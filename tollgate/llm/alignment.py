@@ -17,9 +17,13 @@ count and each get their row. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -57,14 +61,25 @@ def sentence_tokens(model) -> list[bytes]:
     return [content(i) for i in range(model.get_piece_size())]
 
 
-class Aligned:
-    """Numbers of tokens, groups and links of a word; its id pairs, packed, one per link or with how often each is linked; and
+class Aligned(NamedTuple):
+    """Numbers of tokens, groups and links of a word, packed; its id pairs, packed, one per link or with how often each is linked; and
     its groups as text."""
 
-    __slots__ = ("sizes", "pairs", "times", "groups")
+    sizes: bytes
+    pairs: bytes
+    times: bytes
+    groups: str
 
-    def __init__(self, sizes: tuple[int, int, int, int], pairs: bytes, times: bytes, groups: str):
-        self.sizes, self.pairs, self.times, self.groups = sizes, pairs, times, groups
+
+NOTHING = Aligned(bytes(32), b"", b"", "")
+
+
+#: Before a token's id: of the same side of a group, of a next group, of the other side, of a next word, at the start.
+SIGNS = np.array([",", ";", "|", "\n", ""], dtype=object)
+
+
+def sizes_of(values: list) -> np.ndarray:
+    return np.fromiter(map(len, values), dtype=np.int64, count=len(values))
 
 
 def counted(groups: list[tuple[list[int], list[int]]]) -> tuple[bytes, bytes]:
@@ -101,66 +116,73 @@ class Aligner:
         return dict(zip(words, self(words), strict=True))
 
     def __call__(self, words: list[str]) -> list[Aligned | None]:
-        ids_a = [np.frombuffer(ids, dtype="<u4").astype(np.int64) for ids in self.encode_a.spaced(words)]
-        ids_b = [np.array(ids, dtype=np.int64) for ids in self.model.encode(words, num_threads=1)]
+        if not words:
+            return []
+        packed = self.encode_a.spaced(words)
+        a, n_a = np.frombuffer(b"".join(packed), dtype="<u4").astype(np.int64), sizes_of(packed) // 4
+        listed = self.model.encode(words, num_threads=1)
+        n_b = sizes_of(listed)
+        b = np.fromiter(chain.from_iterable(listed), dtype=np.int64, count=int(n_b.sum()))
         texts = [b" " + w.encode() for w in words]
         good = np.ones(len(words), dtype=bool)
-        for ids, tokens in ((ids_a, self.bytes_a), (ids_b, self.bytes_b)):
-            if b"".join([tokens[i] for own in ids for i in own.tolist()]) != b"".join(texts) or not self.ends_fit(ids, tokens, texts):
-                good &= [b"".join([tokens[i] for i in own.tolist()]) == text for own, text in zip(ids, texts, strict=True)]
-        places = np.flatnonzero(good).tolist()
+        sides = (a, n_a, self.bytes_a, self.lengths_a), (b, n_b, self.bytes_b, self.lengths_b)
+        whole, ends = b"".join(texts), np.cumsum(sizes_of(texts))
+        for ids, sizes, tokens, lengths in sides:
+            sums = np.concatenate([[0], np.cumsum(lengths[ids])])[np.cumsum(sizes)]
+            if not np.array_equal(sums, ends) or b"".join([tokens[i] for i in ids.tolist()]) != whole:
+                stops = np.cumsum(sizes).tolist()
+                own = [ids[start:stop].tolist() for start, stop in zip([0, *stops], stops, strict=False)]
+                good &= [b"".join([tokens[i] for i in of]) == text for of, text in zip(own, texts, strict=True)]
+        if good.all():
+            return self.align(a, n_a, b, n_b)
         out: list[Aligned | None] = [None] * len(words)
-        if places:
-            for place, one in zip(places, self.align([ids_a[i] for i in places], [ids_b[i] for i in places]), strict=True):
+        if good.any():
+            found = self.align(a[np.repeat(good, n_a)], n_a[good], b[np.repeat(good, n_b)], n_b[good])
+            for place, one in zip(np.flatnonzero(good).tolist(), found, strict=True):
                 out[place] = one
         return out
 
-    def ends_fit(self, ids: list[np.ndarray], tokens: list[bytes], texts: list[bytes]) -> bool:
-        lengths = self.lengths_a if tokens is self.bytes_a else self.lengths_b
-        sums = np.concatenate([[0], np.cumsum(lengths[np.concatenate(ids)])])[np.cumsum([len(own) for own in ids])] if ids else []
-        return np.array_equal(sums, np.cumsum([len(t) for t in texts]))
-
-    def align(self, ids_a: list[np.ndarray], ids_b: list[np.ndarray]):
-        a, b = np.concatenate(ids_a), np.concatenate(ids_b)
+    def align(self, a: np.ndarray, own_a: np.ndarray, b: np.ndarray, own_b: np.ndarray) -> list[Aligned]:
+        """Of the ids of some words, laid end to end, and their numbers by word."""
         ends_a, ends_b = np.cumsum(self.lengths_a[a]), np.cumsum(self.lengths_b[b])
-        common = np.intersect1d(ends_a, ends_b)
+        common = ends_a[ends_b[np.minimum(np.searchsorted(ends_b, ends_a), len(ends_b) - 1)] == ends_a]
+        common = common[np.diff(common, prepend=-1) > 0]
         group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
         n_a, n_b = np.bincount(group_a, minlength=len(common)), np.bincount(group_b, minlength=len(common))
         starts_b = np.cumsum(n_b) - n_b
-        # the words' ends among groups, tokens and links
-        last_a = np.cumsum([len(own) for own in ids_a])
+        # the words' ends among groups and links
+        last_a = np.cumsum(own_a)
         groups = group_a[last_a - 1] + 1
         links = n_a * n_b
         small = links <= LARGE
-        n_links = np.cumsum(np.where(small, links, 0))[groups - 1]
 
         wide = np.where(small[group_a], n_b[group_a], 0)
         first = np.repeat(starts_b[group_a] - (np.cumsum(wide) - wide), wide) + np.arange(int(wide.sum()))
         packed = (np.repeat(a, wide) << 32 | b[first]).astype("<i8").tobytes()
-
-        # the groups as text: each token behind its sign
+        stops = (8 * np.cumsum(np.where(small, links, 0))[groups - 1]).tolist()
+        pairs = [packed[start:stop] for start, stop in zip([0, *stops], stops, strict=False)]
+        times = [b""] * len(pairs)
+        for word in np.unique(np.searchsorted(groups, np.flatnonzero(~small), side="right")).tolist():
+            low, high = groups[word - 1] if word else 0, groups[word]
+            (from_a, to_a), (from_b, to_b) = (np.searchsorted(side, [low, high]) for side in (group_a, group_b))
+            sides = (a[from_a:to_a], group_a[from_a:to_a]), (b[from_b:to_b], group_b[from_b:to_b])
+            pairs[word], times[word] = counted([tuple(x[g == i].tolist() for x, g in sides) for i in range(low, high)])
+
+        # the groups as text: each token behind its sign, words behind line ends
         both = np.concatenate([a, b])
-        group = np.concatenate([group_a, group_b])
-        order = np.lexsort((np.arange(len(both)), group))  # a's tokens of a group, then b's
+        order = np.argsort(np.concatenate([group_a, group_b]), kind="stable")  # a's tokens of a group, then b's
         opens_a = np.concatenate([[True], group_a[1:] != group_a[:-1]])
         opens_b = np.concatenate([[True], group_b[1:] != group_b[:-1]])
-        opens_word = np.zeros(len(a), dtype=bool)
-        opens_word[np.concatenate([[0], last_a[:-1]])] = True
-        signs = np.concatenate([np.where(opens_word, "", np.where(opens_a, ";", ",")), np.where(opens_b, "|", ",")]).astype(object)
-        parts = (signs[order] + self.names[both[order]]).tolist()
-        n_parts = np.cumsum(n_a + n_b)[groups - 1]
-
-        before_group = before_link = before_part = 0
-        sizes = zip(np.diff(last_a, prepend=0).tolist(), np.diff(np.cumsum(n_b)[groups - 1], prepend=0).tolist(), groups.tolist(), n_links.tolist(), n_parts.tolist(), strict=True)
-        total = np.concatenate([[0], np.cumsum(links)]).tolist()
-        large = set(np.flatnonzero(~small).tolist())
-        for own_a, own_b, group, link, part in sizes:
-            pairs, times = packed[8 * before_link : 8 * link], b""
-            if large and not large.isdisjoint(range(before_group, group)):
-                sides = [[x[(g >= before_group) & (g < group)], g[(g >= before_group) & (g < group)]] for x, g in ((a, group_a), (b, group_b))]
-                pairs, times = counted([tuple(x[g == i].tolist() for x, g in sides) for i in range(before_group, group)])
-            yield Aligned((own_a, own_b, group - before_group, total[group] - total[before_group]), pairs, times, "".join(parts[before_part:part]))
-            before_group, before_link, before_part = group, link, part
+        signs = np.concatenate([np.where(opens_a, 1, 0), np.where(opens_b, 2, 0)])
+        signs[last_a[:-1]] = 3
+        signs[0] = 4
+        parts = np.empty(2 * len(both), dtype=object)
+        parts[0::2], parts[1::2] = SIGNS[signs[order]], self.names[both[order]]
+        texts = "".join(parts.tolist()).split("\n")
+
+        n_links = np.diff(np.cumsum(links)[groups - 1], prepend=0)
+        sizes = np.column_stack([own_a, own_b, np.diff(groups, prepend=0), n_links]).astype("<i8").tobytes()
+        return list(map(Aligned._make, zip([sizes[at : at + 32] for at in range(0, len(sizes), 32)], pairs, times, texts, strict=True)))
 
 
 class Block:
@@ -168,37 +190,37 @@ class Block:
 
     def __init__(self, texts: list[str], copies: np.ndarray, align, cache):
         words = [words_of(t) for t in texts]
-        every = {w for own in words for w in own}
+        every = set(chain.from_iterable(words))
         known = cache.look_up(every)
         number = {w: n for n, w in enumerate(every)}
         items = [known[w] for w in every]
-        rows = [[number[w] for w in own] for own in words]
+        rows = [[*map(number.__getitem__, own)] for own in words]
         if None in items:
             for i, own in enumerate(rows):
                 if any(items[n] is None for n in own):
                     (whole,) = align([texts[i]])
                     rows[i] = [] if whole is None else [len(items)]
                     items += [] if whole is None else [whole]
-        self.groups = [hashlib.sha256(";".join([items[n].groups for n in own]).encode()).hexdigest() if own else "" for own in rows]
+        sizes, pairs, weighted, groups = zip(*[i or NOTHING for i in items], strict=True) if items else ((), (), (), ())
+        self.groups = [hashlib.sha256(";".join(map(groups.__getitem__, own)).encode()).hexdigest() if own else "" for own in rows]
 
         # how often each text has each piece
         n, base = len(texts), max(1, len(items))
-        flat = np.fromiter((x for own in rows for x in own), dtype=np.int64, count=sum(map(len, rows)))
-        keys, times = np.unique(np.repeat(np.arange(n), [len(own) for own in rows]) * base + flat, return_counts=True)
+        flat = np.fromiter(chain.from_iterable(rows), dtype=np.int64, count=sum(map(len, rows)))
+        keys, times = np.unique(np.repeat(np.arange(n), sizes_of(rows)) * base + flat, return_counts=True)
         text, item = np.divmod(keys, base)
-        sizes = np.array([(0, 0, 0, 0) if i is None else i.sizes for i in items], dtype=np.int64).reshape(-1, 4)
-        self.sizes = np.zeros((n, 4), dtype=np.int64)
-        np.add.at(self.sizes, text, sizes[item] * times[:, None])
+        sums = np.cumsum(np.frombuffer(b"".join(sizes), dtype="<i8").reshape(-1, 4)[item] * times[:, None], axis=0)
+        stops = np.searchsorted(text, np.arange(n), side="right")
+        self.sizes = np.diff(np.concatenate([np.zeros((1, 4), dtype=np.int64), sums])[stops], axis=0, prepend=0)
 
         # how often each text has each pair
-        pairs = [b"" if i is None else i.pairs for i in items]
-        lengths = np.array([len(p) // 8 for p in pairs], dtype=np.int64)
+        lengths = sizes_of(pairs) // 8
         starts = np.cumsum(lengths) - lengths
         self.pairs, numbers = np.unique(np.frombuffer(b"".join(pairs), dtype="<i8"), return_inverse=True)
         weights = np.ones(int(lengths.sum()), dtype=np.int64)
-        for i, start in zip(items, starts.tolist(), strict=True):
-            if i is not None and i.times:
-                weights[start : start + len(i.pairs) // 8] = np.frombuffer(i.times, dtype="<i8")
+        if any(weighted):
+            for own, start in zip(weighted, starts.tolist(), strict=True):
+                weights[start : start + len(own) // 8] = np.frombuffer(own, dtype="<i8")
         taken = lengths[item]
         places = np.repeat(starts[item] - (np.cumsum(taken) - taken), taken) + np.arange(int(taken.sum()))
         linked = np.repeat(times, taken) * weights[places]
@@ -215,6 +237,18 @@ class Block:
         self.links = [pack(pair[a:b], linked[a:b]) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
 
 
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """Without the search for reference cycles: a block makes hundreds of thousands of tuples and no cycle."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def pack(pairs: np.ndarray, times: np.ndarray) -> bytes:
     """Ascending numbers and what belongs to them, as steps and values of the least width that holds them all."""
     steps = np.diff(pairs, prepend=0)
@@ -242,7 +276,8 @@ def align_blocks(path_a: str, path_b: str):
         return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(rows, f.type)) for f in schema], schema=schema)
 
     def finish(held: list[tuple[bytes, int, str]], align, cache) -> Iterator[pa.RecordBatch]:
-        block = Block([t for _, _, t in held], np.array([c for _, c, _ in held], dtype=np.int64), align, cache)
+        with uncollected():
+            block = Block([t for _, _, t in held], np.array([c for _, c, _ in held], dtype=np.int64), align, cache)
         # of distinct texts, a digest names its block
         name = xxhash.xxh64_intdigest(held[0][0]) - (1 << 63)
         sizes = {n: pa.array(block.sizes[:, i]) for i, n in enumerate(("n_a", "n_b", "n_groups", "n_links"))}
