@@ -7,7 +7,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from naive import features
 
-from tollgate.config import FEATURE_NAMES, Config
+from tollgate.config import DEFAULT, FEATURE_NAMES, Config
+from tollgate.operators import timeline
 from tollgate.operators.features import add_features, bounded_window_features, feature_vector
 from tollgate.operators.timeline import find_hot_users
 
@@ -131,6 +132,19 @@ def test_vector_and_single_shuffle(frame):
     assert "Python" not in plan
 
 
+@pytest.mark.parametrize("cfg", [DEFAULT, Config(hot_user_rows=30, chunk_rows=2)])
+def test_tasks_follow_the_rows(frame, monkeypatch, cfg):
+    """Beyond the session's shuffle partitions, a task still gets no more rows."""
+    tx = frame(random_rows(11, 400)).persist()
+    plain = sorted(map(str, add_features(tx, cfg).collect()))
+    monkeypatch.setattr(timeline, "TASK_ROWS", 10)
+    tasks = -(-tx.count() // 10)
+    assert tasks > timeline.shuffle_partitions(tx)
+    more = add_features(tx, cfg)
+    assert re.search(rf"Exchange hashpartitioning\(user_id[^)]*, {tasks}\)", more._jdf.queryExecution().executedPlan().toString())
+    assert sorted(map(str, more.collect())) == plain
+
+
 @pytest.mark.parametrize(("asked", "used"), [("64MB", 16 << 20), ("1g", 16 << 20), ("67108864b", 16 << 20), ("8m", 8 << 20), ("16k", 16 << 10)])
 def test_partitions_of_a_task_are_bounded(spark, asked, used):
     """Partitions are merged up to a size that bounds a task's memory, whatever the input; smaller ones asked for stay."""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tollgate.config import DEFAULT, HIGH_RISK_CATEGORIES, Config
 from tollgate.functions import rounded
 from tollgate.operators.features import distance_from_last
-from tollgate.operators.timeline import MICROS, find_hot_users, micros, prior_profile, with_lookback
+from tollgate.operators.timeline import MICROS, count_rows, find_hot_users, micros, prior_profile, with_lookback
 
 
 def velocity_escalation(tx: DataFrame, max_gap_s: int = 45, cfg: Config = DEFAULT) -> DataFrame:
@@ -39,7 +39,8 @@ def amount_spike(features: DataFrame, min_amount: float = 95_000.0, min_ratio: f
 
 def impossible_travel(tx: DataFrame, max_kmh: float = 900.0, cfg: Config = DEFAULT) -> DataFrame:
     """Faster than any flight since the previous transaction."""
-    known = prior_profile(tx, hot=find_hot_users(tx, cfg), last=True)
+    hot, rows = count_rows(tx, cfg)
+    known = prior_profile(tx, hot=hot, rows=rows, last=True)
     seconds = (F.col("_us") + F.col("_last.neg_us")) / float(MICROS)
     moved = known.filter(F.col("_n") > 0).select(
         *tx.columns, distance_from_last().alias("km"), seconds.alias("seconds")
@@ -54,7 +55,8 @@ def new_device_high_value(features: DataFrame, min_amount: float = 65_000.0) ->
 
 def merchant_shift(tx: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """First visit of a user with a past to a high-risk category."""
-    known = prior_profile(tx, hot=find_hot_users(tx, cfg), novelty=("merchant_category",))
+    hot, rows = count_rows(tx, cfg)
+    known = prior_profile(tx, hot=hot, rows=rows, novelty=("merchant_category",))
     risky = F.lower("merchant_category").isin(*HIGH_RISK_CATEGORIES)
     return known.filter((F.col("_new_merchant_category") == 1.0) & risky).select(*tx.columns)
 
@@ -64,7 +66,8 @@ def burst(
 ) -> DataFrame:
     """A micro-payment that is at least the `min_count`-th within the time span."""
     small = tx.filter(F.col("amount") < max_amount)
-    known = prior_profile(small, hot=find_hot_users(small, cfg), count_spans=(seconds,))
+    hot, rows = count_rows(small, cfg)
+    known = prior_profile(small, hot=hot, rows=rows, count_spans=(seconds,))
     count = F.col(f"_cnt_{seconds}") + 1
     return known.select(*tx.columns, count.alias("payments_in_span")).filter(
         F.col("payments_in_span") >= min_count
