@@ -68,6 +68,34 @@ def test_cache_generations(monkeypatch):
     assert asked.count("a") == 1 and "x" * 100 not in cache.newer and len(cache.newer) + len(cache.older) <= 8
 
 
+def test_words_of_a_call_are_looked_up_once(monkeypatch):
+    """However often words repeat, through changes of generation; long ones leave nothing behind."""
+    asked: list[str] = []
+
+    def ids_of(words):
+        asked.extend(words)
+        return {w: w.encode("utf-16-le") for w in words}
+
+    class Counted(pieces.Numbers):
+        def __getitem__(self, word):
+            looked_up.extend([word] * (self is cache.newer))
+            return super().__getitem__(word)
+
+    monkeypatch.setattr(pieces, "Numbers", Counted)
+    cache = pieces.IdCache(ids_of, "<u2", most=40)
+    rng, long, looked_up = random.Random(3), "y" * 300, []
+    for call in range(30):
+        texts = [" ".join(rng.choice(["a", "bc", "é", long, *(f"w{call + i}" for i in range(9))]) for _ in range(rng.choice([1, 2, 200]))) for _ in range(7)]
+        del looked_up[:]
+        firsts, others = pieces.split_texts(texts, False)
+        got = cache([" " + f for f in firsts], others)
+        assert [g.decode("utf-16-le") for g in got] == [" " + "".join(t.split(" ")) for t in texts]
+        assert len(looked_up) <= len(firsts) + len({w for t in texts for w in t.split(" ")[1:]})
+        assert long not in cache.newer and cache.newer.used < 300 and len(cache.newer) <= 40 + 30
+    assert asked.count("bc") < 5 and asked.count(long) > 5
+    assert cache([], pieces.split_texts([], False)[1]) == []
+
+
 @pytest.mark.parametrize("n", [0, 1, 5, 511, 512, 513, 1024, 5000])
 def test_round_trip(n):
     rng = np.random.default_rng(n)

@@ -10,9 +10,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from itertools import chain
 from typing import Any
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: White space of both tokenizers and sentencepiece's own sign for a space, beside which nothing is cut.
@@ -24,17 +27,37 @@ UNUSUAL = ["\0", *OTHER_BLANKS]  # what a joined word has not, with the added to
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 LONGEST, MOST = 80, 550_000  # characters of a word that is kept; words of a generation
 JOINED = 20_000  # fresh words in one call of the library
+GATHERED = 1 << 18  # words whose ids are gathered at a time
 
 
 def words_of(text: str, lines: bool = False) -> list[str]:
     """The first word and the others without the space they are cut at. With `lines`, the text is also cut before single
     line ends between words, which stay: such words begin with \\n."""
-    if "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " " or any(c in text for c in OTHER_BLANKS):
+    if has_odd_blanks(text):
         first, *others = PIECE.findall(text) or [""]
         return [first, *(p[1:] for p in others)]
-    if lines and "\n" in text and "\n\n" not in text and text[0] != "\n" and text[-1] != "\n":
-        text = text.replace("\n", " \n")
-    return text.split(" ")
+    return (spaced_lines(text) if lines else text).split(" ")
+
+
+def has_odd_blanks(text: str) -> bool:
+    return "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " " or any(c in text for c in OTHER_BLANKS)
+
+
+def spaced_lines(text: str) -> str:
+    """The text with a space before each line end, if all of them are single ones between words."""
+    if "\n" in text and "\n\n" not in text and text[0] != "\n" and text[-1] != "\n":
+        return text.replace("\n", " \n")
+    return text
+
+
+def split_texts(texts: list[str], odd: bool) -> tuple[list[str], pa.ListArray]:
+    """`words_of`, with lines, of texts that all have odd blanks or all have none: the first words and the others."""
+    if odd:
+        words = [words_of(t, lines=True) for t in texts]
+        return [w[0] for w in words], pa.array([w[1:] for w in words], pa.list_(pa.large_string()))
+    parts = [spaced_lines(t).partition(" ") for t in texts]
+    others = pc.split_pattern(pa.array([rest if space else None for _, space, rest in parts], pa.large_string()), " ")
+    return [p[0] for p in parts], others
 
 
 class Cache:
@@ -61,7 +84,82 @@ class Cache:
         return self.newer
 
 
-CACHES: dict[tuple, Cache] = {}
+class Numbers(dict):
+    """Words' numbers, given at the first look-up, and the packed ids of all of them in one array; `starts` and `sizes` are by number."""
+
+    def __init__(self, width: str):
+        super().__init__()
+        self.fresh: list[str] = []  # numbered, their ids not known yet
+        self.given = self.used = 0
+        self.ids, self.starts, self.sizes = np.zeros(1 << 16, width), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = self.given
+        self.given += 1
+        self.fresh.append(word)
+        return number
+
+    def add(self, found: dict[str, bytes]) -> list[str]:
+        """Places the ids of the fresh words and returns the long ones. Their ids stand behind the others, and the next call overwrites them."""
+        words, self.fresh = self.fresh, []
+        long = [w for w in words if len(w) > LONGEST]
+        order = np.argsort([len(w) > LONGEST for w in words], kind="stable") if long else np.arange(len(words))
+        data = [found[words[i]] for i in order.tolist()] if long else [found[w] for w in words]
+        sizes = np.fromiter(map(len, data), np.int64, len(data)) // self.ids.itemsize
+        ends = self.used + np.cumsum(sizes)
+        stop, numbers = int(ends[-1]), self.given - len(words) + order
+        if stop > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(2 * stop - self.used, self.ids.dtype)])
+        if self.given > len(self.sizes):
+            self.starts, self.sizes = (np.concatenate([a, np.zeros(2 * self.given - len(a), np.int64)]) for a in (self.starts, self.sizes))
+        self.ids[self.used : stop] = np.frombuffer(b"".join(data), self.ids.dtype)
+        self.starts[numbers], self.sizes[numbers] = ends - sizes, sizes
+        self.used = int(ends[len(words) - len(long) - 1]) if len(long) < len(words) else self.used
+        return long
+
+    def known(self, word: str) -> bytes:
+        start = self.starts[self[word]]
+        return self.ids[start : start + self.sizes[self[word]]].tobytes()
+
+    def gather(self, numbers: np.ndarray) -> bytes:
+        sizes = self.sizes[numbers]
+        stops = np.cumsum(sizes)
+        return self.ids[np.arange(sizes.sum()) + np.repeat(self.starts[numbers] - stops + sizes, sizes)].tobytes()
+
+
+class IdCache:
+    """Ids of texts from their words: one look-up a word gives its number, and the ids of all are gathered at once.
+
+    Bounded as `Cache`: two generations, of which long words are no part.
+    """
+
+    def __init__(self, function: Callable[[list[str]], dict[str, bytes]], width: str, most: int = MOST):
+        self.function, self.width, self.most = function, width, most
+        self.newer, self.older = Numbers(width), Numbers(width)
+
+    def __call__(self, firsts: list[str], others: pa.ListArray) -> list[bytes]:
+        """Ids of texts from their first words, which come as keys of their own, and the others."""
+        if len(self.newer) > self.most:
+            self.newer, self.older = Numbers(self.width), self.newer
+        here, long = self.newer, []
+        words = others.flatten().dictionary_encode()  # the words of a call repeat as well
+        ask = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        numbers = np.fromiter(map(here.__getitem__, chain(ask, firsts)), np.int64, len(ask) + len(firsts))
+        counts = pc.fill_null(pc.list_value_length(others), 0).to_numpy()
+        numbers = np.insert(numbers[words.indices.to_numpy()], np.cumsum(counts) - counts, numbers[len(ask) :])
+        if here.fresh:
+            found = {w: self.older.known(w) for w in here.fresh if w in self.older}
+            found.update(self.function([w for w in here.fresh if w not in found]))
+            long = here.add(found)
+        data = b"".join(here.gather(numbers[i : i + GATHERED]) for i in range(0, len(numbers), GATHERED))
+        for word in long:
+            del here[word]
+        stops = np.cumsum(here.sizes[numbers])
+        edges = [0, *(stops[np.cumsum(counts + 1) - 1] * here.ids.itemsize).tolist()]
+        return [data[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
+CACHES: dict[tuple, Any] = {}
 
 
 def shared_cache(*key: Any, make: Callable[[], Callable[[list[str]], dict[str, Any]]], most: int = MOST) -> Cache:

@@ -31,10 +31,11 @@ from pyspark.sql import functions as F
 
 from tollgate.llm import rans
 from tollgate.llm.common import drop, map_rows, scratch, stored
-from tollgate.llm.pieces import WordEncoder, shared_cache, words_of
+from tollgate.llm.pieces import IdCache, WordEncoder, has_odd_blanks, split_texts
 
 BLOCK_IDS, BLOCK_DOCS = 1 << 18, 1 << 14
-TEXTS, CHARACTERS = 512, 1_000_000  # encoded at a time
+TEXTS, CHARACTERS = 4096, 4_000_000  # encoded at a time: the more, the fewer different words are looked up
+ENCODERS: dict[tuple[str, str], tuple[WordEncoder, IdCache | None]] = {}  # of the Python worker
 TOKENS = "doc_id long, tie long, n_tokens long, ids binary"
 BLOCKS = (
     "part int, block int, first long, n_ids int, first_doc long, continued boolean, doc_ids array<long>, sizes array<int>, payload binary"
@@ -56,24 +57,31 @@ def text_encoder(path: str, width: str):
     """Function from texts to their ids as packed integers of `width`."""
     from tokenizers import Tokenizer
 
-    def make():
+    if (path, width) not in ENCODERS:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        return WordEncoder(tokenizer, width).look
-
-    cache = shared_cache("ids", path, width, make=make)
-    encoder = cache.function.__self__
-    if not cuts_at_spaces(path):
+        encoder = WordEncoder(tokenizer, width)
+
+        def ids_of(words: list[str]) -> dict[str, bytes]:
+            """A word that begins with a space is the first one of a text, without that space."""
+            firsts = [w for w in words if w[:1] == " "]
+            found = encoder.look([w for w in words if w[:1] != " "])
+            found.update(zip(firsts, encoder.texts([w[1:] for w in firsts]), strict=True))
+            return found
+
+        ENCODERS[path, width] = encoder, IdCache(ids_of, width) if cuts_at_spaces(path) else None
+    encoder, cache = ENCODERS[path, width]
+    if cache is None:
         return encoder.texts
-    first_words = shared_cache("first", path, width, make=lambda: lambda texts: dict(zip(texts, encoder.texts(texts), strict=True)))
 
     def encode(texts: list[str]) -> list[bytes]:
-        words = [words_of(t, lines=True) for t in texts]
-        firsts = [own.pop(0) for own in words]
-        whole = first_words.look_up(set(firsts))
-        known = cache.look_up(set().union(*words))
-        return [whole[first] + b"".join(map(known.__getitem__, own)) for first, own in zip(firsts, words, strict=True)]
+        odd, found = [has_odd_blanks(t) for t in texts], {}
+        for kind in set(odd):
+            places = [i for i, o in enumerate(odd) if o == kind]
+            firsts, others = split_texts([texts[i] for i in places], kind)
+            found.update(zip(places, cache([" " + w for w in firsts], others), strict=True))
+        return [found[i] for i in range(len(texts))]
 
     return encode
 
