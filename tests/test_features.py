@@ -145,6 +145,13 @@ def test_tasks_follow_the_rows(frame, monkeypatch, cfg):
     assert sorted(map(str, more.collect())) == plain
 
 
+def test_hot_users_share_one_step(frame):
+    """The rows are read, marked and put into windows once, for the opening balances as for the rows themselves."""
+    split = add_features(frame(random_rows(7, 400)).persist(), Config(hot_user_rows=30, chunk_rows=2))
+    assert split.inputFiles() and all("/timeline-" in name for name in split.inputFiles())
+    assert not re.search(r"\blag\(", split._jdf.queryExecution().optimizedPlan().toString())
+
+
 @pytest.mark.parametrize(("asked", "used"), [("64MB", 16 << 20), ("1g", 16 << 20), ("67108864b", 16 << 20), ("8m", 8 << 20), ("16k", 16 << 10)])
 def test_partitions_of_a_task_are_bounded(spark, asked, used):
     """Partitions are merged up to a size that bounds a task's memory, whatever the input; smaller ones asked for stay."""
