@@ -161,3 +161,14 @@ def test_partitions_of_a_task_are_bounded(spark, asked, used):
     own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", asked)
     session.configure(own)
     assert session._bytes(own.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) == used
+
+
+@pytest.mark.parametrize(("asked", "used"), [("128MB", 16 << 20), ("1g", 16 << 20), ("134217728b", 16 << 20), ("8m", 8 << 20)])
+def test_splits_of_a_task_are_bounded(spark, asked, used):
+    """A task that reads files holds what it deals to many partitions: it reads up to a size, whatever the input."""
+    from tollgate import session
+
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", asked)
+    session.configure(own)
+    assert session._bytes(own.conf.get("spark.sql.files.maxPartitionBytes")) == used
